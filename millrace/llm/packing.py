@@ -74,10 +74,7 @@ class SumIndex:
         self.first_triple[gap] = a
         while 3 * a >= gap > 2:
             if self.left[a] - used[a] > 0:
-                used[a] += 1
-                rest = self.pair(gap - a, used, most=a)
-                used[a] -= 1
-                if rest:
+                if rest := self.pair(gap - a, used + Counter({a: 1}), most=a):
                     return (a, *rest)
             a -= 1
         return ()
@@ -97,9 +94,8 @@ def solve(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, d
             take = exact or ((a,) if (a := index.largest(gap, used)) else ())
             if not take:
                 break
-            for a in take:
-                used[a] += 1
-                gap -= a
+            used.update(take)
+            gap -= sum(take)
         times = min(index.left[a] // n for a, n in used.items())
         for a, n in used.items():
             index.left[a] -= times * n
