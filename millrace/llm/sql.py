@@ -20,5 +20,34 @@ FROM u LEFT JOIN hit ON u.page_id = hit.page_id AND hit.rn = 1
 """
 
 
+NEAR_DUPLICATES = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
+  FROM documents
+), sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                 ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s
+  FROM words
+), items AS (
+  SELECT doc_id, len(s) AS n, unnest(s) AS x FROM sets
+), links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b
+  FROM items a JOIN items b ON a.x = b.x AND a.doc_id < b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n
+  HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))
+), edges AS (
+  SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reach(node, root) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION
+  SELECT e.b, r.root FROM reach r JOIN edges e ON e.a = r.node WHERE r.root < e.b
+), labels AS (
+  SELECT node, min(root) AS component_id FROM reach GROUP BY node
+)
+SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, l.component_id, s.doc_id = l.component_id AS kept
+FROM sets s JOIN labels l ON l.node = s.doc_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op10_url_filter": URL_FILTER}
+    return {"op2_minhash_near_dedup": NEAR_DUPLICATES, "op10_url_filter": URL_FILTER}
