@@ -49,5 +49,31 @@ FROM sets s JOIN labels l ON l.node = s.doc_id
 """
 
 
+CONTAMINATION = r"""
+WITH w AS (
+  SELECT 'd' AS side, CAST(doc_id AS VARCHAR) AS id, text FROM documents UNION ALL SELECT 'b', CAST(item_id AS VARCHAR), text FROM benchmark
+), t AS (
+  SELECT side, id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM w
+), windows AS (
+  SELECT DISTINCT id, k, array_to_string(w[i:i + k - 1], ' ') AS win
+  FROM (SELECT id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM (SELECT id, w, least(10, len(w)) AS k FROM t WHERE side = 'b' AND len(w) > 0))
+), lens AS (
+  SELECT DISTINCT k FROM windows
+), grams AS (
+  SELECT id, k, i, array_to_string(w[i:i + k - 1], ' ') AS win
+  FROM (SELECT t.id, t.w, lens.k, unnest(range(1, len(t.w) - lens.k + 2)) AS i FROM t, lens WHERE t.side = 'd')
+), hits AS (
+  SELECT g.id, g.i, g.k, v.id AS item FROM grams g JOIN windows v ON g.k = v.k AND g.win = v.win
+), words AS (
+  SELECT id, count(DISTINCT i + j) AS n_hit FROM (SELECT id, i, unnest(range(0, k)) AS j FROM hits) GROUP BY id
+), found AS (
+  SELECT id, list_sort(list(DISTINCT item)) AS items FROM hits GROUP BY id
+)
+SELECT d.doc_id, CAST(len(t.w) AS BIGINT) AS n_words, CAST(coalesce(words.n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(len(f.items), 0) AS BIGINT) AS n_items,
+       sha256(coalesce(array_to_string(f.items, ','), '')) AS items_sha256, coalesce(words.n_hit, 0) > 0 AS contaminated
+FROM documents d JOIN t ON t.side = 'd' AND t.id = CAST(d.doc_id AS VARCHAR) LEFT JOIN words ON words.id = t.id LEFT JOIN found f ON f.id = t.id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_minhash_near_dedup": NEAR_DUPLICATES, "op10_url_filter": URL_FILTER}
+    return {"op2_minhash_near_dedup": NEAR_DUPLICATES, "op8_benchmark_decontamination": CONTAMINATION, "op10_url_filter": URL_FILTER}
