@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import decontam, langid, neardup, packing, quality, tokenize, url_rules
+from millrace.llm import ann, decontam, langid, neardup, packing, quality, tokenize, url_rules
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,6 +31,10 @@ def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op3_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     profiles = langid.learn(docs.where(~langid.held_out(F.col("doc_id"))))
