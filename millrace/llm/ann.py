@@ -17,13 +17,14 @@ groups of bounded size.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.llm.grouped import by_group
 from millrace.llm.storage import Stash
 
 NEIGHBOURS = 10
@@ -34,48 +35,11 @@ SAMPLE, DEEPEST = 20_000, 11
 #: Nodes that meet at one node (themselves chosen by hash if more list it), and improvements it sends to each.
 MEETING, SENT = 48, 8
 #: Search: pool, nodes visited a hop, hops, and candidates scored on original vectors.
-POOL, VISITED, HOPS, RESCORED = 256, 48, 6, 48
+POOL, VISITED, HOPS, RESCORED = 320, 80, 6, 48
 
 STATE = "v long, vec binary, ids binary, dist binary, rev binary"
 
 
-def groups(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
-    """The groups of a partition sorted by keys."""
-    carry = None
-    for batch in batches:
-        if carry is not None:
-            batch = pd.concat([carry, batch], ignore_index=True)
-        if not len(batch):
-            continue
-        change = np.zeros(len(batch), dtype=bool)
-        for k in keys:
-            x = batch[k].to_numpy()
-            change[1:] |= x[1:] != x[:-1]
-        cuts = [0, *np.flatnonzero(change), len(batch)]
-        for a, b in zip(cuts[:-2], cuts[1:-1]):
-            yield batch.iloc[a:b]
-        carry = batch.iloc[cuts[-2] :]
-    if carry is not None and len(carry):
-        yield carry
-
-
-def by_group(df: DataFrame, keys: list[str], work: Callable[[pd.DataFrame], list[tuple]], schema: str, order: list[str] | None = None) -> DataFrame:
-    """Rows that work returns for each group of keys."""
-    names = [x.split()[0] for x in schema.split(", ")]
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows: list[tuple] = []
-        for group in groups(batches, keys):
-            rows.extend(work(group))
-            if len(rows) >= 20_000:
-                yield pd.DataFrame(rows, columns=names)
-                rows = []
-        if rows:
-            yield pd.DataFrame(rows, columns=names)
-
-    return df.repartition(*keys).sortWithinPartitions(*keys, *(order or [])).mapInPandas(run, schema)
-
-
 def matrix(vecs, dim: int) -> np.ndarray:
     return np.frombuffer(b"".join(vecs), dtype=np.int8).reshape(-1, dim).astype(np.float32)
 

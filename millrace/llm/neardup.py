@@ -6,9 +6,11 @@ bin in a fixed random order of its own. Band j joins bin j of the six signatures
 permutations keep that true for short texts, whose bins repeat few values.
 
 Equal shingle sets are collapsed first. In each bucket every set is compared with the bucket's smallest id only.
-Buckets whose members then lie in more than one component are taken up again with further centres, four times as
-many each round, comparing only members of different components, until no bucket has a pair that is neither
-connected nor compared. So a bucket of copies costs its size and no pair of a bucket is lost.
+Buckets whose members then lie in more than one component are taken up twice more, to compare members of different
+components: first each with its two likeliest partners, by the share of the 384 signature values that agree, then
+with all whose share is not four standard deviations below that of a link. A pair is taken up in the first band it
+shares. So a bucket of copies costs its size, and no pair of a bucket is left that is neither connected nor compared
+nor ruled out by its signature.
 """
 
 from __future__ import annotations
@@ -17,9 +19,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.llm.grouped import by_group
 from millrace.llm.shingles import U, from_bytes, mix, shingle_sets, to_bytes
 from millrace.llm.storage import Stash
 
@@ -28,7 +31,10 @@ BANDS, ROWS = 64, 6
 BIN_BITS = 6  # 64 bins, one for each band
 #: Members that meet one copy of a centre's set in a task.
 STAR = 64
-GROWTH = 4
+#: Share of agreeing signature values below which a pair is not compared: a link's is 0.75 give or take 0.022.
+LIKELY = 0.66
+#: Members of a bucket that meet in a task, and likeliest partners in the first of the two further rounds.
+BLOCK, PARTNERS = 1024, 2
 
 
 def _orders() -> np.ndarray:
@@ -43,9 +49,9 @@ LOWEST = np.arange(BANDS, dtype=U) << U(64 - BIN_BITS)
 BAND_SALT = mix(np.arange(101, 101 + BANDS, dtype=U))
 
 
-def band_keys(shingles: np.ndarray) -> np.ndarray:
-    """The 64 bucket keys of a non-empty set."""
-    keys = BAND_SALT.copy()
+def band_keys(shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The 64 bucket keys of a non-empty set, and a byte of each of its 6 x 64 signature values."""
+    keys, sketch = BAND_SALT.copy(), np.empty((ROWS, BANDS), dtype=np.uint8)
     for row in range(ROWS):
         values = np.sort(mix(shingles ^ SEEDS[row]))
         at = np.searchsorted(values, LOWEST)
@@ -55,25 +61,28 @@ def band_keys(shingles: np.ndarray) -> np.ndarray:
             bins = np.where(full, np.arange(BANDS), ORDERS[row][np.arange(BANDS), full[ORDERS[row]].argmax(axis=1)])
             found = found[bins]
         keys = mix(keys ^ found) + U(row)
-    return keys
+        sketch[row] = found & U(0xFF)
+    return keys, sketch
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, a 128-bit id of the shingle set (h1, h2) and its band keys (null for an empty set)."""
+    """doc_id, n_shingles, a 128-bit id of the shingle set (h1, h2), its band keys and sketch (null for an empty set)."""
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            sizes, h1, h2, bands = [], [], [], []
+            sizes, h1, h2, bands, sketches = [], [], [], [], []
             with np.errstate(over="ignore"):
                 for s in shingle_sets(batch["text"].tolist()):
                     sizes.append(len(s))
                     h1.append(int(mix(s ^ U(0x5851F42D4C957F2D)).sum(dtype=U).astype(np.int64)))
                     h2.append(int(mix(s ^ U(0x14057B7EF767814F)).sum(dtype=U).astype(np.int64)))
-                    bands.append(band_keys(s).view(np.int64) if len(s) else None)
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "n_shingles": sizes, "h1": h1, "h2": h2, "bands": bands})
+                    keys, sketch = band_keys(s) if len(s) else (None, None)
+                    bands.append(None if keys is None else keys.view(np.int64))
+                    sketches.append(None if sketch is None else sketch.tobytes())
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "n_shingles": sizes, "h1": h1, "h2": h2, "bands": bands, "sketch": sketches})
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInPandas(sign, f"doc_id {kind}, n_shingles long, h1 long, h2 long, bands array<long>")
+    return docs.select("doc_id", "text").mapInPandas(sign, f"doc_id {kind}, n_shingles long, h1 long, h2 long, bands array<long>, sketch binary")
 
 
 def shingle_table(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -140,6 +149,66 @@ def components(edges: DataFrame, stash: Stash) -> DataFrame:
     return labels
 
 
+def _tasks(entries: DataFrame) -> DataFrame:
+    """Deals the members of open buckets to tasks (key, i, j) so that all pairs of different components meet.
+
+    The members outside a bucket's largest component are few after the first round. They meet the largest
+    component's blocks, each of which is in as many tasks as they have blocks, and each other. role: m and s meet,
+    x and y meet, x alone meets itself.
+    """
+    sizes = entries.groupBy("key", "component").agg(F.count("*").alias("n"))
+    plan = sizes.groupBy("key").agg(F.max_by("component", F.struct("n", "component")).alias("most"), F.max("n").alias("m"), (F.sum("n") - F.max("n")).alias("s"))
+    blocks = lambda c: F.ceil(F.col(c) / BLOCK).cast("int")
+    plan = plan.where("s > 0").select("key", "most", blocks("m").alias("bm"), blocks("s").alias("bs"))
+    met = entries.join(plan, "key").withColumn("h", F.xxhash64("rep"))
+    own = F.pmod(F.col("h"), F.col("bs")).cast("int")
+    role = lambda i, j, r: F.struct(i.alias("i"), j.alias("j"), r.alias("role"))
+    all_of = lambda c: F.sequence(F.lit(0), F.col(c) - 1)
+    largest = F.transform(all_of("bs"), lambda j: role(F.pmod(F.col("h"), F.col("bm")).cast("int"), j, F.lit("m")))
+    others = F.concat(
+        F.transform(all_of("bm"), lambda i: role(i, own, F.lit("s"))),
+        F.transform(all_of("bs"), lambda j: role(F.col("bm") + F.least(j, own), F.greatest(j, own), F.when(j >= own, F.lit("x")).otherwise(F.lit("y")))),
+    )
+    task = F.explode(F.when(F.col("component") == F.col("most"), largest).otherwise(others)).alias("t")
+    return met.select("key", "band", "rep", "n", "component", "sketch", task).select("key", "t.i", "t.j", "t.role", "band", "rep", "n", "component", "sketch")
+
+
+def likely_pairs(entries: DataFrame, percent: int, partners: int | None) -> DataFrame:
+    """Pairs (a, b) of different components in the open buckets whose signatures allow a link, in the first band that
+    they share; with partners, only the likeliest so many of each member."""
+
+    def pair(group: pd.DataFrame) -> list[tuple]:
+        role = group["role"].to_numpy()
+        first = group[(role == "s") | (role == "x")]
+        second = group[(role == "m") | (role == "y")]
+        alone = not len(second) and (role == "x").any()
+        second = first if alone else second
+        if not len(first) or not len(second):
+            return []
+        band = int(group["band"].iloc[0])
+        sides = [(f["rep"].to_numpy(), f["n"].to_numpy(), f["component"].to_numpy(), np.frombuffer(b"".join(f["sketch"]), dtype=np.uint8).reshape(-1, ROWS * BANDS)) for f in (first, second)]
+        (ra, na, ca, xa), (rb, nb, cb, xb) = sides
+        out = []
+        for at in range(len(ra)):
+            fits = (cb != ca[at]) & (100 * np.minimum(nb, na[at]) >= percent * np.maximum(nb, na[at]))
+            fits = np.flatnonzero(fits & (rb > ra[at]) if alone and not partners else fits)
+            if not len(fits):
+                continue
+            same = xb[fits] == xa[at]
+            share = same.mean(axis=1)
+            good = share >= LIKELY
+            fits, same, share = fits[good], same[good], share[good]
+            if partners:
+                keep = np.argsort(-share, kind="stable")[:partners]
+            else:
+                keep = np.flatnonzero(same.reshape(-1, ROWS, BANDS).all(axis=1).argmax(axis=1) == band)
+            out += [(min(ra[at], r), max(ra[at], r)) for r in rb[fits[keep]]]
+        return out
+
+    kind = entries.schema["rep"].dataType.simpleString()
+    return by_group(_tasks(entries), ["key", "i", "j"], pair, f"a {kind}, b {kind}").distinct()
+
+
 def near_duplicates(docs: DataFrame, percent: int = SIMILARITY_PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for every row of docs.
 
@@ -147,40 +216,34 @@ def near_duplicates(docs: DataFrame, percent: int = SIMILARITY_PERCENT) -> DataF
     has the component of its shingle set (null if no other row has that set) and is not kept unless it stands
     alone: kept is then true. Rows that repeat a doc_id are one document to the links. Other columns are ignored.
     """
-    spark, stash = docs.sparkSession, Stash(docs.sparkSession, "neardup")
-    sig = stash.keep(signatures(docs), "signatures")
+    stash = Stash(docs.sparkSession, "neardup")
+    full = stash.keep(signatures(docs), "signatures")
     reps = (
-        sig.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("h1", "h2")
-        .agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"))
+        full.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("h1", "h2")
+        .agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
     )
     reps = stash.keep(reps, "classes")
+    sig = stash.keep(full.select("doc_id", "n_shingles", "h1", "h2"), "sizes")
+    stash.drop(full)
 
-    entries = reps.select("rep", "n", F.explode("bands").alias("key"))
+    entries = reps.select("rep", "n", F.posexplode("bands").alias("band", "key"))
     buckets = entries.groupBy("key").agg(F.min(F.struct("rep", "n")).alias("centre"), F.count("*").alias("size")).where("size > 1").select("key", "centre")
-    entries = stash.keep(entries.join(buckets, "key").select("key", "rep", "n", F.col("centre.rep").alias("a"), F.col("centre.n").alias("a_n")), "entries")
+    entries = stash.keep(entries.join(buckets, "key").select("key", "band", "rep", "n", F.col("centre.rep").alias("a"), F.col("centre.n").alias("a_n")), "entries")
 
     sets = stash.keep(shingle_table(docs, entries.select(F.col("rep").alias("doc_id")).distinct()), "sets")
     pairs = stash.keep(entries.where(F.col("rep") != F.col("a")).where(_similar("n", "a_n", percent)).select("a", F.col("rep").alias("b")).distinct(), "pairs")
-    links = stash.keep(confirm(pairs, sets, percent), "links")
+    done, links = pairs, stash.keep(confirm(pairs, sets, percent), "links")
     label = components(links, stash)
 
-    done, low, high, open_entries = pairs, 1, 1 + GROWTH, entries.select("key", "rep", "n")
-    while True:
-        named = open_entries.join(label, F.col("rep") == F.col("node"), "left").select("key", "rep", "n", F.coalesce("component", "rep").alias("component"))
-        mixed = named.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size")).where((F.col("low") != F.col("high")) & (F.col("size") > low)).select("key")
-        open_entries = stash.keep(named.join(mixed, "key", "left_semi").select("key", "rep", "n", "component"), "open")
-        if open_entries.isEmpty():
-            break
-        ranked = open_entries.withColumn("rank", F.row_number().over(Window.partitionBy("key").orderBy("rep")))
-        centres = ranked.where((F.col("rank") > low) & (F.col("rank") <= high)).select("key", F.col("rep").alias("a"), F.col("n").alias("a_n"), F.col("component").alias("a_component"))
-        others = open_entries.select("key", F.col("rep").alias("b"), "n", "component")
-        new = others.join(centres, "key").where((F.col("a") < F.col("b")) & (F.col("component") != F.col("a_component"))).where(_similar("n", "a_n", percent)).select("a", "b").distinct()
+    left = entries.select("key", "band", "rep", "n")
+    for partners in (PARTNERS, None):
+        named = left.join(label, F.col("rep") == F.col("node"), "left").select("key", "band", "rep", "n", F.coalesce("component", "rep").alias("component"))
+        mixed = named.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("key")
+        met = stash.keep(named.join(mixed, "key", "left_semi"), "open")
+        new = likely_pairs(met.join(reps.select("rep", "sketch"), "rep"), percent, partners)
         new = stash.keep(new.join(done, ["a", "b"], "left_anti"), "pairs")
-        low, high, open_entries = high, high * GROWTH, open_entries.select("key", "rep", "n")
-        if new.isEmpty():
-            continue
+        done, left = done.union(new), met.select("key", "band", "rep", "n")
         found = stash.keep(confirm(new, sets, percent), "links")
-        done = done.union(new)
         if not found.isEmpty():
             links = links.union(found)
             label = components(links, stash)
