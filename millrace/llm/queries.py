@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import ann, decontam, htmltree, langid, neardup, packing, quality, tokenize, url_rules
+from millrace.llm import ann, decontam, htmltree, langid, licenses, neardup, packing, quality, tokenize, tokenout, url_rules
+from millrace.llm.storage import Stash
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,6 +42,13 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs.select("doc_id", "text"), profiles).select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def op5_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Writes the packed matrices to the shared folder and returns what is read back from them."""
+    name = tokenize.default_path()
+    rows = tokenout.write(tokenout.packed_rows(table(spark, sf_dir, "documents"), name), f"{Stash(spark, 'token-ids').base}/rows")
+    return tokenout.unpack(rows, tokenout.id_type(name))
+
+
 def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return htmltree.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html")).select("page_id", "url", "text", "n_chars")
 
@@ -56,6 +64,13 @@ def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return out.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files ``source/lang/doc_id.txt``."""
+    part = lambda c: F.coalesce(F.col(c), F.lit("none"))
+    files = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.concat(part("source"), F.lit("/"), part("lang"), F.lit("/"), F.coalesce(F.col("doc_id").cast("string"), F.lit("none")), F.lit(".txt")).alias("path"), "text")
+    return licenses.scan(files).select(F.col("id").alias("doc_id"), "path", "licence", "score", "unit", "found_in", "depth")
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge_urls(table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
