@@ -44,13 +44,10 @@ def split_key_changes(events: DataFrame, key: Sequence[str]) -> DataFrame:
     moved = F.lit(False)
     for k in key:
         moved = moved | ~F.col(f"before.{k}").eqNullSafe(F.col(f"after.{k}"))
-    docs = (
-        F.when(F.col("op") == DELETE, F.array(image("before", True)))
-        .when((F.col("op") == UPDATE) & F.col("before").isNotNull() & moved, F.array(image("before", True), image("after", False)))
-        .otherwise(F.array(image("after", False)))
-    )
+    gone = (F.col("op") == DELETE) | ((F.col("op") == UPDATE) & F.col("before").isNotNull() & moved)
+    docs = F.array(F.when(gone, image("before", True)), F.when(is_upsert(), image("after", False)))
     rest = [c for c in events.columns if c not in ("before", "after")]
-    return events.select(*rest, F.explode(docs).alias("__d")).select(*rest, "__d.image", "__d.deleted")
+    return events.select(*rest, F.explode(docs).alias("__d")).where("__d IS NOT NULL").select(*rest, "__d.image", "__d.deleted")
 
 
 def documents(events: DataFrame, plan: Plan) -> DataFrame:

@@ -79,7 +79,7 @@ def change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(gone, event("delete", same, none, late(3))),
         F.when(gone & (k % 2 == 0), event("insert", none, image(state=F.lit("NEW")), late(4))),
     )
-    return base.select(F.explode(F.filter(events, lambda e: e.isNotNull())).alias("e")).select("e.*")
+    return base.select(F.explode(events).alias("e")).where("e IS NOT NULL").select("e.*")
 
 
 LOG = """

@@ -28,7 +28,7 @@ def read_log(spark: SparkSession, path: str, image: T.StructType) -> DataFrame:
     return spark.read.schema(event_schema(image)).option("recursiveFileLookup", "true").parquet(path)
 
 
-def stream_log(spark: SparkSession, path: str, image: T.StructType, files_per_trigger: int = 1) -> DataFrame:
+def stream_log(spark: SparkSession, path: str, image: T.StructType, files_per_trigger: int = 1000) -> DataFrame:
     """New files as they come, oldest first. A file that is gone before it was read fails the query rather than being skipped."""
     return (
         spark.readStream.schema(event_schema(image)).option("recursiveFileLookup", "true").option("maxFilesPerTrigger", files_per_trigger)
@@ -41,3 +41,8 @@ def check_position(spark: SparkSession, path: str, position: int) -> None:
     first = spark.read.option("recursiveFileLookup", "true").parquet(path).agg(F.min("seq")).head()[0]
     if first is not None and first > position + 1:
         raise PositionPurged(f"the log starts at version {first}, after position {position}; scan the table again")
+
+
+def read_image(spark: SparkSession, path: str) -> T.StructType:
+    """The row image that the log's files hold."""
+    return spark.read.option("recursiveFileLookup", "true").parquet(path).schema["after"].dataType

@@ -6,7 +6,7 @@ import json
 import threading
 import time
 from collections.abc import Callable
-from dataclasses import asdict, dataclass, field, replace
+from dataclasses import asdict, dataclass, field, replace  # replace is used by callers too
 
 BLOCK, PER_MS_BITS = 10_000, 10
 SCHEMA_VERSION = 1
