@@ -69,11 +69,12 @@ def kept_places(grams: Column) -> Column:
 def _marks(words: Column, short: list[int], winnow: bool = True) -> Column:
     """Array of (k, hash, pos): winnowed 5-grams as k = 0, and all k-grams for the lengths of short items."""
 
+    def whole(numbers: Column, k: int) -> Column:
+        return F.transform(gram_hashes(numbers, k), lambda g, i: F.struct(F.lit(k).alias("k"), g.alias("hash"), i.alias("pos")))
+
     def of(numbers: Column) -> Column:
         parts = [let(gram_hashes(numbers, GRAM), lambda g: F.transform(kept_places(g), lambda i: F.struct(F.lit(0).alias("k"), F.get(g, i).alias("hash"), i.alias("pos"))))] if winnow else []
-        for k in short:
-            parts.append(F.transform(gram_hashes(numbers, k), lambda g, i, k=k: F.struct(F.lit(k).alias("k"), g.alias("hash"), i.alias("pos"))))
-        return F.concat(*parts)
+        return F.concat(*parts, *(whole(numbers, k) for k in short))
 
     return let(word_numbers(words), of)
 

@@ -53,8 +53,8 @@ def lines_of(text: Column) -> Column:
 
 
 def directory(path: Column) -> Column:
-    """Path up to its last slash, without it; empty at the top."""
-    return F.when(F.instr(path, "/") > 0, F.regexp_extract(path, r"^(.*)/[^/]*$", 1)).otherwise(F.lit(""))
+    """Path up to its last slash, without it; empty at the top, null for no path."""
+    return F.when(F.instr(path, "/") > 0, F.regexp_extract(path, r"(?s)^(.*)/[^/]*$", 1)).when(path.isNotNull(), F.lit(""))
 
 
 def template_table(spark: SparkSession, templates: list[tuple[str, str]]) -> DataFrame:
