@@ -6,6 +6,7 @@ Sources are table folders and change-log folders; a stream named in the configur
 
 from __future__ import annotations
 
+import json
 import os
 from collections.abc import Mapping, Sequence
 
@@ -35,7 +36,9 @@ class Engine:
         self.metrics = Metrics()
 
     def _folder(self, table: str, what: str) -> str:
-        return f"{self.config.source.dsn}/{table}/{what}"
+        """Scans may come from a replica of their own."""
+        source = self.config.source
+        return f"{source.snapshot_dsn if what == 'scan' and source.snapshot_dsn else source.dsn}/{table}/{what}"
 
     def _load(self, schema: str, name: str) -> Table:
         if known := self.tables.get(f"{schema}.{name}".lower()):
@@ -139,6 +142,16 @@ class Engine:
         image = changelog.read_image(self.spark, log)
         return describe(changelog.read_log(self.spark, log, image), image.fieldNames())
 
+    def capture(self, table: str, path: str) -> int:
+        """Copy a table's raw change events to a folder as JSON lines, with a manifest of what they are; returns their number."""
+        log = self._folder(table, "log")
+        image = changelog.read_image(self.spark, log)
+        events = changelog.read_log(self.spark, log, image)
+        events.write.mode("overwrite").json(f"{path}/events")
+        n, low, high = self.spark.read.schema(events.schema).json(f"{path}/events").agg(F.count("*"), F.min("seq"), F.max("seq")).head()
+        self.files.replace(f"{path}/manifest.json", json.dumps({"table": table, "events": n, "first": low, "last": high, "image": image.simpleString()}))
+        return n
+
     @staticmethod
     def preflight(variables: Mapping[str, str], grants: Sequence[str]) -> list[preflight.Check]:
         return preflight.evaluate(variables, grants)

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import json
+import threading
 import time
 from collections.abc import Callable
+from http.server import BaseHTTPRequestHandler, ThreadingHTTPServer
 
 from pyspark.sql.streaming import StreamingQueryListener
 
@@ -54,3 +56,30 @@ class Metrics(StreamingQueryListener):
 
     def snapshot(self) -> str:
         return json.dumps(self.streams, sort_keys=True)
+
+    def healthy(self) -> bool:
+        return not any(s["error"] for s in self.streams.values())
+
+
+def serve(metrics: Metrics, host: str = "127.0.0.1", port: int = 9187) -> ThreadingHTTPServer:
+    """``/metrics`` as text, ``/healthz`` and ``/readyz`` as 200 or 503, ``/streams`` as JSON; stop with shutdown()."""
+
+    class Handler(BaseHTTPRequestHandler):
+        def do_GET(self):
+            answers = {
+                "/metrics": lambda: (200, metrics.exposition()), "/streams": lambda: (200, metrics.snapshot()),
+                "/healthz": lambda: (200, "ok") if metrics.healthy() else (503, "error"), "/readyz": lambda: (200, "ready") if metrics.ready() else (503, "not ready"),
+            }
+            code, text = answers.get(self.path, lambda: (404, "not found"))()
+            body = text.encode()
+            self.send_response(code)
+            self.send_header("Content-Length", str(len(body)))
+            self.end_headers()
+            self.wfile.write(body)
+
+        def log_message(self, *args):
+            pass
+
+    server = ThreadingHTTPServer((host, port), Handler)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    return server

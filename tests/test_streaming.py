@@ -270,6 +270,8 @@ def test_engine_end_to_end(spark, sf, root, tmp_path):
     engine.run()
     assert engine.view("orders").count() == len(want) and engine.tail("shop.orders").count() > 0
     assert "CREATE TABLE" in engine.generate_schema("orders")[0]
+    n = engine.capture("shop.orders", f"{root}/capture")
+    assert n == events.where("seq >= 2000000").count() and json.loads(Files(spark).read_text(f"{root}/capture/manifest.json"))["events"] == n
 
 
 def test_metrics_and_cli(tmp_path, capsys):
@@ -277,6 +279,16 @@ def test_metrics_and_cli(tmp_path, capsys):
     assert not m.ready()
     m._of("s").update(streaming=True, last_apply=50.0)
     assert m.ready() and 'millrace_rows{stream="s"} 0' in m.exposition()
+    from urllib.error import HTTPError
+    from urllib.request import urlopen
+
+    server = metrics.serve(m, port=0)
+    at = f"http://127.0.0.1:{server.server_address[1]}"
+    assert b"millrace_rows" in urlopen(at + "/metrics").read() and urlopen(at + "/readyz").status == 200 and urlopen(at + "/healthz").status == 200
+    m._of("s")["error"] = "broken"
+    with pytest.raises(HTTPError, match="503"):
+        urlopen(at + "/healthz")
+    server.shutdown()
     from millrace.cli import main
 
     path = tmp_path / "c.yaml"
