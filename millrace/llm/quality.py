@@ -222,14 +222,18 @@ def train(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, unlabell
     """
     marks = labels.where("doc_id IS NOT NULL AND (quality IS NOT NULL OR toxic IS NOT NULL)").groupBy("doc_id").agg(F.max((F.col("quality") == 0).cast("int")).alias("low_quality"), F.max((F.col("toxic") == 1).cast("int")).alias("toxic"))
     n_docs, n_marks = docs.count(), marks.count()
-    base = _with_meta(docs).where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]) if n_docs else _with_meta(docs)
     rate = labelled / max(1, n_marks)
-    chosen = base.join(marks.where(_share("doc_id", 7) < rate), "doc_id")
+
+    def drawn(share) -> DataFrame:
+        """Documents of a share of the ids, one for each id; the rest is left before anything is shuffled."""
+        return _with_meta(docs).where("doc_id IS NOT NULL").where(share).dropDuplicates(["doc_id"])
+
+    chosen = drawn(_share("doc_id", 7) < rate).join(marks, "doc_id")
     rows = _features(chosen.fillna(0, ["low_quality", "toxic"])).toPandas().sort_values("doc_id")  # about `labelled` rows
     if not len(rows):
         return {}
     pool_rate = unlabelled / max(1, n_docs)
-    pool = base.where(_share("doc_id", 8) < pool_rate).join(marks.select("doc_id"), "doc_id", "left_anti")
+    pool = drawn(_share("doc_id", 8) < pool_rate).join(marks.select("doc_id"), "doc_id", "left_anti")
     spare = _features(pool).toPandas().sort_values("doc_id")  # about `unlabelled` rows
     views, more = [tuple(_unpack(f[c].tolist()) for c in ("tv", "mv")) for f in (rows, spare)]
     return {h: co_train(views, rows[h].to_numpy(dtype=np.float64), more, rounds) for h in HEADS if 0 < rows[h].sum() < len(rows)}
