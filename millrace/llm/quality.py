@@ -73,8 +73,10 @@ def _slot(word: str, bits: int) -> int:
 
 
 def text_view(text: str | None) -> tuple[np.ndarray, np.ndarray]:
-    """Which words the text has: each word once, as a hashed slot, whatever its number; slot 0 is the intercept."""
+    """Which words, and which beginnings of words, the text has: each once, as a hashed slot, whatever its number; slot 0
+    is the intercept. Beginnings speak for inflected and unseen words."""
     words = set(WORD.findall((text or "").lower()))
+    words |= {f"{w[:4]}-" for w in words if len(w) > 4}
     slots = np.unique(np.fromiter((max(1, _slot(w, WORD_BITS)) for w in words), dtype=np.int64, count=len(words)))
     return np.concatenate([[0], slots]), np.ones(len(slots) + 1)
 
