@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from millrace.llm.licenses import TEMPLATES, THRESHOLD
+
 URL_FILTER = r"""
 WITH u AS (
   SELECT page_id,
@@ -75,5 +77,49 @@ FROM documents d JOIN t ON t.side = 'd' AND t.id = CAST(d.doc_id AS VARCHAR) LEF
 """
 
 
+def _terms(text: str) -> str:
+    return f"list_filter(list_transform(regexp_split_to_array(lower(coalesce({text}, '')), '[^a-z0-9.]+'), lambda w: trim(w, '.')), lambda w: w <> '')"
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+#: No document is named like a licence file, so none inherits; every line is compared with every template.
+LICENCES = f"""
+WITH templates(template, licence, text) AS (
+  VALUES {", ".join(f"({i}, {_quoted(licence)}, {_quoted(text)})" for i, (licence, text) in enumerate(TEMPLATES))}
+), tt AS (
+  SELECT template, licence, term, count(*) AS tf FROM (SELECT template, licence, unnest({_terms("text")}) AS term FROM templates) GROUP BY template, licence, term
+), docs AS (
+  SELECT doc_id, coalesce(source, 'none') || '/' || coalesce(lang, 'none') || '/' || doc_id || '.txt' AS path, text FROM documents
+), frequency AS (
+  SELECT term, count(*) AS df FROM (SELECT DISTINCT doc_id, unnest({_terms("text")}) AS term FROM docs) WHERE term IN (SELECT term FROM tt) GROUP BY term
+), idf AS (
+  SELECT t.term, ln((1.0 + (SELECT count(*) FROM docs)) / (1.0 + coalesce(f.df, 0))) + 1 AS idf FROM (SELECT DISTINCT term FROM tt) t LEFT JOIN frequency f ON t.term = f.term
+), weights AS (
+  SELECT template, licence, tt.term, tf * idf AS w FROM tt JOIN idf ON tt.term = idf.term
+), norms AS (
+  SELECT template, sqrt(sum(w * w)) AS norm FROM weights GROUP BY template
+), lines AS (
+  SELECT doc_id, unnest(regexp_split_to_array(coalesce(text, ''), '\\r\\n|\\r|\\n')) AS line, generate_subscripts(regexp_split_to_array(coalesce(text, ''), '\\r\\n|\\r|\\n'), 1) - 1 AS unit FROM docs
+), counted AS (
+  SELECT doc_id, unit, term, count(*) AS tf FROM (SELECT doc_id, unit, unnest({_terms("line")}) AS term FROM lines) GROUP BY doc_id, unit, term
+), weighed AS (
+  SELECT doc_id, unit, c.term, tf * coalesce(idf, ln(1.0 + (SELECT count(*) FROM docs)) + 1) AS u FROM counted c LEFT JOIN idf ON c.term = idf.term
+), lengths AS (
+  SELECT doc_id, unit, sqrt(sum(u * u)) AS length FROM weighed GROUP BY doc_id, unit
+), dots AS (
+  SELECT doc_id, unit, template, licence, sum(u * w) AS dot FROM weighed JOIN weights ON weighed.term = weights.term GROUP BY doc_id, unit, template, licence
+), scored AS (
+  SELECT d.doc_id, d.unit, licence, round(dot / (norm * length), 6) AS score FROM dots d JOIN norms ON d.template = norms.template JOIN lengths l ON l.doc_id = d.doc_id AND l.unit = d.unit
+), best AS (
+  SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, unit, licence DESC) AS rn FROM scored WHERE score >= {THRESHOLD}
+)
+SELECT d.doc_id, d.path, b.licence, b.score, CAST(b.unit AS INTEGER) AS unit, CASE WHEN b.doc_id IS NOT NULL THEN 'file' END AS found_in, CAST(NULL AS INTEGER) AS depth
+FROM docs d LEFT JOIN best b ON b.doc_id = d.doc_id AND b.rn = 1
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_minhash_near_dedup": NEAR_DUPLICATES, "op8_benchmark_decontamination": CONTAMINATION, "op10_url_filter": URL_FILTER}
+    return {"op2_minhash_near_dedup": NEAR_DUPLICATES, "op8_benchmark_decontamination": CONTAMINATION, "op9_license_scan": LICENCES, "op10_url_filter": URL_FILTER}
