@@ -1,14 +1,17 @@
 """License scan: sparse TF-IDF cosine to templates, then inheritance from the nearest licensed directory above.
 
-DataFrame functions only. A unit is a line of a file, or all of a file that is named like a licence file. A unit is
-compared with the templates it shares a telling term with. Each template's telling terms are its rarest; the others
+DataFrame functions only. A unit is a line of a file, or all of a file that is named like a licence file. Lines are
+compared with notices, licence files with notices and with whole licences (``licence_texts``). A unit is compared
+with the templates it shares a telling term with. Each template's telling terms are its rarest; the others
 hold less of its squared length than the threshold asks for, so by the Cauchy-Schwarz inequality a unit without
 any telling term can't reach the threshold. Term statistics come from all files.
 """
 
 from __future__ import annotations
 
+import functools
 import math
+from importlib import resources
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -42,6 +45,18 @@ TEMPLATES = [
 ]
 
 
+@functools.cache
+def whole_texts() -> tuple[tuple[str, str], ...]:
+    """Licence and full text of the files in licence_texts; what follows a ~ in a name tells versions of a text apart."""
+    found = sorted((f for f in resources.files("millrace.llm").joinpath("licence_texts").iterdir() if f.name.endswith(".txt")), key=lambda f: f.name)
+    return tuple((f.name.removesuffix(".txt").split("~")[0], f.read_text(encoding="utf-8")) for f in found)
+
+
+def any_of(words: list[str]) -> Column:
+    """A fixed array of words without spaces."""
+    return F.split(F.lit(" ".join(words)), " ")
+
+
 def terms_of(text: Column) -> Column:
     """Lower-case runs of letters, digits and inner dots."""
     parts = F.split(F.lower(F.coalesce(text, F.lit(""))), NO_TERM)
@@ -68,7 +83,7 @@ def weights(files: DataFrame, templates: DataFrame) -> tuple[DataFrame, float, l
     A term's idf is ln((1 + n) / (1 + df)) + 1 over all n files; only the templates' terms are counted.
     """
     vocabulary = sorted(r["term"] for r in templates.select("term").distinct().collect())  # the templates', a fixed list
-    has = F.array_intersect(F.array_distinct(terms_of(F.col("text"))), F.array(*map(F.lit, vocabulary)))
+    has = F.array_intersect(F.array_distinct(terms_of(F.col("text"))), any_of(vocabulary))
     df = {r["term"]: r["n"] for r in files.select(F.explode(has).alias("term")).groupBy("term").agg(F.count("*").alias("n")).collect()}
     n = files.count()
     idf = {t: math.log((1 + n) / (1 + df.get(t, 0))) + 1 for t in vocabulary}
@@ -90,13 +105,22 @@ def weights(files: DataFrame, templates: DataFrame) -> tuple[DataFrame, float, l
 
 def own_matches(files: DataFrame, templates: list[tuple[str, str]], stash: Stash) -> DataFrame:
     """(id, path, licence, score, unit) of the best match of each file that has one; files has id, path and text."""
+    named = F.coalesce(F.col("path").rlike(LICENCE_FILE), F.lit(False))
+    found = matches(files, files.where(~named), lines_of(F.col("text")), templates, stash)
+    if files.where(named).isEmpty():
+        return found
+    whole = F.array(F.array_join(lines_of(F.col("text")), " "))
+    return found.union(matches(files, files.where(named), whole, [*templates, *whole_texts()], stash))
+
+
+def matches(files: DataFrame, judged: DataFrame, cut: Column, templates: list[tuple[str, str]], stash: Stash) -> DataFrame:
+    """The best match of each of the judged files, cut into units; term statistics come from all files."""
     table, unseen, telling = weights(files, template_table(files.sparkSession, templates))
     table = F.broadcast(table)  # a row for each term of the templates
-    whole = F.col("path").rlike(LICENCE_FILE)
     # a file that has no telling term is not taken apart
-    hopeful = files.where(F.arrays_overlap(terms_of(F.col("text")), F.array(*map(F.lit, telling))))
-    units = hopeful.select("id", "path", F.posexplode(F.when(whole, F.array(F.array_join(lines_of(F.col("text")), " "))).otherwise(lines_of(F.col("text")))).alias("unit", "line"))
-    units = stash.keep(units.select("id", "path", "unit", terms_of(F.col("line")).alias("terms")).where(F.arrays_overlap("terms", F.array(*map(F.lit, telling)))), "units")
+    hopeful = judged.where(F.arrays_overlap(terms_of(F.col("text")), any_of(telling)))
+    units = hopeful.select("id", "path", F.posexplode(cut).alias("unit", "line"))
+    units = stash.keep(units.select("id", "path", "unit", terms_of(F.col("line")).alias("terms")).where(F.arrays_overlap("terms", any_of(telling))), "units")
     counted = units.select("id", "path", "unit", F.explode("terms").alias("term")).groupBy("id", "path", "unit", "term").agg(F.count("*").alias("tf"))
     idf = table.select("term", "idf").distinct()
     weighed = counted.join(F.broadcast(idf), "term", "left").withColumn("u", F.col("tf") * F.coalesce("idf", F.lit(unseen))).drop("idf")
@@ -112,7 +136,7 @@ def scan(files: DataFrame, templates: list[tuple[str, str]] = TEMPLATES) -> Data
     """files (id, path, text) with licence, score, unit, found_in and depth.
 
     found_in says where the licence comes from: ``file`` if a line of its own, or for licence files the whole text,
-    matches a template with a cosine of at least 0.6; else ``directory`` if the file's directory or the nearest one
+    matches a template (for licence files also a whole licence) with a cosine of at least 0.6; else ``directory`` if the file's directory or the nearest one
     above has a licence file that matches, with depth the number of levels up; else all are null. Of equal scores the
     earlier line wins, then the last licence by name; of several licence files in a directory the best score, then the
     last licence by name. Null texts match nothing; a file without a path has no directory and inherits nothing. Rows

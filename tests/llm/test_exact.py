@@ -304,6 +304,25 @@ def test_licences_and_inheritance(spark):
     assert licenses.scan(spark.createDataFrame([], "id long, path string, text string")).count() == 0
 
 
+def test_whole_licence_texts_and_what_lies_below_them(spark):
+    """Whole texts, rewrapped and under other names and holders, and files below them; other prose is none of them."""
+    texts = {}
+    for licence, text in licenses.whole_texts():
+        texts.setdefault(licence, text)
+    genuine = ["Apache-2.0", "GPL-1.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "BSD-2-Clause", "BSD-3-Clause", "MPL-2.0", "MIT", "CC0-1.0"]
+    names = ["LICENSE", "COPYING", "licence.txt", "LICENSE.md"]
+    rows, want = [], {}
+    for i, licence in enumerate(genuine):
+        words = texts[licence].split()
+        lines = [" ".join(words[at : at + 14]) for at in range(0, len(words), 14)]
+        rows += [(2 * i, f"p{i}/{names[i % 4]}", "\r\n".join(["Copyright (c) 2021 Jane Example and others", *lines])), (2 * i + 1, f"p{i}/src/a/b.py", "x = 1")]
+        want |= {2 * i: (licence, "file", None), 2 * i + 1: (licence, "directory", 2)}
+    rows += [(100, "q/NOTICE", LONG), (101, "q/b.py", "x = 1")]
+    want |= {100: (None, None, None), 101: (None, None, None)}
+    got = {r["id"]: (r["licence"], r["found_in"], r["depth"]) for r in licenses.scan(spark.createDataFrame(rows, "id long, path string, text string")).collect()}
+    assert got == want
+
+
 def test_telling_terms_lose_nothing(spark, sf):
     """Cosines of all lines with all templates, computed plainly."""
     docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
