@@ -170,12 +170,12 @@ def _tasks(entries: DataFrame) -> DataFrame:
         F.transform(all_of("bs"), lambda j: role(F.col("bm") + F.least(j, own), F.greatest(j, own), F.when(j >= own, F.lit("x")).otherwise(F.lit("y")))),
     )
     task = F.explode(F.when(F.col("component") == F.col("most"), largest).otherwise(others)).alias("t")
-    return met.select("key", "band", "rep", "n", "component", "sketch", task).select("key", "t.i", "t.j", "t.role", "band", "rep", "n", "component", "sketch")
+    return met.select("key", "band", "rep", "n", "component", "sketch", "bands", task).select("key", "t.i", "t.j", "t.role", "band", "rep", "n", "component", "sketch", "bands")
 
 
 def likely_pairs(entries: DataFrame, percent: int, partners: int | None) -> DataFrame:
-    """Pairs (a, b) of different components in the open buckets whose signatures allow a link, in the first band that
-    they share; with partners, only the likeliest so many of each member."""
+    """Pairs (a, b) of different components in the open buckets whose signatures allow a link, in the first band whose
+    key they share; with partners, only the likeliest so many of each member. bands is read without partners only."""
 
     def pair(group: pd.DataFrame) -> list[tuple]:
         role = group["role"].to_numpy()
@@ -188,20 +188,21 @@ def likely_pairs(entries: DataFrame, percent: int, partners: int | None) -> Data
         band = int(group["band"].iloc[0])
         sides = [(f["rep"].to_numpy(), f["n"].to_numpy(), f["component"].to_numpy(), np.frombuffer(b"".join(f["sketch"]), dtype=np.uint8).reshape(-1, ROWS * BANDS)) for f in (first, second)]
         (ra, na, ca, xa), (rb, nb, cb, xb) = sides
+        # the keys themselves: bytes of a signature can agree in a band whose bucket the two do not share
+        ka, kb = (None, None) if partners else (np.stack(f["bands"].to_list()) for f in (first, second))
         out = []
         for at in range(len(ra)):
             fits = (cb != ca[at]) & (100 * np.minimum(nb, na[at]) >= percent * np.maximum(nb, na[at]))
             fits = np.flatnonzero(fits & (rb > ra[at]) if alone and not partners else fits)
             if not len(fits):
                 continue
-            same = xb[fits] == xa[at]
-            share = same.mean(axis=1)
+            share = (xb[fits] == xa[at]).mean(axis=1)
             good = share >= LIKELY
-            fits, same, share = fits[good], same[good], share[good]
+            fits, share = fits[good], share[good]
             if partners:
                 keep = np.argsort(-share, kind="stable")[:partners]
             else:
-                keep = np.flatnonzero(same.reshape(-1, ROWS, BANDS).all(axis=1).argmax(axis=1) == band)
+                keep = np.flatnonzero((kb[fits] == ka[at]).argmax(axis=1) == band)
             out += [(min(ra[at], r), max(ra[at], r)) for r in rb[fits[keep]]]
         return out
 
@@ -240,7 +241,8 @@ def near_duplicates(docs: DataFrame, percent: int = SIMILARITY_PERCENT) -> DataF
         named = left.join(label, F.col("rep") == F.col("node"), "left").select("key", "band", "rep", "n", F.coalesce("component", "rep").alias("component"))
         mixed = named.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("key")
         met = stash.keep(named.join(mixed, "key", "left_semi"), "open")
-        new = likely_pairs(met.join(reps.select("rep", "sketch"), "rep"), percent, partners)
+        bands = F.lit(None).cast("array<long>").alias("bands") if partners else "bands"
+        new = likely_pairs(met.join(reps.select("rep", "sketch", bands), "rep"), percent, partners)
         new = stash.keep(new.join(done, ["a", "b"], "left_anti"), "pairs")
         done, left = done.union(new), met.select("key", "band", "rep", "n")
         found = stash.keep(confirm(new, sets, percent), "links")

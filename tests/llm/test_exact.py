@@ -190,6 +190,17 @@ def test_near_duplicates_odd_rows(spark):
     assert got == Counter({(3, 2, 3, True): 2, (None, 2, 3, False): 1, (None, 0, None, True): 1, (None, 1, None, True): 1})
 
 
+def test_first_shared_band_is_that_of_the_keys(spark):
+    """Signature bytes that agree in an earlier band whose key differs do not lose the pair, nor make it come twice."""
+    sketch = bytes(neardup.ROWS * neardup.BANDS)
+    keys = {r: [1000 * r + j for j in range(neardup.BANDS)] for r in (1, 2, 3)}
+    for r, j in ((1, 5), (2, 5), (1, 9), (2, 9), (2, 30), (3, 30)):
+        keys[r][j] = j
+    rows = [(j, j, r, 10, r, sketch, keys[r]) for j, pair in ((5, (1, 2)), (9, (1, 2)), (30, (2, 3))) for r in pair]
+    entries = spark.createDataFrame(rows, "key long, band int, rep long, n long, component long, sketch binary, bands array<long>")
+    assert sorted(tuple(r) for r in neardup.likely_pairs(entries, 75, None).collect()) == [(1, 2), (2, 3)]
+
+
 def test_components_of_a_path_and_a_star(spark):
     from millrace.llm.storage import Stash
 
