@@ -9,9 +9,9 @@
    their lists.
 4. Queries walk the graph together. In each hop a query visits its best unvisited nodes, and takes their neighbours
    and distances back into its pool.
-5. The best of the pool are scored again on the original vectors, in double precision.
+5. The best of the pool are scored again on the original vectors, by differences of components.
 
-Steps 2-4 use vectors scaled to signed bytes. All group work is done on sorted partitions, a group at a time, with
+Vectors keep the precision they come in, and distances are computed in double precision. All group work is done on sorted partitions, a group at a time, with
 groups of bounded size.
 """
 
@@ -34,18 +34,23 @@ DEGREE, TREES, BLOCK, ROUNDS = 24, 8, 320, 3
 SAMPLE, DEEPEST = 20_000, 11
 #: Nodes that meet at one node (themselves chosen by hash if more list it), and improvements it sends to each.
 MEETING, SENT = 48, 8
-#: Search: pool, nodes visited a hop, hops, and candidates scored on original vectors.
-POOL, VISITED, HOPS, RESCORED = 320, 80, 6, 48
+#: Search: pool, nodes visited a hop, hops, and the least number of candidates scored on original vectors; all whose
+#: squared distance is within rounding of the eleventh are scored too.
+POOL, VISITED, HOPS, RESCORED, ROUNDING = 320, 80, 6, 48, 1e-6
 
 STATE = "v long, vec binary, ids binary, dist binary, rev binary"
 
 
 def matrix(vecs, dim: int) -> np.ndarray:
-    return np.frombuffer(b"".join(vecs), dtype=np.int8).reshape(-1, dim).astype(np.float32)
+    """Rows of packed vectors, of four or eight bytes a component."""
+    raw = b"".join(vecs)
+    return np.frombuffer(raw, dtype=f"f{len(raw) // (len(vecs) * dim)}" if raw else np.float64).reshape(-1, dim).astype(np.float64)
 
 
 def distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Squared, between all rows."""
+    """Squared, between all rows; about one of them, as near copies differ in the last digits of their lengths."""
+    if len(y):
+        x, y = x - y[:1], y - y[:1]
     return np.maximum((x * x).sum(1)[:, None] + (y * y).sum(1)[None] - 2 * x @ y.T, 0)
 
 
@@ -54,7 +59,7 @@ def ints(raw: bytes | None) -> np.ndarray:
 
 
 def floats(raw: bytes | None) -> np.ndarray:
-    return np.frombuffer(raw or b"", dtype=np.float32)
+    return np.frombuffer(raw or b"", dtype=np.float64)
 
 
 def best(ids: np.ndarray, dist: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -85,13 +90,12 @@ def clean(vectors: DataFrame, stash: Stash) -> tuple[DataFrame, int]:
     return stash.keep(nodes, "nodes"), dim
 
 
-def scaled(nodes: DataFrame) -> DataFrame:
-    """(v, vec) with components as signed bytes on one scale for all."""
-    top = nodes.select(F.max(F.array_max(F.transform("e", F.abs)))).head()[0] or 1.0
+def pack_vectors(nodes: DataFrame, kind: str) -> DataFrame:
+    """(v, vec) with the components' bytes, as numbers of that kind."""
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame({"v": batch["v"], "vec": [np.rint(np.asarray(e) * (127.0 / top)).astype(np.int8).tobytes() for e in batch["e"]]})
+            yield pd.DataFrame({"v": batch["v"], "vec": [np.asarray(e, dtype=kind).tobytes() for e in batch["e"]]})
 
     return nodes.select("v", "e").mapInPandas(pack, "v long, vec binary")
 
@@ -108,7 +112,7 @@ def fit_trees(vectors: DataFrame, total: int, dim: int) -> list[tuple[np.ndarray
         directions, cuts, node = rng.normal(size=(depth, dim)).astype(np.float32), [], np.zeros(len(x), dtype=np.int64)
         for level in range(depth):
             p = x @ directions[level]
-            cut = np.array([np.median(p[node == i]) if (node == i).any() else 0.0 for i in range(1 << level)], dtype=np.float32)
+            cut = np.array([np.median(p[node == i]) if (node == i).any() else 0.0 for i in range(1 << level)])
             cuts.append(cut)
             node = node * 2 + (p > cut[node])
         trees.append((directions, cuts))
@@ -140,7 +144,7 @@ def first_graph(vectors: DataFrame, total: int, dim: int, stash: Stash) -> DataF
         if k < 1:
             return [(int(ids[0]), b"", b"")]
         at = np.argpartition(d, k - 1, axis=1)[:, :k]
-        near = np.take_along_axis(d, at, 1).astype(np.float32)
+        near = np.take_along_axis(d, at, 1)
         return [(int(v), ids[a].tobytes(), n.tobytes()) for v, a, n in zip(ids, at, near)]
 
     return by_group(dealt.select("tree", "leaf", "block", "v", "vec"), ["tree", "leaf", "block"], nearest, "v long, ids binary, dist binary")
@@ -172,9 +176,9 @@ def messages(state: DataFrame) -> DataFrame:
                 at = np.repeat(np.arange(len(part)), n)
                 to = [np.concatenate([a, b, [v]]) for a, b, v in zip(ids, rev, part["v"])]
                 kind = [np.repeat([1, 0, 2], [len(a), len(b), 1]) for a, b in zip(ids, rev)]
-                yield pd.DataFrame({"u": np.concatenate(to), "v": part["v"].to_numpy()[at], "vec": part["vec"].to_numpy()[at], "radius": np.array(radius, dtype=np.float32)[at], "kind": np.concatenate(kind).astype(np.int32)})
+                yield pd.DataFrame({"u": np.concatenate(to), "v": part["v"].to_numpy()[at], "vec": part["vec"].to_numpy()[at], "radius": np.array(radius)[at], "kind": np.concatenate(kind).astype(np.int32)})
 
-    return state.mapInPandas(send, "u long, v long, vec binary, radius float, kind int")
+    return state.mapInPandas(send, "u long, v long, vec binary, radius double, kind int")
 
 
 def members(group: pd.DataFrame) -> tuple[int, pd.DataFrame, np.ndarray]:
@@ -200,7 +204,7 @@ def descend(state: DataFrame, dim: int) -> DataFrame:
         out = [(u, b"", b"", rev.tobytes())]
         if len(ids) < 2:
             return out
-        d = distances(x, x).astype(np.float32)
+        d = distances(x, x)
         np.fill_diagonal(d, np.inf)
         k = min(SENT, len(ids) - 1)
         at = np.argpartition(d, k - 1, axis=1)[:, :k]
@@ -265,7 +269,7 @@ def search(state: DataFrame, queries: DataFrame, dim: int, stash: Stash, hops: i
 
         def answer(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for batch in batches:
-                near = [distances(matrix([a], dim), matrix([b], dim))[0].astype(np.float32).tobytes() if b else b"" for a, b in zip(batch["qvec"], batch["vecs"])]
+                near = [distances(matrix([a], dim), matrix([b[i : i + len(a)] for i in range(0, len(b), len(a))], dim))[0].tobytes() if b else b"" for a, b in zip(batch["qvec"], batch["vecs"])]
                 yield pd.DataFrame({"q": batch["q"], "ids": batch["ids"], "dist": near})
 
         found = requests.join(table, "u").select("q", "qvec", "ids", "vecs").mapInPandas(answer, "q long, ids binary, dist binary")
@@ -274,12 +278,17 @@ def search(state: DataFrame, queries: DataFrame, dim: int, stash: Stash, hops: i
 
     def pool(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            ids = [ints(x)[:RESCORED] for x in batch["ids"]]
+            ids = [ints(x)[: max(RESCORED, within(floats(d)))] for x, d in zip(batch["ids"], batch["dist"])]
             yield pd.DataFrame({"q": np.repeat(batch["q"].to_numpy(), [len(x) for x in ids]), "c": np.concatenate([*ids, np.zeros(0, dtype=np.int64)])})
 
     return walk.mapInPandas(pool, "q long, c long")
 
 
+def within(dist: np.ndarray) -> int:
+    """How many of the ascending squared distances can't be told from the eleventh, or are less."""
+    return int(np.searchsorted(dist, dist[NEIGHBOURS] * (1 + ROUNDING), "right")) if len(dist) > NEIGHBOURS else len(dist)
+
+
 def _requests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         to = [ints(x) for x in batch["next"]]
@@ -301,7 +310,8 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = NEIGHBOURS) -> DataFr
     nodes, dim = clean(vectors, stash)
     asked = vectors.select("vec_id", F.col("embedding").cast("array<double>").alias("e")).where(is_query & F.col("vec_id").isNotNull() & usable(F.col("e")))
     asked = stash.keep(asked.join(nodes.select("e", "v"), "e").select("vec_id", "v").distinct(), "queries")
-    packed = stash.keep(scaled(nodes), "vectors")
+    kind = "f4" if vectors.schema["embedding"].dataType.elementType.simpleString() == "float" else "f8"
+    packed = stash.keep(pack_vectors(nodes, kind), "vectors")
     state = build_graph(packed, dim, stash)
     pairs = search(state, asked.select("v").distinct(), dim, stash).union(asked.select("v", F.col("v").alias("c")).distinct())
     side = lambda c, e: nodes.select(F.col("v").alias(c), F.col("e").alias(e))

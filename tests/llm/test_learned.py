@@ -57,6 +57,22 @@ def test_neighbours_of_odd_vectors(spark):
     assert ann.nearest(df.limit(0), F.col("vec_id") % 100 == 0).count() == 0
 
 
+@pytest.mark.parametrize("kind,large", [("float", 1.0), ("float", 200.0), ("double", 200.0)])
+def test_neighbours_among_near_copies(spark, kind, large):
+    """Clusters of near copies, and one vector with far larger components."""
+    rng = np.random.default_rng(7)
+    centres = rng.normal(size=(6, 32))
+    x = np.repeat(centres / np.linalg.norm(centres, axis=1, keepdims=True), 150, axis=0) + rng.normal(scale=3e-4, size=(900, 32))
+    x[-1] *= large
+    x = x.astype(np.float32).astype(float)
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    want = brute_nearest(rows, lambda i: i % 30 == 0)
+    got = defaultdict(set)
+    for r in ann.nearest(spark.createDataFrame(rows, f"vec_id long, embedding array<{kind}>"), F.col("vec_id") % 30 == 0).collect():
+        got[r["query_id"]].add(r["vec_id"])
+    assert sum(len(got[q] & {j for _, j in near}) for q, near in want.items()) >= 0.95 * 10 * len(want)
+
+
 def test_groups_cross_batches():
     import pandas as pd
 
