@@ -26,9 +26,11 @@ PIECES = "piece int, start long, length long, ids_crc32 long"
 
 
 class SumIndex:
-    """Which lengths, pairs and triples of lengths add up to a sum, under availability counts.
+    """Hash tables from a sum to the single, pair and triple combinations of lengths that make it, under availability counts.
 
-    Counts only fall, so for each sum the first candidate (largest member first) moves down once and never back.
+    ``pairs[s]`` holds the larger members of pairs, ``triples[s]`` the largest members of triples whose other two are a
+    pair of the table, both largest first. Counts only fall, so each table's cursor passes a used-up combination once
+    and never comes back to it. The tables have about capacity squared entries at most, whatever the corpus size.
     """
 
     def __init__(self, counts: dict[int, int], capacity: int):
@@ -36,8 +38,24 @@ class SumIndex:
         for length, n in counts.items():
             self.left[length] = n
         self.top = capacity
-        self.first_pair = [min(s - 1, capacity) for s in range(capacity + 1)]
-        self.first_triple = [min(s - 2, capacity) for s in range(capacity + 1)]
+        lengths = np.array(sorted((k for k, n in counts.items() if n > 0), reverse=True), dtype=np.int64)
+        a, b = (x.ravel() for x in np.meshgrid(lengths, lengths, indexing="ij"))
+        fits = (a >= b) & (a + b <= capacity)
+        self.pairs = self._table(a[fits] + b[fits], a[fits])
+        # the smallest larger member of each pair sum: a triple exists if it is no longer than the third
+        low = {s: members[-1] for s, members in self.pairs.items()}
+        sums, least = (np.array(x, dtype=np.int64) for x in (list(low), list(low.values())))
+        a, s = (x.ravel() for x in np.meshgrid(lengths, sums, indexing="ij"))
+        fits = (a >= np.tile(least, len(lengths))) & (a + s <= capacity)
+        self.triples = self._table(a[fits] + s[fits], a[fits])
+        self.at_pair, self.at_triple = Counter(), Counter()
+
+    @staticmethod
+    def _table(sums: np.ndarray, members: np.ndarray) -> dict[int, list[int]]:
+        order = np.lexsort((-members, sums))
+        sums, members = sums[order], members[order]
+        keys, first = np.unique(sums, return_index=True)
+        return {int(k): part.tolist() for k, part in zip(keys, np.split(members, first[1:]))}
 
     def largest(self, limit: int, used: Counter) -> int:
         while self.top and not self.left[self.top]:
@@ -50,33 +68,30 @@ class SumIndex:
     def single(self, gap: int, used: Counter) -> tuple[int, ...]:
         return (gap,) if self.left[gap] - used[gap] > 0 else ()
 
-    def _pair_at(self, gap: int, a: int, used: Counter | dict) -> bool:
+    def _has_pair(self, gap: int, a: int, used: Counter | dict) -> bool:
         b = gap - a
         return self.left[a] - used.get(a, 0) > (a == b) and self.left[b] - used.get(b, 0) > 0
 
     def pair(self, gap: int, used: Counter, most: int | None = None) -> tuple[int, ...]:
         """Largest member first, at most ``most``."""
-        a = self.first_pair[gap]
-        while 2 * a >= gap > 1 and not self._pair_at(gap, a, {}):
-            a -= 1
-        self.first_pair[gap] = a
-        a = a if most is None else min(a, most)
-        while 2 * a >= gap > 1:
-            if self._pair_at(gap, a, used):
+        members, at = self.pairs.get(gap, ()), self.at_pair[gap]
+        while at < len(members) and not self._has_pair(gap, members[at], {}):
+            at += 1
+        self.at_pair[gap] = at
+        for a in members[at:]:
+            if (most is None or a <= most) and self._has_pair(gap, a, used):
                 return (a, gap - a)
-            a -= 1
         return ()
 
     def triple(self, gap: int, used: Counter) -> tuple[int, ...]:
-        a = self.first_triple[gap]
-        while 3 * a >= gap > 2 and not (self.left[a] and self.pair(gap - a, Counter())):
-            a -= 1
-        self.first_triple[gap] = a
-        while 3 * a >= gap > 2:
+        members, at = self.triples.get(gap, ()), self.at_triple[gap]
+        while at < len(members) and not (self.left[members[at]] and self.pair(gap - members[at], Counter())):
+            at += 1
+        self.at_triple[gap] = at
+        for a in members[at:]:
             if self.left[a] - used[a] > 0:
                 if rest := self.pair(gap - a, used + Counter({a: 1}), most=a):
                     return (a, *rest)
-            a -= 1
         return ()
 
 

@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 import json
+import re
 from array import array
 from functools import lru_cache
 
 #: Fixed values of the byte-level BPE pre-tokenizer (its published split pattern).
 BYTE_LEVEL_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: The faster library backtracks over white space and overflows its stack on very long runs; texts that hold one as long
+#: as this are encoded by the file's own library.
+LONG_SPACE = re.compile(r"(?<!\s)\s{2000}")
 PROBE = "It's  a\tprobe:\n\n 12 naïve cafés — 東京 'll  <|endoftext|> x\u0085y  "
 
 
@@ -30,7 +34,7 @@ def encoder(path: str):
 
     Plain byte-level BPE files whose ids follow their merge order also run in the faster of the two installed BPE
     libraries, with the same vocabulary; the file's own library encodes a probe text to confirm it, and is used
-    for all other files.
+    for all other files and for texts with a very long run of white space.
     """
     from tokenizers import Tokenizer
 
@@ -59,6 +63,8 @@ def encoder(path: str):
         return slow
 
     def encode(text: str) -> array:
+        if LONG_SPACE.search(text):
+            return slow(text)
         hit = any(s in text for s in names)
         return array("I", fast.encode(text, allowed_special=names) if hit else fast.encode_ordinary(text))
 

@@ -105,6 +105,35 @@ def test_token_rows_round_trip(spark, sf, tmp_path):
     assert tokenout.packed_rows(empty(spark), tokenize.default_path()).count() == 0
 
 
+RUNS = [" " * 1_000_000 + "x", "\n" * 1_000_000 + "x", "a" * 1_000_000, "7" * 1_000_000, "!" * 1_000_000, "one" + "\u3000" * 1999 + "x", "one" + "\t" * 2000 + "x"]
+
+
+def test_million_character_runs(spark, tmp_path):
+    """Runs on which the faster library overflows its stack, through both operators and the pipeline's last stage."""
+    import corpus_pipeline
+
+    docs, texts = frame(spark, RUNS), {i + 1: [t] for i, t in enumerate(RUNS)}
+    for rows in (packing.pack(docs, tokenize.default_path()).collect(), corpus_pipeline.pack(spark, docs, "").collect()):
+        check_pieces(rows, texts, 1024, 2, lambda r: r["sequence_id"], lambda r: r["offset"])
+    made = tokenout.write(tokenout.packed_rows(docs, tokenize.default_path()), f"file://{tmp_path}/rows")
+    check_pieces(tokenout.unpack(made).collect(), texts, tokenout.WIDTH, tokenout.EOS, lambda r: (r["shard"], r["row"]), lambda r: r["offset"])
+
+
+def test_sum_tables_hold_every_combination():
+    import itertools
+
+    rng = np.random.default_rng(4)
+    for _ in range(20):
+        counts = dict(Counter(rng.integers(1, 41, 12).tolist()))
+        index = packing.SumIndex(counts, 40)
+        have = [k for k, n in counts.items() for _ in range(min(n, 3))]
+        for size, find in ((2, index.pair), (3, index.triple)):
+            sums = {sum(c) for c in itertools.combinations(have, size)}
+            for gap in range(1, 41):
+                got = find(gap, Counter())
+                assert bool(got) == (gap in sums) and (not got or sum(got) == gap and not Counter(got) - Counter(counts))
+
+
 def test_capacity_tree_is_best_fit():
     rng = np.random.default_rng(2)
     for _ in range(30):
