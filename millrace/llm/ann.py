@@ -1,50 +1,62 @@
 """Approximate nearest neighbours: an NN-descent graph built by iterative joins, searched greedily.
 
-1. Equal vectors collapse to one node, whose id is the smallest vec_id; a node keeps its eleven smallest ids, which is
+1. Equal vectors collapse to one node, whose name is the smallest vec_id; a node keeps its eleven smallest ids, which is
    all that a list of ten neighbours can show.
-2. A few random-projection trees, with thresholds from a bounded sample, deal every node to small blocks; the exact
+2. Nodes are dealt to parts of about ``PART`` that lie near each other, by the hyperplanes of a random-projection tree.
+   A node's code is its part and its place there. All that follows passes messages between parts, each with the
+   arrays of many nodes, so a vector that many nodes of a part want travels to it once.
+3. A few random-projection trees, with thresholds from a bounded sample, deal every node to small blocks; the exact
    neighbours inside the blocks start the graph.
-3. NN-descent: every node sends its vector to its neighbours and to those that list it. Where two nodes meet at a
-   third they are neighbours of a neighbour: their distance is computed there and goes back to both, if it improves
-   their lists.
-4. Queries walk the graph together. In each hop a query visits its best unvisited nodes, and takes their neighbours
-   and distances back into its pool.
-5. The best of the pool are scored again on the original vectors, by differences of components.
-
-Vectors keep the precision they come in, and distances are computed in double precision. All group work is done on sorted partitions, a group at a time, with
-groups of bounded size.
+4. NN-descent: a node's members are its neighbours and a sample of the nodes that list it. Members of one node are
+   neighbours of a neighbour; every pair with a member new since the last round is compared there, and the distance goes
+   back to both where it improves their lists. Rounds go on until one changes less than ``SETTLED`` of all entries.
+5. Queries walk the graph: a query visits the unvisited of its ``beam`` nearest candidates, until none is left; then the
+   beam doubles, until that no longer changes its nearest ten. So the effort is each query's own, with no limit on it.
+6. The best candidates are scored again on the original vectors, by differences of components.
+
+Vectors keep the precision they come in, and distances are computed in double precision. A node that very many list is
+sampled by the sender first; parts that very many queries ask are copied, so none is one task's work.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.grouped import by_group
+from millrace.llm.grouped import by_group, flushed
 from millrace.llm.storage import Stash
 
 NEIGHBOURS = 10
-#: Graph degree, trees, block size, descent rounds.
-DEGREE, TREES, BLOCK, ROUNDS = 24, 8, 320, 3
-#: Vectors that set the trees' thresholds, and the deepest tree that so many can support.
-SAMPLE, DEEPEST = 20_000, 11
-#: Nodes that meet at one node (themselves chosen by hash if more list it), and improvements it sends to each.
-MEETING, SENT = 48, 8
-#: Search: pool, nodes visited a hop, hops, and the least number of candidates scored on original vectors; all whose
-#: squared distance is within rounding of the eleventh are scored too.
-POOL, VISITED, HOPS, RESCORED, ROUNDING = 320, 80, 6, 48, 1e-6
-
-STATE = "v long, vec binary, ids binary, dist binary, rev binary"
-
-
-def matrix(vecs, dim: int) -> np.ndarray:
-    """Rows of packed vectors, of four or eight bytes a component."""
-    raw = b"".join(vecs)
-    return np.frombuffer(raw, dtype=f"f{len(raw) // (len(vecs) * dim)}" if raw else np.float64).reshape(-1, dim).astype(np.float64)
+#: Graph degree, trees, nodes of a block and of a part.
+DEGREE, TREES, BLOCK, PART = 24, 8, 320, 2048
+#: Vectors that set the trees' thresholds, and how many of them a threshold rests on at least: deeper ones use those of
+#: the last level that has so many.
+SAMPLE, LEAST_SAMPLE = 20_000, 8
+#: Share of changed entries below which descent ends.
+SETTLED = 0.03
+#: Candidates that a query's first walk settles.
+FIRST_BEAM = 128
+#: Least number of candidates scored on original vectors; all whose squared distance is within rounding of the eleventh
+#: are scored too.
+RESCORED, ROUNDING = 48, 1e-6
+#: Questions to a part that one task answers.
+ASKED = 20_000
+#: Bits of a code that hold the place in a part, and as many for the split of a zone.
+PLACE = 20
+BATCH = "4m"
+
+STATE = "part long, n int, vecs binary, ids binary, dist binary, fresh binary, changed long"
+NEWS = "part long, a binary, b binary, d binary"
+
+
+def matrix(raw: bytes, dim: int, n: int) -> np.ndarray:
+    """n packed vectors, of four or eight bytes a component."""
+    return np.frombuffer(raw, dtype=f"f{len(raw) // (n * dim)}" if n else "f8").reshape(n, dim)
 
 
 def distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -62,14 +74,32 @@ def floats(raw: bytes | None) -> np.ndarray:
     return np.frombuffer(raw or b"", dtype=np.float64)
 
 
-def best(ids: np.ndarray, dist: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """The k nearest distinct ids; ties to the smaller id."""
-    order = np.lexsort((ids, dist))
-    ids, dist = ids[order], dist[order]
-    _, first = np.unique(ids, return_index=True)
-    first.sort()
-    first = first[:k]
-    return ids[first], dist[first]
+def flags(raw: bytes | None) -> np.ndarray:
+    return np.frombuffer(raw or b"", dtype=bool)
+
+
+def gathered(column: pd.Series, read: Callable[[bytes], np.ndarray]) -> np.ndarray:
+    return read(b"".join(x for x in column if x is not None))
+
+
+def by_part(codes: np.ndarray, *others: np.ndarray) -> Iterator[tuple]:
+    """(part, codes, others...) as bytes, for each part that has a code."""
+    order = np.argsort(codes >> PLACE, kind="stable")
+    codes, others = codes[order], [x[order] for x in others]
+    parts, first = np.unique(codes >> PLACE, return_index=True)
+    for part, a, b in zip(parts.tolist(), first, [*first[1:], len(codes)]):
+        yield (part, codes[a:b].tobytes(), *(x[a:b].tobytes() for x in others))
+
+
+def nearest_first(v: np.ndarray, w: np.ndarray, d: np.ndarray, k: int) -> np.ndarray:
+    """Places of each v's k nearest distinct w, nearest first; ties to the smaller, of equal pairs the first given."""
+    order = np.lexsort((np.arange(len(v)), w, v))
+    same = np.zeros(len(v), dtype=bool)
+    same[1:] = (v[order[1:]] == v[order[:-1]]) & (w[order[1:]] == w[order[:-1]])
+    order = order[~same]
+    order = order[np.lexsort((w[order], d[order], v[order]))]
+    _, first, number = np.unique(v[order], return_index=True, return_counts=True)
+    return order[np.arange(len(order)) - np.repeat(first, number) < k]
 
 
 def usable(embedding: Column) -> Column:
@@ -90,214 +120,393 @@ def clean(vectors: DataFrame, stash: Stash) -> tuple[DataFrame, int]:
     return stash.keep(nodes, "nodes"), dim
 
 
-def pack_vectors(nodes: DataFrame, kind: str) -> DataFrame:
-    """(v, vec) with the components' bytes, as numbers of that kind."""
+class Trees(NamedTuple):
+    """For each tree a random direction for each level, and the thresholds of the level's nodes, down to the level that
+    the sample supports; below it, those of the last such node's sample."""
+
+    depth: int
+    fitted: int
+    directions: np.ndarray
+    cuts: list[list[np.ndarray]]
+
+    @classmethod
+    def fit(cls, x: np.ndarray, total: int, dim: int) -> Trees:
+        depth = max(0, int(np.ceil(np.log2(max(1, total) / BLOCK))))
+        fitted = min(depth, max(0, int(np.log2(max(1, len(x)) / LEAST_SAMPLE))))
+        rng, cuts = np.random.default_rng(20_240_503), []
+        directions = rng.normal(size=(TREES, depth, dim))
+        for t in range(TREES):
+            node, own = np.zeros(len(x), dtype=np.int64), []
+            for level in range(depth):
+                p = x @ directions[t, level]
+                order = np.lexsort((p, node))
+                keys, first, number = np.unique(node[order], return_index=True, return_counts=True)
+                cut = np.zeros(1 << min(level, fitted))
+                cut[keys] = p[order][first + number // 2]
+                own.append(cut)
+                if level < fitted:
+                    node = node * 2 + (p > cut[node])
+            cuts.append(own)
+        return cls(depth, fitted, directions, cuts)
+
+    def leaf(self, tree: int, x: np.ndarray, depth: int | None = None) -> np.ndarray:
+        node = np.zeros(len(x), dtype=np.int64)
+        for level in range(self.depth if depth is None else depth):
+            known = node >> max(0, level - self.fitted)
+            node = node * 2 + (x @ self.directions[tree, level] > self.cuts[tree][level][known])
+        return node
+
+
+def sampled_trees(nodes: DataFrame, total: int, dim: int) -> Trees:
+    share = F.pmod(F.xxhash64("v", F.lit(3)), F.lit(1_000_003)) / 1_000_003.0
+    rows = nodes.where(share < SAMPLE / max(1, total)).select("e").collect()  # about SAMPLE short rows
+    return Trees.fit(np.array([r["e"] for r in rows], dtype=np.float64).reshape(-1, dim), total, dim)
+
+
+def dealt_to_parts(nodes: DataFrame, total: int, dim: int, kind: str, trees: Trees, stash: Stash) -> DataFrame:
+    """(part, n, vecs, names): the vectors of each part, and their v."""
+    shipped, depth = nodes.sparkSession.sparkContext.broadcast(trees), max(0, int(np.ceil(np.log2(max(1, total) / PART))))
 
-    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def route(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame({"v": batch["v"], "vec": [np.asarray(e, dtype=kind).tobytes() for e in batch["e"]]})
+            x = np.array(batch["e"].tolist(), dtype=kind).reshape(-1, dim)
+            yield pd.DataFrame({"zone": shipped.value.leaf(0, x.astype(np.float64), depth), "v": batch["v"], "vec": [r.tobytes() for r in x]})
 
-    return nodes.select("v", "e").mapInPandas(pack, "v long, vec binary")
+    zoned = stash.keep(nodes.select("v", "e").mapInPandas(route, "zone long, v long, vec binary"), "zones")
+    splits = zoned.groupBy("zone").agg(F.ceil(F.count("*") / PART).alias("splits"))
+    dealt = zoned.join(splits, "zone").select("zone", F.pmod(F.xxhash64("v"), "splits").alias("split"), "v", "vec")
 
+    def block(group: pd.DataFrame) -> list[tuple]:
+        part = (int(group["zone"].iloc[0]) << PLACE) | int(group["split"].iloc[0])
+        return [(part, len(group), b"".join(group["vec"]), group["v"].to_numpy(dtype=np.int64).tobytes())]
 
-def fit_trees(vectors: DataFrame, total: int, dim: int) -> list[tuple[np.ndarray, list[np.ndarray]]]:
-    """For each tree, a random direction for each level and the thresholds of the level's nodes."""
-    depth = min(DEEPEST, max(0, int(np.ceil(np.log2(max(1, total) / BLOCK)))))
-    if not depth:
-        return [(np.zeros((0, dim), dtype=np.float32), [])]
-    share = F.pmod(F.xxhash64("v", F.lit(3)), F.lit(1_000_003)) / 1_000_003.0
-    x = matrix([r["vec"] for r in vectors.where(share < SAMPLE / total).select("vec").collect()], dim)  # about SAMPLE short rows
-    rng, trees = np.random.default_rng(20_240_503), []
-    for _ in range(TREES):
-        directions, cuts, node = rng.normal(size=(depth, dim)).astype(np.float32), [], np.zeros(len(x), dtype=np.int64)
-        for level in range(depth):
-            p = x @ directions[level]
-            cut = np.array([np.median(p[node == i]) if (node == i).any() else 0.0 for i in range(1 << level)])
-            cuts.append(cut)
-            node = node * 2 + (p > cut[node])
-        trees.append((directions, cuts))
-    return trees
-
-
-def first_graph(vectors: DataFrame, total: int, dim: int, stash: Stash) -> DataFrame:
-    """(v, ids, dist) of the exact neighbours within each tree's block."""
-    trees = vectors.sparkSession.sparkContext.broadcast(fit_trees(vectors, total, dim))
+    out = stash.keep(by_group(dealt, ["zone", "split"], block, "part long, n int, vecs binary, names binary", order=["v"]), "parts", BATCH)
+    stash.drop(zoned)
+    return out
 
-    def route(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+
+def names_of(parts: DataFrame) -> DataFrame:
+    """(code, v) of every node."""
+
+    def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            x = matrix(batch["vec"], dim)
-            for t, (directions, cuts) in enumerate(trees.value):
-                leaf = np.zeros(len(x), dtype=np.int64)
-                for direction, cut in zip(directions, cuts):
-                    leaf = leaf * 2 + (x @ direction > cut[leaf])
-                yield batch.assign(tree=t, leaf=leaf)
-
-    dealt = stash.keep(vectors.mapInPandas(route, "v long, vec binary, tree int, leaf long"), "leaves")
-    sizes = dealt.groupBy("tree", "leaf").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))  # at most TREES * 2**DEEPEST rows
-    dealt = dealt.join(F.broadcast(sizes), ["tree", "leaf"]).withColumn("block", F.pmod(F.xxhash64("v", "tree"), F.col("blocks")))
-
-    def nearest(group: pd.DataFrame) -> list[tuple]:
-        ids, x = group["v"].to_numpy(), matrix(group["vec"], dim)
-        d = distances(x, x)
-        np.fill_diagonal(d, np.inf)
-        k = min(DEGREE, len(ids) - 1)
-        if k < 1:
-            return [(int(ids[0]), b"", b"")]
-        at = np.argpartition(d, k - 1, axis=1)[:, :k]
-        near = np.take_along_axis(d, at, 1)
-        return [(int(v), ids[a].tobytes(), n.tobytes()) for v, a, n in zip(ids, at, near)]
-
-    return by_group(dealt.select("tree", "leaf", "block", "v", "vec"), ["tree", "leaf", "block"], nearest, "v long, ids binary, dist binary")
-
-
-def merged(state: DataFrame, news: DataFrame, degree: int) -> DataFrame:
-    """State with each node's neighbours improved by the news: rows (v, ids, dist, rev)."""
-    rows = state.select("v", "vec", "ids", "dist", F.lit(None).cast("binary").alias("rev")).unionByName(news.withColumn("vec", F.lit(None).cast("binary")))
+            for part, names in zip(batch["part"], batch["names"]):
+                v = ints(names)
+                yield pd.DataFrame({"code": (int(part) << PLACE) + np.arange(len(v)), "v": v})
+
+    return parts.select("part", "names").mapInPandas(each, "code long, v long")
+
+
+def first_graph(parts: DataFrame, dim: int, trees: Trees, stash: Stash) -> DataFrame:
+    """News of the exact neighbours within each tree's blocks."""
+    shipped = parts.sparkSession.sparkContext.broadcast(trees)
+
+    def route(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def rows() -> Iterator[tuple]:
+            for batch in batches:
+                for part, n, vecs in zip(batch["part"], batch["n"], batch["vecs"]):
+                    x = matrix(vecs, dim, n)
+                    wide = x.astype(np.float64)
+                    for tree in range(TREES):
+                        leaf = shipped.value.leaf(tree, wide)
+                        order = np.argsort(leaf, kind="stable")
+                        leaves, first = np.unique(leaf[order], return_index=True)
+                        for at, members in zip(leaves.tolist(), np.split(order, first[1:])):
+                            yield tree, at, int(part), len(members), ((int(part) << PLACE) + members).tobytes(), x[members].tobytes()
+
+        yield from flushed(rows(), ["tree", "leaf", "part", "n", "codes", "vecs"])
+
+    dealt = stash.keep(parts.mapInPandas(route, "tree int, leaf long, part long, n int, codes binary, vecs binary"), "leaves", BATCH)
+    sizes = dealt.groupBy("tree", "leaf").agg(F.ceil(F.sum("n") / (2 * BLOCK)).alias("blocks"))
+    dealt = dealt.join(sizes, ["tree", "leaf"]).withColumn("block", F.pmod(F.xxhash64("part"), F.col("blocks")))
+
+    def nearest(group: pd.DataFrame) -> Iterator[tuple]:
+        codes = gathered(group["codes"], ints)
+        x = matrix(b"".join(group["vecs"]), dim, len(codes)).astype(np.float64)
+        # leaves that are still too large are cut along one more direction
+        along = np.argsort(x @ np.random.default_rng(int(codes[0]) & 0xFFFF).normal(size=dim), kind="stable")
+        found = []
+        for at in np.array_split(along, -(-len(codes) // (3 * BLOCK // 2))):
+            d = distances(x[at], x[at])
+            np.fill_diagonal(d, np.inf)
+            k = min(DEGREE, len(at) - 1)
+            if k > 0:
+                near = np.argpartition(d, k - 1, axis=1)[:, :k]
+                found.append((np.repeat(codes[at], k), codes[at][near].ravel(), np.take_along_axis(d, near, 1).ravel()))
+        if found:
+            yield from by_part(*(np.concatenate(x) for x in zip(*found)))
+
+    return by_group(dealt.select("tree", "leaf", "block", "codes", "vecs"), ["tree", "leaf", "block"], nearest, NEWS)
+
+
+def merged(state: DataFrame, news: DataFrame) -> DataFrame:
+    """State with each node's neighbours improved by the news; fresh marks what was not there before."""
+    rows = state.drop("changed").unionByName(news, allowMissingColumns=True)
 
     def merge(group: pd.DataFrame) -> list[tuple]:
-        v = int(group["v"].iloc[0])
-        ids, dist = np.concatenate([ints(x) for x in group["ids"]]), np.concatenate([floats(x) for x in group["dist"]])
-        ids, dist = best(ids, dist, degree)
-        rev = next((r for r in group["rev"] if r), b"")
-        return [(v, next(x for x in group["vec"] if x is not None), ids.tobytes(), dist.tobytes(), rev)]
+        old = group[group["n"].notna()].iloc[0]
+        n, part = int(old["n"]), int(old["part"])
+        a, b, d = gathered(group["a"], ints), gathered(group["b"], ints), gathered(group["d"], floats)
+        ids, dist = (ints(old["ids"]), floats(old["dist"])) if old["ids"] is not None else (np.full(n * DEGREE, -1), np.full(n * DEGREE, np.inf))
+        held = np.flatnonzero(ids >= 0)
+        v, w = np.concatenate([held // DEGREE, a & ((1 << PLACE) - 1)]), np.concatenate([ids[held], b])
+        s, new = np.concatenate([dist[held], d]), np.arange(len(held) + len(a)) >= len(held)
+        keep = nearest_first(v, w, s, DEGREE)
+        _, first, number = np.unique(v[keep], return_index=True, return_counts=True)
+        at = v[keep] * DEGREE + np.arange(len(keep)) - np.repeat(first, number)
+        ids, dist, fresh = np.full(n * DEGREE, -1), np.full(n * DEGREE, np.inf), np.zeros(n * DEGREE, dtype=bool)
+        ids[at], dist[at], fresh[at] = w[keep], s[keep], new[keep]
+        return [(part, n, old["vecs"], ids.tobytes(), dist.tobytes(), fresh.tobytes(), int(fresh.sum()))]
+
+    return by_group(rows, ["part"], merge, STATE)
+
+
+def member_lists(state: DataFrame) -> DataFrame:
+    """(part, n, members, fresh): for each node its neighbours and up to as many of those that list it, fresh ones first;
+    -1 where there is none."""
+
+    def tell(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def rows() -> Iterator[tuple]:
+            for batch in batches:
+                for part, n, ids, fresh in zip(batch["part"], batch["n"], batch["ids"], batch["fresh"]):
+                    to, new = ints(ids), flags(fresh)
+                    held = np.flatnonzero(to >= 0)
+                    if len(held):
+                        keep = _chosen(to[held], (int(part) << PLACE) + held // DEGREE, new[held])
+                        yield from by_part(to[held][keep], ((int(part) << PLACE) + held // DEGREE)[keep], new[held][keep])
+
+        yield from flushed(rows(), ["part", "a", "b", "d"])
+
+    rows = state.select("part", "n", "ids", "fresh").unionByName(state.select("part", "n", "ids", "fresh").mapInPandas(tell, NEWS), allowMissingColumns=True)
+
+    def collect(group: pd.DataFrame) -> list[tuple]:
+        own = group[group["n"].notna()].iloc[0]
+        n = int(own["n"])
+        members, fresh = np.full((n, 2 * DEGREE), -1), np.zeros((n, 2 * DEGREE), dtype=bool)
+        members[:, :DEGREE], fresh[:, :DEGREE] = ints(own["ids"]).reshape(n, DEGREE), flags(own["fresh"]).reshape(n, DEGREE)
+        to, who, new = gathered(group["a"], ints), gathered(group["b"], ints), gathered(group["d"], flags)
+        if len(to):
+            other = ~(members[to & ((1 << PLACE) - 1), :DEGREE] == who[:, None]).any(1)
+            to, who, new = to[other], who[other], new[other]
+            keep = _chosen(to, who, new)
+            at = to[keep] & ((1 << PLACE) - 1)
+            _, first, number = np.unique(at, return_index=True, return_counts=True)
+            place = DEGREE + np.arange(len(at)) - np.repeat(first, number)
+            members[at, place], fresh[at, place] = who[keep], new[keep]
+        return [(int(own["part"]), n, members.tobytes(), fresh.tobytes())]
+
+    return by_group(rows, ["part"], collect, "part long, n int, members binary, fresh binary")
+
+
+def _chosen(to: np.ndarray, who: np.ndarray, new: np.ndarray) -> np.ndarray:
+    """Places of DEGREE at most for each ``to``, by a hash, fresh ones first; in order of ``to``."""
+    mixed = (who * np.int64(-7046029254386353131)) ^ (to * np.int64(-4417276706812531889))
+    order = np.lexsort((mixed, ~new, to))
+    _, first, number = np.unique(to[order], return_index=True, return_counts=True)
+    return order[np.arange(len(order)) - np.repeat(first, number) < DEGREE]
+
+
+def asked(static: DataFrame, questions: DataFrame, reply: Callable[[tuple, tuple], Iterator[tuple]], schema: str, most: int = 0) -> DataFrame:
+    """What reply(static row, question) gives for the questions to each part; ``most`` bounds a part's questions.
+
+    Questions come one after another to the one static row of their part. If a part may get more than ASKED of them,
+    they are counted, and its row is copied for each so many.
+    """
+    names = [x.split()[0] for x in schema.split(", ")]
+    if most > ASKED:
+        copies = questions.groupBy("part").agg(F.ceil(F.count("*") / ASKED).alias("copies"))
+        questions = questions.join(copies, "part").withColumn("salt", F.pmod(F.xxhash64("home", "q"), F.col("copies"))).drop("copies")
+        static = static.join(copies, "part").withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1))).drop("copies")
+    else:
+        questions, static = questions.withColumn("salt", F.lit(0).cast("long")), static.withColumn("salt", F.lit(0).cast("long"))
+    rows = static.withColumn("turn", F.lit(0)).unionByName(questions.withColumn("turn", F.lit(1)), allowMissingColumns=True)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def rows() -> Iterator[tuple]:
+            held = None
+            for batch in batches:
+                for row in batch.itertuples(index=False):
+                    if row.turn == 0:
+                        held = row
+                    else:
+                        yield from reply(held, row)
 
-    return by_group(rows, ["v"], merge, STATE)
+        yield from flushed(rows(), names)
 
+    return rows.repartition("part", "salt").sortWithinPartitions("part", "salt", "turn").mapInPandas(run, schema)
 
-def messages(state: DataFrame) -> DataFrame:
-    """(u, v, vec, radius, kind): v tells its neighbours (kind 1), those that list it (0) and itself (2)."""
 
-    def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for part in (batch.iloc[i : i + 2000] for i in range(0, len(batch), 2000)):
-                ids, rev = [ints(x) for x in part["ids"]], [ints(x) for x in part["rev"]]
-                radius = [float(floats(d)[-1]) if len(i) >= DEGREE else np.inf for d, i in zip(part["dist"], ids)]
-                n = [len(a) + len(b) + 1 for a, b in zip(ids, rev)]
-                at = np.repeat(np.arange(len(part)), n)
-                to = [np.concatenate([a, b, [v]]) for a, b, v in zip(ids, rev, part["v"])]
-                kind = [np.repeat([1, 0, 2], [len(a), len(b), 1]) for a, b in zip(ids, rev)]
-                yield pd.DataFrame({"u": np.concatenate(to), "v": part["v"].to_numpy()[at], "vec": part["vec"].to_numpy()[at], "radius": np.array(radius)[at], "kind": np.concatenate(kind).astype(np.int32)})
-
-    return state.mapInPandas(send, "u long, v long, vec binary, radius double, kind int")
-
-
-def members(group: pd.DataFrame) -> tuple[int, pd.DataFrame, np.ndarray]:
-    """The node, whoever meets at it (itself first, at most MEETING others) and the ids that list it."""
-    u = int(group["u"].iloc[0])
-    rev = group["v"].to_numpy()[group["kind"].to_numpy() == 1]
-    if len(rev) > DEGREE:
-        rev = rev[np.argsort((rev * np.int64(-7046029254386353131)) ^ u)[:DEGREE]]
-    group = group.sort_values("kind", ascending=False).drop_duplicates("v")
-    if len(group) > MEETING + 1:
-        v, kind = group["v"].to_numpy(), group["kind"].to_numpy()
-        order = np.lexsort(((v * np.int64(-7046029254386353131)) ^ u, np.where(kind == 2, 0, np.where(kind == 0, 1, 2))))
-        group = group.iloc[order[: MEETING + 1]]
-    return u, group, rev
-
-
-def descend(state: DataFrame, dim: int) -> DataFrame:
-    """One round of NN-descent: (v, ids, dist, rev) of improvements, and each node's reverse neighbours."""
-
-    def meet(group: pd.DataFrame) -> list[tuple]:
-        u, group, rev = members(group)
-        ids, radius, x = group["v"].to_numpy(), group["radius"].to_numpy(), matrix(group["vec"], dim)
-        out = [(u, b"", b"", rev.tobytes())]
-        if len(ids) < 2:
-            return out
-        d = distances(x, x)
-        np.fill_diagonal(d, np.inf)
-        k = min(SENT, len(ids) - 1)
-        at = np.argpartition(d, k - 1, axis=1)[:, :k]
-        near = np.take_along_axis(d, at, 1)
-        good = near < radius[:, None]
-        for v, a, n, g in zip(ids, at, near, good):
-            if g.any():
-                out.append((int(v), ids[a[g]].tobytes(), n[g].tobytes(), b""))
-        return out
-
-    return by_group(messages(state), ["u"], meet, "v long, ids binary, dist binary, rev binary", order=["v", "kind"])
-
-
-def with_vectors(state: DataFrame, dim: int) -> DataFrame:
-    """(u, ids, vecs): each node's neighbours and the nodes that list it, with their vectors."""
-
-    def gather(group: pd.DataFrame) -> list[tuple]:
-        u, group, _ = members(group)
-        group = group[group["v"] != u]
-        return [(u, group["v"].to_numpy().tobytes(), b"".join(group["vec"]))]
-
-    return by_group(messages(state), ["u"], gather, "u long, ids binary, vecs binary", order=["v", "kind"])
-
-
-def build_graph(vectors: DataFrame, dim: int, stash: Stash, rounds: int = ROUNDS) -> DataFrame:
-    total = vectors.count()
-    bare = vectors.select("v", "vec", F.lit(None).cast("binary").alias("ids"), F.lit(None).cast("binary").alias("dist"))
-    state = stash.keep(merged(bare, first_graph(vectors, total, dim, stash).withColumn("rev", F.lit(None).cast("binary")), DEGREE), "graph")
-    for _ in range(rounds if total > BLOCK else 1):
-        old, state = state, stash.keep(merged(state, descend(state, dim), DEGREE), "graph")
+def descended(state: DataFrame, dim: int, stash: Stash) -> tuple[DataFrame, DataFrame]:
+    """News of one round of NN-descent, and the member lists that it compared."""
+    lists = stash.keep(member_lists(state), "members", BATCH)
+
+    def wants(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def rows() -> Iterator[tuple]:
+            for batch in batches:
+                for part, n, members, fresh in zip(batch["part"], batch["n"], batch["members"], batch["fresh"]):
+                    m = ints(members).reshape(n, -1)[flags(fresh).reshape(n, -1).any(1)]
+                    m = np.unique(m[m >= 0])
+                    for to, codes in by_part(m):
+                        yield to, int(part), codes
+
+        yield from flushed(rows(), ["part", "home", "codes"])
+
+    def vectors(own, question) -> Iterator[tuple]:
+        at = ints(question.codes) & ((1 << PLACE) - 1)
+        n = int(own.n)
+        yield int(question.home), question.codes, matrix(own.vecs, dim, n)[at].tobytes(), floats(own.dist).reshape(n, DEGREE)[at, -1].tobytes()
+
+    answers = asked(state.select("part", "n", "vecs", "dist"), lists.mapInPandas(wants, "part long, home long, codes binary"), vectors, "part long, codes binary, vecs binary, radius binary")
+
+    def meet(group: pd.DataFrame) -> Iterator[tuple]:
+        own = group[group["n"].notna()].iloc[0]
+        n = int(own["n"])
+        codes, radius = gathered(group["codes"], ints), gathered(group["radius"], floats)
+        if not len(codes):
+            return
+        x, order = matrix(b"".join(v for v in group["vecs"] if v is not None), dim, len(codes)), np.argsort(codes)
+        sorted_codes = codes[order]
+        members, fresh = ints(own["members"]).reshape(n, -1), flags(own["fresh"]).reshape(n, -1)
+        active = fresh.any(1)
+        members, fresh, found, size = members[active], fresh[active], [], 0
+        for i in range(0, len(members), 64):
+            m, f = members[i : i + 64], fresh[i : i + 64]
+            at = order[np.minimum(np.searchsorted(sorted_codes, m), len(codes) - 1)]
+            near = x[at].astype(np.float64)
+            near -= near[:, :1]  # about the nearest neighbour: near copies differ in the last digits of their lengths
+            s = (near * near).sum(2)
+            d = np.maximum(s[:, :, None] + s[:, None, :] - 2 * np.matmul(near, near.transpose(0, 2, 1)), 0)
+            there = m >= 0
+            good = (f[:, :, None] | f[:, None, :]) & there[:, :, None] & there[:, None, :] & (m[:, :, None] != m[:, None, :]) & (d < radius[at][:, :, None])
+            u, a, b = np.nonzero(good)
+            found.append((m[u, a], m[u, b], d[u, a, b]))
+            size += len(u)
+            if size > 400_000:
+                found, size = [_best(found)], 0
+        if found:
+            yield from by_part(*_best(found))
+
+    rows = lists.unionByName(answers, allowMissingColumns=True)
+    return by_group(rows, ["part"], meet, NEWS), lists
+
+
+def _best(found: list[tuple]) -> tuple[np.ndarray, ...]:
+    """Each node's best improvements."""
+    v, w, d = (np.concatenate(x) for x in zip(*found))
+    keep = nearest_first(v, w, d, DEGREE)
+    return v[keep], w[keep], d[keep]
+
+
+def build_graph(parts: DataFrame, total: int, dim: int, trees: Trees, stash: Stash, settled: float = SETTLED) -> DataFrame:
+    none = {"ids": F.lit(None).cast("binary"), "dist": F.lit(None).cast("binary"), "fresh": F.lit(None).cast("binary"), "changed": F.lit(0).cast("long")}
+    state = stash.keep(merged(parts.drop("names").withColumns(none), first_graph(parts, dim, trees, stash)), "graph", BATCH)
+    while trees.depth:  # a table of one block has its exact graph already
+        news, lists = descended(state, dim, stash)
+        old, state = state, stash.keep(merged(state, news), "graph", BATCH)
         stash.drop(old)
+        stash.drop(lists)
+        if state.agg(F.sum("changed")).head()[0] <= settled * total * DEGREE:
+            break
     return state
 
 
-WALK = "q long, qvec binary, ids binary, dist binary, seen binary, next binary"
+WALK = "home long, q long, qvec binary, ids binary, dist binary, seen binary, todo binary, beam int, best binary"
 
 
-def search(state: DataFrame, queries: DataFrame, dim: int, stash: Stash, hops: int = HOPS) -> DataFrame:
-    """(q, c): candidates for each query node, from a greedy walk that starts at its own neighbours."""
-    table = stash.keep(with_vectors(state, dim), "adjacency")
+def next_visits(ids: np.ndarray, seen: np.ndarray, beam: int, best: bytes) -> tuple[np.ndarray, int, bytes]:
+    """What to visit next, with the beam and the nearest that it began with; nothing if a doubled beam changed nothing."""
+    while True:
+        todo = ids[:beam][~seen[:beam]]
+        now = ids[: NEIGHBOURS + 1].tobytes()
+        if len(todo) or beam >= len(ids) or now == best:
+            return todo, beam, best
+        beam, best = 2 * beam, now
 
-    def settle(group: pd.DataFrame) -> list[tuple]:
-        """Pool of the best, with the ids visited so far and those to visit next."""
-        q = int(group["q"].iloc[0])
-        ids, dist = best(np.concatenate([ints(x) for x in group["ids"]]), np.concatenate([floats(x) for x in group["dist"]]), POOL + 1)
-        ids, dist = ids[ids != q][:POOL], dist[ids != q][:POOL]
-        seen = np.concatenate([ints(x) for x in group["seen"]])
-        todo = ids[~np.isin(ids, seen)][:VISITED]
-        return [(q, next(x for x in group["qvec"] if x is not None), ids.tobytes(), dist.tobytes(), np.concatenate([seen, todo]).tobytes(), todo.tobytes())]
-
-    empty = F.lit(b"").cast("binary")
-
-    def begin(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:  # the first visit is to the query's own node, which also shows who lists it
-            own = [np.array([v], dtype=np.int64).tobytes() for v in batch["v"]]
-            yield pd.DataFrame({"q": batch["v"], "qvec": batch["vec"], "ids": batch["ids"], "dist": batch["dist"], "seen": own, "next": own})
-
-    walk = state.join(queries.select("v"), "v", "left_semi").select("v", "vec", "ids", "dist").mapInPandas(begin, WALK)
-    for _ in range(hops):
-        walk = stash.keep(walk, "walk")
-        requests = walk.mapInPandas(_requests, "u long, q long, qvec binary")
-
-        def answer(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for batch in batches:
-                near = [distances(matrix([a], dim), matrix([b[i : i + len(a)] for i in range(0, len(b), len(a))], dim))[0].tobytes() if b else b"" for a, b in zip(batch["qvec"], batch["vecs"])]
-                yield pd.DataFrame({"q": batch["q"], "ids": batch["ids"], "dist": near})
 
-        found = requests.join(table, "u").select("q", "qvec", "ids", "vecs").mapInPandas(answer, "q long, ids binary, dist binary")
-        rows = walk.select("q", "qvec", "ids", "dist", "seen").unionByName(found.withColumns({"qvec": F.lit(None).cast("binary"), "seen": empty}))
-        walk = by_group(rows, ["q"], settle, WALK)
+def search(state: DataFrame, queries: DataFrame, dim: int, stash: Stash, first_beam: int = FIRST_BEAM) -> DataFrame:
+    """(q, c, visited): candidates for each query code (q), from a greedy walk that starts at its own node."""
+    adjacency = stash.keep(member_lists(state).select("part", "n", "members"), "adjacency", BATCH)
+    places = queries.select(F.shiftright("code", PLACE).alias("part"), F.col("code").alias("q"))
+
+    def begin(own, question) -> Iterator[tuple]:
+        n, at = int(own.n), int(question.q) & ((1 << PLACE) - 1)
+        ids, dist = ints(own.ids).reshape(n, DEGREE)[at], floats(own.dist).reshape(n, DEGREE)[at]
+        ids, dist = np.concatenate([[question.q], ids[ids >= 0]]).astype(np.int64), np.concatenate([[0.0], dist[ids >= 0]])
+        todo = ids[:first_beam]
+        yield int(own.part), int(question.q), matrix(own.vecs, dim, n)[at].tobytes(), ids.tobytes(), dist.tobytes(), np.zeros(len(ids), dtype=bool).tobytes(), todo.tobytes(), first_beam, b""
+
+    walk = stash.keep(asked(state.select("part", "n", "vecs", "ids", "dist"), places.withColumn("home", F.lit(0).cast("long")), begin, WALK, most=PART), "walk", BATCH)
+
+    def to_parts(column: str, more: list[str]) -> Callable:
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            def rows() -> Iterator[tuple]:
+                for batch in batches:
+                    for row in batch.itertuples(index=False):
+                        for part, codes in by_part(ints(getattr(row, column))):
+                            yield (part, codes, *(getattr(row, c) for c in more))
+
+            yield from flushed(rows(), ["part", "codes", *more])
+
+        return run
+
+    def neighbours(own, question) -> Iterator[tuple]:
+        m = ints(own.members).reshape(int(own.n), -1)[ints(question.codes) & ((1 << PLACE) - 1)]
+        yield int(question.home), int(question.q), np.unique(m[m >= 0]).tobytes()
+
+    def compare(own, question) -> Iterator[tuple]:
+        x = matrix(own.vecs, dim, int(own.n))[ints(question.codes) & ((1 << PLACE) - 1)].astype(np.float64)
+        gap = x - matrix(question.qvec, dim, 1).astype(np.float64)
+        yield int(question.home), int(question.q), question.codes, (gap * gap).sum(1).tobytes()
+
+    def unmet(group: pd.DataFrame) -> list[tuple]:
+        """The walk with the ids it has not met yet."""
+        own = group[group["qvec"].notna()].iloc[0]
+        ids, seen, todo = ints(own["ids"]), flags(own["seen"]) | np.isin(ints(own["ids"]), ints(own["todo"])), np.unique(gathered(group["found"], ints))
+        new = np.setdiff1d(todo, ids, assume_unique=True)
+        return [(int(own["home"]), int(own["q"]), own["qvec"], own["ids"], own["dist"], seen.tobytes(), new.tobytes(), int(own["beam"]), own["best"])]
+
+    def settle(group: pd.DataFrame) -> list[tuple]:
+        own = group[group["qvec"].notna()].iloc[0]
+        found = gathered(group["found"], ints)
+        ids, dist = np.concatenate([ints(own["ids"]), found]), np.concatenate([floats(own["dist"]), gathered(group["far"], floats)])
+        seen = np.concatenate([flags(own["seen"]), np.zeros(len(found), dtype=bool)])
+        order = np.lexsort((ids, dist))
+        ids, dist, seen = ids[order], dist[order], seen[order]
+        todo, beam, best = next_visits(ids, seen, int(own["beam"]), own["best"])
+        return [(int(own["home"]), int(own["q"]), own["qvec"], ids.tobytes(), dist.tobytes(), seen.tobytes(), todo.tobytes(), beam, best)]
+
+    done = []
+    while active := walk.where(F.octet_length("todo") > 0).count():
+        done.append(walk.where(F.octet_length("todo") == 0))
+        going = walk.where(F.octet_length("todo") > 0)
+        visits = going.select("todo", "home", "q").mapInPandas(to_parts("todo", ["home", "q"]), "part long, codes binary, home long, q long")
+        met = asked(adjacency, visits, neighbours, "home long, q long, found binary", most=active)
+        walk = stash.keep(by_group(going.unionByName(met, allowMissingColumns=True), ["home", "q"], unmet, WALK), "unmet", BATCH)
+        news = walk.select("todo", "home", "q", "qvec").mapInPandas(to_parts("todo", ["home", "q", "qvec"]), "part long, codes binary, home long, q long, qvec binary")
+        far = asked(state.select("part", "n", "vecs"), news, compare, "home long, q long, found binary, far binary", most=active)
+        old, walk = walk, stash.keep(by_group(walk.unionByName(far, allowMissingColumns=True), ["home", "q"], settle, WALK), "walk", BATCH)
+        stash.drop(old)
 
     def pool(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            ids = [ints(x)[: max(RESCORED, within(floats(d)))] for x, d in zip(batch["ids"], batch["dist"])]
-            yield pd.DataFrame({"q": np.repeat(batch["q"].to_numpy(), [len(x) for x in ids]), "c": np.concatenate([*ids, np.zeros(0, dtype=np.int64)])})
+            for q, raw, dist, seen in zip(batch["q"], batch["ids"], batch["dist"], batch["seen"]):
+                ids, d = ints(raw), floats(dist)
+                ids = ids[: max(RESCORED, within(d))]
+                yield pd.DataFrame({"q": q, "c": ids, "visited": int(flags(seen).sum())})
 
-    return walk.mapInPandas(pool, "q long, c long")
+    for part in done:
+        walk = walk.unionByName(part)
+    return walk.select("q", "ids", "dist", "seen").mapInPandas(pool, "q long, c long, visited long")
 
 
 def within(dist: np.ndarray) -> int:
-    """How many of the ascending squared distances can't be told from the eleventh, or are less."""
-    return int(np.searchsorted(dist, dist[NEIGHBOURS] * (1 + ROUNDING), "right")) if len(dist) > NEIGHBOURS else len(dist)
-
-
-def _requests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        to = [ints(x) for x in batch["next"]]
-        n = [len(x) for x in to]
-        yield pd.DataFrame({"u": np.concatenate([*to, np.zeros(0, dtype=np.int64)]), "q": np.repeat(batch["q"].to_numpy(), n), "qvec": np.repeat(batch["qvec"].to_numpy(), n)})
+    """How many of the ascending squared distances, the query's own among them, can't be told from the eleventh, or are less."""
+    return int(np.searchsorted(dist, dist[NEIGHBOURS + 1] * (1 + ROUNDING), "right")) if len(dist) > NEIGHBOURS + 1 else len(dist)
 
 
 def nearest(vectors: DataFrame, is_query: Column, k: int = NEIGHBOURS) -> DataFrame:
-    """query_id, rank, vec_id and score of each query's k nearest other rows that the search finds.
+    """query_id, rank, vec_id and score of each query's k nearest other rows that the search finds, and visited, the nodes it
+    visited for that.
 
     vectors has vec_id and embedding (array of float or double). Vectors that are null, zero, or hold null or
     non-finite components take no part, nor do rows with a null vec_id or another length than the commonest. Ties go
@@ -308,18 +517,23 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = NEIGHBOURS) -> DataFr
         raise ValueError(f"k must be from 1 to {NEIGHBOURS}")
     stash = Stash(vectors.sparkSession, "ann")
     nodes, dim = clean(vectors, stash)
-    asked = vectors.select("vec_id", F.col("embedding").cast("array<double>").alias("e")).where(is_query & F.col("vec_id").isNotNull() & usable(F.col("e")))
-    asked = stash.keep(asked.join(nodes.select("e", "v"), "e").select("vec_id", "v").distinct(), "queries")
+    asking = vectors.select("vec_id", F.col("embedding").cast("array<double>").alias("e")).where(is_query & F.col("vec_id").isNotNull() & usable(F.col("e")))
     kind = "f4" if vectors.schema["embedding"].dataType.elementType.simpleString() == "float" else "f8"
-    packed = stash.keep(pack_vectors(nodes, kind), "vectors")
-    state = build_graph(packed, dim, stash)
-    pairs = search(state, asked.select("v").distinct(), dim, stash).union(asked.select("v", F.col("v").alias("c")).distinct())
-    side = lambda c, e: nodes.select(F.col("v").alias(c), F.col("e").alias(e))
+    total = nodes.count()
+    trees = sampled_trees(nodes, total, dim) if total else Trees(0, 0, np.zeros((TREES, 0, 1)), [[]] * TREES)
+    parts = dealt_to_parts(nodes, total, max(1, dim), kind, trees, stash)
+    coded = stash.keep(nodes.join(names_of(parts), "v").select("code", "e", "copies"), "coded")
+    asking = stash.keep(asking.join(coded.select("e", "code"), "e").select("vec_id", "code").distinct(), "queries")
+    state = build_graph(parts, total, max(1, dim), trees, stash)
+    pairs = search(state, asking.select("code").distinct(), max(1, dim), stash)
+    side = lambda c, e: coded.select(F.col("code").alias(c), F.col("e").alias(e))
     squared = F.aggregate(F.zip_with("qe", "ce", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, x: s + x)
-    scored = pairs.join(side("q", "qe"), "q").join(nodes.select(F.col("v").alias("c"), F.col("e").alias("ce"), "copies"), "c").select("q", F.sqrt(squared).alias("score"), F.explode("copies").alias("vec_id"))
+    scored = pairs.join(side("q", "qe"), "q").join(coded.select(F.col("code").alias("c"), F.col("e").alias("ce"), "copies"), "c").select("q", "visited", F.sqrt(squared).alias("score"), F.explode("copies").alias("vec_id"))
     near = Window.partitionBy("q").orderBy("score", "vec_id")
     # one more than k, as a query that is itself among them steps aside
     scored = stash.keep(scored.withColumn("r", F.row_number().over(near)).where(F.col("r") <= k + 1).drop("r"), "scored")
-    hits = asked.select(F.col("vec_id").alias("query_id"), F.col("v").alias("q")).join(scored, "q").where("query_id <> vec_id")
+    hits = asking.select(F.col("vec_id").alias("query_id"), F.col("code").alias("q")).join(scored, "q").where("query_id <> vec_id")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
-    return hits.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    out = stash.keep(hits.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score", "visited"), "found")
+    stash.drop_others(out)
+    return out

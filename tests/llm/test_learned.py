@@ -57,7 +57,7 @@ def test_neighbours_of_odd_vectors(spark):
     assert ann.nearest(df.limit(0), F.col("vec_id") % 100 == 0).count() == 0
 
 
-@pytest.mark.parametrize("kind,large", [("float", 1.0), ("float", 200.0), ("double", 200.0)])
+@pytest.mark.parametrize("kind,large", [("float", 1.0), ("float", 200.0), ("double", 1e6)])
 def test_neighbours_among_near_copies(spark, kind, large):
     """Clusters of near copies, and one vector with far larger components."""
     rng = np.random.default_rng(7)
@@ -73,6 +73,58 @@ def test_neighbours_among_near_copies(spark, kind, large):
     assert sum(len(got[q] & {j for _, j in near}) for q, near in want.items()) >= 0.95 * 10 * len(want)
 
 
+def test_neighbours_in_clusters_with_few_visits(spark, tmp_path):
+    """20,000 vectors in clusters of all sizes, one of them a third of all rows, and an outlier of 1e6 in one component."""
+    rng = np.random.default_rng(8)
+    sizes = [6600, *([400] * 20), *([60] * 90)]
+    x = np.concatenate([rng.normal(size=24) * 2 + rng.normal(scale=0.3, size=(n, 24)) for n in sizes])
+    x = x.astype(np.float32)
+    x[7] = 0
+    x[7, 0] = 1e6
+    spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>").write.parquet(f"file://{tmp_path}/v")
+    got, visited = defaultdict(set), {}
+    for r in ann.nearest(spark.read.parquet(f"file://{tmp_path}/v"), F.col("vec_id") % 100 == 0).collect():
+        got[r["query_id"]].add(r["vec_id"])
+        visited[r["query_id"]] = r["visited"]
+    hits, wide = 0, x.astype(float)
+    for q in range(0, len(x), 100):
+        d = ((wide - wide[q]) ** 2).sum(1)
+        d[q] = np.inf
+        hits += len(got[q] & set(np.argsort(d, kind="stable")[:10].tolist()))
+    assert len(got) == -(-len(x) // 100) and hits >= 0.9 * 10 * len(got)
+    assert np.mean(list(visited.values())) < 0.05 * len(x)
+
+
+def test_trees_go_deeper_than_their_sample():
+    """Leaves stay small below the levels that the sample supports."""
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(40_000, 8))
+    trees = ann.Trees.fit(x[:400], len(x), 8)
+    assert trees.depth == 7 and trees.fitted == 5
+    sizes = np.bincount(trees.leaf(1, x))
+    assert sizes.max() < 8 * ann.BLOCK
+
+
+def test_search_stops_when_a_doubled_beam_changes_nothing():
+    ids, seen = np.arange(100), np.zeros(100, dtype=bool)
+    todo, beam, best = ann.next_visits(ids, seen, 8, b"")
+    assert todo.tolist() == list(range(8)) and beam == 8
+    seen[:8] = True
+    todo, beam, best = ann.next_visits(ids, seen, 8, b"")
+    assert todo.tolist() == list(range(8, 16)) and beam == 16 and best
+    seen[:16] = True
+    assert not len(ann.next_visits(ids, seen, 16, best)[0])
+    assert len(ann.next_visits(ids[::-1], seen, 16, best)[0])
+
+
+def test_hot_parts_are_answered_in_copies(spark, monkeypatch):
+    monkeypatch.setattr(ann, "ASKED", 7)
+    static = spark.createDataFrame([(p, p * 10) for p in range(3)], "part long, x int")
+    questions = spark.createDataFrame([(0 if i < 50 else 1, i, i) for i in range(60)], "part long, home long, q long")
+    got = ann.asked(static, questions, lambda own, q: iter([(q.q, own.x)]), "q long, x int", most=60).collect()
+    assert sorted((r["q"], r["x"]) for r in got) == [(i, 0 if i < 50 else 10) for i in range(60)]
+
+
 def test_groups_cross_batches():
     import pandas as pd
 
