@@ -3,10 +3,12 @@
 A passage counts as leaked when ten consecutive words of an item stand in a document (all words of an item that has
 fewer). Winnowing keeps, of every six neighbouring 5-gram hashes, the smallest, so documents and items that share
 ten words share a kept fingerprint: ten words hold six 5-grams, and both sides choose the same of them. The join of
-fingerprints gives a document, an item and a diagonal (document position less item position); the hit is then
-extended along the diagonal on the words themselves, so hash collisions never count.
+fingerprints gives the places in a document from which a hit may extend: each of the six windows that hold the
+place is then looked up by its words among the items' distinct windows, so hash collisions never count, and a text that
+repeats itself costs its length, not its square.
 
 Items of fewer than ten words have no full window; they are looked up by the hash of as many words as they have.
+Texts are shuffled only if very many documents have a fingerprint of an item; else they stay where they are read.
 """
 
 from __future__ import annotations
@@ -21,9 +23,11 @@ from millrace.llm.storage import Stash
 WINDOW, GRAM = 10, 5
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 NO_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-#: Benchmark tables of up to this many fingerprints are broadcast (24 bytes each); larger ones meet the documents' in a
-#: shuffled join.
+WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: Tables of up to this many rows are broadcast: fingerprints (24 bytes each), keys of documents that hold one of them (40 bytes
+#: and eight a place) and, up to BROADCAST_CHARS characters, the items' windows. Larger ones meet the documents in a shuffled join.
 BROADCAST_FINGERPRINTS = 400_000
+BROADCAST_CHARS = 32_000_000
 #: Word hashes stay below this prime and factors below 2**28, so a sum of nine products fits in a long.
 PRIME = 2_147_483_629
 FACTORS = (137_938_155, 195_760_493, 226_556_657, 208_066_001, 199_667_585, 255_822_877, 152_444_639, 173_776_101, 215_426_177)
@@ -83,70 +87,98 @@ def _exploded(df: DataFrame, keep: list[str], words: Column, short: list[int], w
     return df.select(*keep, F.explode(_marks(words, short, winnow)).alias("__x")).select(*keep, "__x.k", "__x.hash", "__x.pos")
 
 
+KEY = ["__id", "__h", "__g"]
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    """doc_id and text with a key: rows of one doc_id are told apart by two hashes of their texts."""
+    return docs.select(F.col("doc_id").alias("__id"), F.col("text").alias("__text"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("__h"), F.xxhash64(F.lit(1), F.coalesce("text", F.lit(""))).alias("__g"))
+
+
+def _join(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
+    """By key; a null doc_id is one of its own."""
+    named = right.select(*(F.col(c).alias(f"{c}_r") for c in KEY), *(c for c in right.columns if c not in KEY))
+    same = [F.col(c).eqNullSafe(F.col(f"{c}_r")) for c in KEY]
+    return left.join(named, same[0] & same[1] & same[2], how).drop(*(f"{c}_r" for c in KEY))
+
+
+def _packed(high: Column, low: Column) -> Column:
+    """Two numbers as one long, which sets and sorts handle faster than a struct."""
+    return F.shiftleft(high.cast("long"), 32) + low.cast("long")
+
+
+def _high(packed: Column) -> Column:
+    return F.shiftright(packed, 32).cast("int")
+
+
+def _low(packed: Column) -> Column:
+    return packed.bitwiseAND(F.lit((1 << 32) - 1)).cast("int")
+
+
+def window_at(words: Column, start: Column, k: Column) -> Column:
+    """The k words from a place; no word holds a space."""
+    return F.array_join(F.slice(words, start + 1, k), " ")
+
+
+def item_windows(items: DataFrame) -> DataFrame:
+    """(k, win, items): each distinct window of k words, and the ids of the items that have it."""
+    k = F.least(F.lit(WINDOW), F.size("__w"))
+    each = items.select("item_id", k.alias("k"), F.explode(F.transform(F.sequence(F.lit(0), F.size("__w") - k), lambda i: window_at(F.col("__w"), i, k))).alias("win"))
+    return each.groupBy("k", "win").agg(F.array_sort(F.collect_set("item_id")).alias("items"))
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """doc_id, n_words, n_hit, items, n_items, items_sha256 and contaminated for every row of docs.
+    """doc_id, n_words, n_hit, items, spans, n_items, items_sha256 and contaminated for every row of docs.
 
-    n_hit counts the document's words inside any occurrence of a window of any item, each word once; items are the
-    ids of items with an occurring window, as strings in order. Null and empty texts have no words and no hits. Rows
-    that repeat a doc_id, or have a null one, are each judged by their own text. Items with null ids or equal texts
-    count by id; a null id is left out. Empty tables are allowed on either side. Other columns are ignored.
+    n_hit counts the document's words inside any occurrence of a window of any item, each word once; spans are the windows'
+    first and last words; items are the ids of items with an occurring window, as strings in order. Null and empty texts
+    have no words and no hits. Rows that repeat a doc_id, or have a null one, are each judged by their own text. Items with
+    null ids or equal texts count by id; an item with a null id makes hits but is not listed. Empty tables are allowed on
+    either side. Other columns are ignored.
     """
-    spark, stash = docs.sparkSession, Stash(docs.sparkSession, "decontam")
-    items = stash.keep(benchmark.select(F.col("item_id").cast("string").alias("item_id"), words_of(F.col("text")).alias("__w")).where("item_id IS NOT NULL AND size(__w) > 0").distinct(), "items")
+    stash = Stash(docs.sparkSession, "decontam")
+    items = stash.keep(benchmark.select(F.col("item_id").cast("string").alias("item_id"), words_of(F.col("text")).alias("__w")).where("size(__w) > 0").distinct(), "items")
     short = sorted(r[0] for r in items.where(F.size("__w") < WINDOW).select(F.size("__w")).distinct().collect())  # at most nine lengths
-    long_items, short_items = items.where(F.size("__w") >= WINDOW), items.where(F.size("__w") < WINDOW)
-    marks = _exploded(long_items, ["item_id", "__w"], F.col("__w"), [])
+    marks = _exploded(items.where(F.size("__w") >= WINDOW), [], F.col("__w"), []).select("k", "hash")
     if short:
-        marks = marks.union(_exploded(short_items, ["item_id", "__w"], F.col("__w"), short, winnow=False).where(F.col("k") == F.size("__w")))
-    marks = stash.keep(marks.select("k", "hash", "item_id", F.col("pos").alias("item_pos"), "__w"), "marks")
-    # One row per fingerprint first: a gram that many items share then meets each document position once.
-    known = marks.select("k", "hash").distinct()
-    n_known = known.count()
-    if n_known <= BROADCAST_FINGERPRINTS:
+        few = items.where(F.size("__w") < WINDOW).select(F.size("__w").alias("__n"), "__w")
+        marks = marks.union(_exploded(few, ["__n"], F.col("__w"), short, winnow=False).where("k = __n").select("k", "hash"))
+    # One row per fingerprint: a gram that many items share then meets each document position once.
+    known = stash.keep(marks.distinct(), "fingerprints")
+    if known.count() <= BROADCAST_FINGERPRINTS:
         known = F.broadcast(known)
-
-    texts = docs.select("doc_id", "text")
-    found = _exploded(texts, ["doc_id"], words_of(F.col("text")), short).join(known, ["k", "hash"], "left_semi")
-    meets = found.join(marks, ["k", "hash"]).select("doc_id", "item_id", (F.col("pos") - F.col("item_pos")).alias("diagonal"), F.col("__w").alias("item_words")).distinct()
-    meets = meets.groupBy(F.col("doc_id").alias("__id")).agg(F.collect_list(F.struct("item_id", "diagonal", "item_words")).alias("__m"))
-    joined = texts.join(meets, F.col("doc_id").eqNullSafe(F.col("__id")), "left")
-    # Words are bound once per row; rows without a meeting need only their number.
-    out = let(words_of(F.col("text")), lambda w: F.struct(F.size(w).cast("long").alias("n_words"), F.when(F.col("__m").isNotNull(), _hits(w, F.col("__m"))).alias("hits")))
-    judged = joined.select("doc_id", out.alias("__o")).select("doc_id", "__o.n_words", F.coalesce("__o.hits", F.array().cast(_HITS)).alias("__hits"))
-    spans = F.array_sort(F.array_distinct(F.transform("__hits", lambda x: F.struct(x["first"].alias("first"), x["last"].alias("last")))))
+    windows = stash.keep(item_windows(items), "windows")
+    if (windows.agg(F.sum(F.length("win") + F.size("items") * 16)).head()[0] or 0) <= BROADCAST_CHARS and BROADCAST_FINGERPRINTS:
+        windows = F.broadcast(windows)
+
+    texts = _keyed(docs)
+    found = _exploded(texts, KEY, words_of(F.col("__text")), short).join(known, ["k", "hash"], "left_semi")
+    met = stash.keep(found.groupBy(*KEY).agg(F.collect_set(_packed(F.col("k"), F.col("pos"))).alias("__met")), "met")
+    places = F.broadcast(met) if met.count() <= BROADCAST_FINGERPRINTS // 8 else met
+
+    def starts(words: Column) -> Column:
+        """Packed (k, start) of all windows that hold a met fingerprint."""
+        last = F.size(words) - WINDOW
+        around = lambda m: F.transform(F.sequence(F.greatest(F.lit(0), _low(m) - (WINDOW - GRAM)), _low(m)), lambda i: _packed(F.lit(WINDOW), i))
+        every = F.array_distinct(F.flatten(F.transform("__met", lambda m: F.when(_high(m) == 0, around(m)).otherwise(F.array(m)))))
+        return F.filter(every, lambda x: (_high(x) < WINDOW) | (_low(x) <= last))
+
+    one = let(words_of(F.col("__text")), lambda w: F.transform(starts(w), lambda x: F.struct(_high(x).alias("k"), _low(x).alias("start"), window_at(w, _low(x), _high(x)).alias("win"))))
+    near = _join(texts, places, "inner").select(*KEY, F.explode(one).alias("__x")).select(*KEY, "__x.*")
+    hits = near.join(windows, ["k", "win"]).groupBy(*KEY).agg(F.array_sort(F.collect_set(_packed(F.col("start"), F.col("start") + F.col("k") - 1))).alias("__spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("__items"))
+
+    judged = _join(texts.select(*KEY, F.regexp_count(F.translate(F.coalesce("__text", F.lit("")), UPPER, LOWER), F.lit(WORD)).cast("long").alias("n_words")), hits, "left")
     # Each word counts for the span that reaches it first: spans in order, each from where the ones before end.
     covered = F.aggregate(
-        spans,
+        "__spans",
         F.struct(F.lit(0).cast("long").alias("n"), F.lit(-1).alias("end")),
-        lambda acc, s: F.struct((acc["n"] + F.greatest(F.lit(0), s["last"] - F.greatest(s["first"] - 1, acc["end"]))).alias("n"), F.greatest(acc["end"], s["last"]).alias("end")),
+        lambda acc, s: F.struct((acc["n"] + F.greatest(F.lit(0), _low(s) - F.greatest(_high(s) - 1, acc["end"]))).alias("n"), F.greatest(acc["end"], _low(s)).alias("end")),
         lambda acc: acc["n"],
     )
-    ids = F.array_sort(F.array_distinct(F.transform("__hits", lambda x: x["item_id"])))
     return (
-        judged.select("doc_id", "n_words", covered.alias("n_hit"), ids.alias("items"), F.transform(spans, lambda x: x).alias("spans"))
+        judged.withColumns({"__spans": F.coalesce("__spans", F.array().cast("array<bigint>")), "__items": F.coalesce("__items", F.array().cast("array<string>"))})
+        .select(F.col("__id").alias("doc_id"), "n_words", covered.alias("n_hit"), F.col("__items").alias("items"), F.transform("__spans", lambda s: F.struct(_high(s).alias("first"), _low(s).alias("last"))).alias("spans"))
         .withColumn("n_items", F.size("items").cast("long"))
         .withColumn("items_sha256", F.sha2(F.array_join("items", ",").cast("binary"), 256))
         .withColumn("contaminated", F.col("n_hit") > 0)
     )
-
-
-_HITS = "array<struct<item_id:string,first:int,last:int>>"
-
-
-def _hits(words: Column, meets: Column) -> Column:
-    """(item_id, first, last) of the windows that occur on the diagonals of meets, as document positions."""
-
-    def on_diagonal(m: Column) -> Column:
-        item, d = m["item_words"], m["diagonal"]
-        need = F.least(F.lit(WINDOW), F.size(item))
-
-        def step(acc: Column, w: Column) -> Column:
-            run = F.when(F.coalesce(F.get(words, F.size(acc) + d) == w, F.lit(False)), F.coalesce(F.get(acc, F.size(acc) - 1), F.lit(0)) + 1).otherwise(F.lit(0))
-            return F.concat(acc, F.array(run))
-
-        # length of the run of equal words that ends at each place of the item
-        lengths = F.aggregate(item, F.array().cast("array<int>"), step)
-        ends = F.filter(F.transform(lengths, lambda r, i: F.struct(r.alias("run"), (i + d).alias("last"))), lambda x: x["run"] >= need)
-        return F.transform(ends, lambda x: F.struct(m["item_id"].alias("item_id"), (x["last"] - need + 1).alias("first"), x["last"].alias("last")))
-
-    return F.flatten(F.transform(meets, on_diagonal))

@@ -69,7 +69,7 @@ WITH w AS (
 ), words AS (
   SELECT id, count(DISTINCT i + j) AS n_hit FROM (SELECT id, i, unnest(range(0, k)) AS j FROM hits) GROUP BY id
 ), found AS (
-  SELECT id, list_sort(list(DISTINCT item)) AS items FROM hits GROUP BY id
+  SELECT id, list_sort(list(DISTINCT item) FILTER (item IS NOT NULL)) AS items FROM hits GROUP BY id
 )
 SELECT d.doc_id, CAST(len(t.w) AS BIGINT) AS n_words, CAST(coalesce(words.n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(len(f.items), 0) AS BIGINT) AS n_items,
        sha256(coalesce(array_to_string(f.items, ','), '')) AS items_sha256, coalesce(words.n_hit, 0) > 0 AS contaminated

@@ -247,10 +247,10 @@ def brute_contamination(docs, items):
     windows = defaultdict(set)
     for i, t in items:
         w = words(t)
-        if w and i is not None:
+        if w:
             k = min(10, len(w))
             for a in range(len(w) - k + 1):
-                windows[tuple(w[a : a + k])].add(str(i))
+                windows[tuple(w[a : a + k])].add(i)
     sizes = {len(x) for x in windows}
     out = []
     for i, t in docs:
@@ -260,7 +260,8 @@ def brute_contamination(docs, items):
                 if own := windows.get(tuple(w[a : a + k])):
                     hit.update(range(a, a + k))
                     found |= own
-        out.append((i, len(w), len(hit), len(found), hashlib.sha256(",".join(sorted(found)).encode()).hexdigest(), bool(hit)))
+        found = sorted(str(x) for x in found if x is not None)
+        out.append((i, len(w), len(hit), len(found), hashlib.sha256(",".join(found).encode()).hexdigest(), bool(hit)))
     return sorted(out, key=repr)
 
 
@@ -269,9 +270,9 @@ def test_contamination_against_brute_force(spark, sf):
     docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
     items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
     few = [" ".join(f"q{x}" for x in rng.integers(0, 3, n)) for n in (40, 12, 10, 9, 7, 5, 4, 3, 2, 1)]  # repeating words: many overlaps
-    items += [(900 + i, t) for i, t in enumerate(few)] + [(950, few[0]), (951, None), (952, " ... "), (None, "q1 q2 q1"), (953, few[3].upper())]
+    items += [(900 + i, t) for i, t in enumerate(few)] + [(950, few[0]), (951, None), (952, " ... "), (None, "q1 q2 q1"), (None, "nobody names this item but its eleven words leak all the same"), (953, few[3].upper())]
     odd = [*ODD_TEXTS, *few, " ".join(few), "Q1,q2;q1... " * 30, " ".join(f"q{x}" for x in rng.integers(0, 3, 300)), f"{LONG} {few[0]} {LONG}"]
-    docs += [(10_000 + i, t) for i, t in enumerate(odd)] + [(10_000, few[1]), (None, few[0]), (None, None)]
+    docs += [(10_000 + i, t) for i, t in enumerate(odd)] + [(10_000, few[1]), (None, few[0]), (None, few[0]), (None, None), (10_500, "see: Nobody names THIS item but its eleven words leak all the same!")]
     d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
     out = decontam.contamination(clashing(d, ["k", "pos", "item_id"]), clashing(b, ["doc_id"]))
     got = [tuple(r) for r in out.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated").collect()]
@@ -288,6 +289,23 @@ def test_contamination_with_a_shuffled_join(spark, sf, monkeypatch):
     assert none.where("contaminated OR n_items > 0 OR n_hit > 0").count() == 0 and none.count() == d.count()
 
 
+def test_long_and_repeating_leaks_cost_their_length(spark):
+    """An item of one word 5,000 times, and long items, against themselves."""
+    import time
+
+    rng, took = np.random.default_rng(6), {}
+    long = {n: " ".join(f"t{x}" for x in rng.integers(0, 50_000, n)) for n in (4000, 16_000)}
+    for name, text in (("warm", long[4000]), *long.items(), ("x", "x " * 5000)):
+        docs, items = [(1, text), (2, f"{text} and more")], [(7, text)]
+        began = time.time()
+        got = decontam.contamination(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+        rows = sorted((r["doc_id"], r["n_words"], r["n_hit"], r["n_items"]) for r in got.collect())
+        took[name] = time.time() - began
+        n = len(text.split())
+        assert rows == [(1, n, n, 1), (2, n + 2, n, 1)]
+    assert took[16_000] < 2 * 4 * took[4000] and took["x"] < 60
+
+
 def test_native_plans_run_no_python(spark, sf):
     d, b = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "benchmark"))
     for df in (decontam.contamination(d, b), queries.op9_license_scan(spark, sf)):
