@@ -22,7 +22,7 @@ NAMES = {
     "comments": "comments comment reader-comments commentlist comment-list responses discussion replies respond disqus comment-body reviews".split(),
     "share": "share social sharing share-buttons social-links tags meta byline author-box follow".split(),
 }
-TAGS = {"menu": ["nav", "div", "ul"], "header": ["header", "div"], "footer": ["footer", "div"], "sidebar": ["aside", "div", "section"], "notice": ["div", "section", "aside"], "advert": ["div", "aside", "ins"], "form": ["form", "div"], "comments": ["section", "div", "ol"], "share": ["div", "ul"]}
+TAGS = {"menu": ["nav", "div", "ul"], "header": ["header", "div"], "footer": ["footer", "div"], "sidebar": ["aside", "div", "section"], "notice": ["div", "section", "aside", "noscript"], "advert": ["div", "aside", "ins"], "form": ["form", "div"], "comments": ["section", "div", "ol"], "share": ["div", "ul"]}
 
 
 class Maker:

@@ -22,9 +22,9 @@ from pyspark.sql import functions as F
 
 from millrace.llm.htmlpages import training_pages
 
-INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q ruby rp rt s samp small span strike strong sub sup time tt u var wbr".split())
+INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark math mfrac mi mn mo mrow msqrt msub msubsup msup mtext mover munder q ruby rp rt s samp small span strike strong sub sup time tt u var wbr".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-HIDDEN = frozenset("script style title template noscript iframe object svg math canvas audio video head select textarea".split())
+HIDDEN = frozenset("script style title template iframe object svg canvas audio video head select textarea annotation annotation-xml".split())
 #: What a start tag closes if it is open nearer than the tags after it.
 CLOSES = {"li": (("li",), ("ul", "ol", "menu")), "dt": (("dt", "dd"), ("dl",)), "dd": (("dt", "dd"), ("dl",)), "tr": (("tr", "td", "th"), ("table",)), "td": (("td", "th"), ("tr", "table")), "th": (("td", "th"), ("tr", "table")), "option": (("option",), ("select",))}
 TOKEN = re.compile(r"[a-z]+|[0-9]+")
@@ -39,6 +39,7 @@ class Tree(HTMLParser):
         self.parent, self.tag, self.name, self.text = [-1], ["#root"], [""], [None]
         self.linked, self.truth, self.mark = [0], [None], [False]
         self.stack: list[tuple[str, int]] = [("#root", 0)]
+        self.depths: dict[str, list[int]] = defaultdict(list)  # places in the stack of each open tag, so that no search walks it
         self.run: list[str] = []
         self.run_linked = self.hidden = self.links = 0
 
@@ -58,12 +59,21 @@ class Tree(HTMLParser):
     def close_to(self, depth: int):
         """Pop all open elements from this depth of the stack on."""
         for tag, _ in self.stack[depth:]:
+            self.depths[tag].pop()
             if tag in HIDDEN:
                 self.hidden -= 1
             elif tag == "a":
                 self.links -= 1
         del self.stack[depth:]
 
+    def open(self, tag: str, node: int):
+        self.depths[tag].append(len(self.stack))
+        self.stack.append((tag, node))
+
+    def nearest(self, tags: tuple[str, ...]) -> int:
+        """Place of the innermost open one of these tags; 0 if none is open."""
+        return max((self.depths[t][-1] for t in tags if self.depths.get(t)), default=0)
+
     def handle_starttag(self, tag, attrs):
         if tag in ("x-on", "x-off"):
             self.flush()
@@ -74,28 +84,22 @@ class Tree(HTMLParser):
                 self.run.append(" ")
             elif tag == "a":
                 self.links += 1
-                self.stack.append((tag, self.stack[-1][1]))
+                self.open(tag, self.stack[-1][1])
             return
         if tag not in HIDDEN or tag == "head":
             self.flush()
             what, until = CLOSES.get(tag, (("p",), ("table", "button", "object")))
-            for depth in range(len(self.stack) - 1, 0, -1):
-                if self.stack[depth][0] in what:
-                    self.close_to(depth)
-                    if tag not in ("tr", "td", "th"):
-                        break
-                elif self.stack[depth][0] in until:
-                    break
-        if tag == "body":  # a head left open ends here
-            for depth, (open_tag, _) in enumerate(self.stack):
-                if open_tag == "head":
-                    self.close_to(depth)
+            while (depth := self.nearest(what)) > self.nearest(until):
+                self.close_to(depth)
+                if tag not in ("tr", "td", "th"):
                     break
+        if tag == "body" and self.depths["head"]:  # a head left open ends here
+            self.close_to(self.depths["head"][0])
         if tag in VOID:
             return
         if tag in HIDDEN:
             self.hidden += 1
-            self.stack.append((tag, self.stack[-1][1]))
+            self.open(tag, self.stack[-1][1])
             return
         self.parent.append(self.stack[-1][1])
         self.tag.append(tag)
@@ -103,7 +107,7 @@ class Tree(HTMLParser):
         self.text.append(None)
         self.linked.append(0)
         self.truth.append(None)
-        self.stack.append((tag, len(self.parent) - 1))
+        self.open(tag, len(self.parent) - 1)
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -118,12 +122,10 @@ class Tree(HTMLParser):
             return
         if tag in INLINE and tag != "a":
             return
-        for depth in range(len(self.stack) - 1, 0, -1):
-            if self.stack[depth][0] == tag:
-                if tag != "a":
-                    self.flush()
-                self.close_to(depth)
-                return
+        if self.depths.get(tag):
+            if tag != "a":
+                self.flush()
+            self.close_to(self.depths[tag][-1])
 
     def handle_data(self, data):
         if not self.hidden:

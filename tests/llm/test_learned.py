@@ -195,6 +195,40 @@ def test_extraction_of_unseen_layouts():
     assert right > 0.98 * total
 
 
+#: Written by hand, in layouts of their own.
+PAGES = [
+    ("""<!doctype html><html lang=en><head><title>Tide tables</title><style>p{margin:0}</style></head><body>
+<div id="masthead"><a href="/">Harbour Gazette</a></div><ul id="topnav"><li><a href="/n">News</a></li><li><a href="/w">Weather</a></li><li><a href="/s">Sport</a></li></ul>
+<noscript><p>Please enable JavaScript to see this site.</p></noscript>
+<div id="story"><h1>How to read a tide table</h1><p>High water comes about fifty minutes later every day, because the moon has moved on in its orbit.</p>
+<div class="ad-slot">Buy two anchors and get a third one free</div><p>Springs follow the new and the full moon; neaps follow the quarters.</p>
+<p>The range is <math><mi>r</mi><mo>=</mo><mi>h</mi><mo>-</mo><mi>l</mi></math> metres.</p></div>
+<div id="comments"><h3>2 comments</h3><div class="comment"><p>Very helpful, thank you.</p></div><div class="comment"><p>I missed the ferry anyway.</p></div></div>
+<div id="colophon">&copy; 2023 Harbour Gazette. All rights reserved.</div></body></html>""",
+     ["How to read a tide table", "High water comes about fifty minutes later every day, because the moon has moved on in its orbit.", "Springs follow the new and the full moon; neaps follow the quarters.", "The range is r=h-l metres."]),
+    ("""<html><body><nav><a href=/>Start</a> | <a href=/a>Archive</a> | <a href=/c>Contact</a></nav><div class="cookie-banner"><p>We use cookies to improve your visit. By going on you accept them.</p><button>OK</button></div>
+<main><article class="post"><h1>Sharpening a plane iron</h1><p>Flatten the back first on a coarse stone, and keep at it until the scratches run all the way across the edge.<h2>The bevel</h2><p>Twenty-five degrees is a good start for soft wood.
+<ul><li>Use plenty of water.<li>Turn the stone now and then.</ul><blockquote>A sharp tool is a safe tool, as my teacher used to say every morning.</blockquote></article>
+<aside class="related-posts"><h3>Read next</h3><ul><li><a href=/1>Choosing a saw</a><li><a href=/2>Hide glue</a></ul></aside></main>
+<form class="newsletter"><label>Your address</label><input><p>One letter a month, never more.</p><button>Subscribe</button></form><footer><p>Made in a shed.</p><a href=/i>Imprint</a></footer></body></html>""",
+     ["Sharpening a plane iron", "Flatten the back first on a coarse stone, and keep at it until the scratches run all the way across the edge.", "The bevel", "Twenty-five degrees is a good start for soft wood.", "Use plenty of water.", "Turn the stone now and then.", "A sharp tool is a safe tool, as my teacher used to say every morning."]),
+]
+
+
+def test_extraction_of_pages_written_by_hand():
+    for html, want in PAGES:
+        assert htmltree.main_text(html, htmltree.default_model()).split("\n") == want
+
+
+def test_parsing_costs_the_length_of_a_page():
+    """100,000 open elements, also below an open paragraph and table, and as many stray end tags."""
+    import time
+
+    for html in ("<div>" * 100_000 + "<p>text", "<p><table>" + "<div>" * 100_000 + "text", "<ul>" + "<li><div>" * 50_000 + "text", "<div>" * 50_000 + "</b></span>" * 50_000 + "text", "<table><tr><td>" * 33_000 + "text"):
+        began = time.time()
+        assert "text" in htmltree.parse(html).text and time.time() - began < 10
+
+
 def test_marginals_equal_enumeration():
     """Sum-product on a small tree against the sum over all its states."""
     import itertools
