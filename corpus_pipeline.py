@@ -35,15 +35,20 @@ def keep_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def keep_first_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each near-duplicate component."""
-    kept = neardup.near_duplicates(docs).where("kept").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
+    """The document with the smallest id of each near-duplicate component.
+
+    A row without an id goes by a number made of its text, larger than those of real ids. Rows that share an id but not
+    their text are each judged, and rows that share both are one.
+    """
+    stand_in = F.lit(1 << 62) + F.shiftrightunsigned(F.xxhash64(F.coalesce("text", F.lit(""))), 2)
+    named = docs.withColumns({"__id": F.coalesce(F.col("doc_id").cast("long"), stand_in), "__text": neardup.text_key(F.col("text"))})
+    kept = neardup.near_duplicates(named.select(F.col("__id").alias("doc_id"), "text")).where("kept").select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__text"))
+    return named.join(kept, ["__id", "__text"], "left_semi").dropDuplicates(["__id", "__text"]).select(*docs.columns)
 
 
 def keep_unleaked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a benchmark passage."""
-    clean = decontam.contamination(docs, _table(spark, sf_dir, "benchmark")).where("NOT contaminated").select("doc_id")
-    return docs.join(clean, "doc_id", "left_semi").select(*docs.columns)
+    return decontam.without_leaks(docs, _table(spark, sf_dir, "benchmark"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -127,16 +127,9 @@ def item_windows(items: DataFrame) -> DataFrame:
     return each.groupBy("k", "win").agg(F.array_sort(F.collect_set("item_id")).alias("items"))
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """doc_id, n_words, n_hit, items, spans, n_items, items_sha256 and contaminated for every row of docs.
-
-    n_hit counts the document's words inside any occurrence of a window of any item, each word once; spans are the windows'
-    first and last words; items are the ids of items with an occurring window, as strings in order. Null and empty texts
-    have no words and no hits. Rows that repeat a doc_id, or have a null one, are each judged by their own text. Items with
-    null ids or equal texts count by id; an item with a null id makes hits but is not listed. Empty tables are allowed on
-    either side. Other columns are ignored.
-    """
-    stash = Stash(docs.sparkSession, "decontam")
+def leaks(docs: DataFrame, benchmark: DataFrame, stash: Stash) -> DataFrame:
+    """Key, packed spans and item ids of the documents with a hit; docs as _keyed() gives them."""
+    texts = docs
     items = stash.keep(benchmark.select(F.col("item_id").cast("string").alias("item_id"), words_of(F.col("text")).alias("__w")).where("size(__w) > 0").distinct(), "items")
     short = sorted(r[0] for r in items.where(F.size("__w") < WINDOW).select(F.size("__w")).distinct().collect())  # at most nine lengths
     marks = _exploded(items.where(F.size("__w") >= WINDOW), [], F.col("__w"), []).select("k", "hash")
@@ -151,7 +144,6 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     if (windows.agg(F.sum(F.length("win") + F.size("items") * 16)).head()[0] or 0) <= BROADCAST_CHARS and BROADCAST_FINGERPRINTS:
         windows = F.broadcast(windows)
 
-    texts = _keyed(docs)
     found = _exploded(texts, KEY, words_of(F.col("__text")), short).join(known, ["k", "hash"], "left_semi")
     met = stash.keep(found.groupBy(*KEY).agg(F.collect_set(_packed(F.col("k"), F.col("pos"))).alias("__met")), "met")
     places = F.broadcast(met) if met.count() <= BROADCAST_FINGERPRINTS // 8 else met
@@ -165,8 +157,20 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     one = let(words_of(F.col("__text")), lambda w: F.transform(starts(w), lambda x: F.struct(_high(x).alias("k"), _low(x).alias("start"), window_at(w, _low(x), _high(x)).alias("win"))))
     near = _join(texts, places, "inner").select(*KEY, F.explode(one).alias("__x")).select(*KEY, "__x.*")
-    hits = near.join(windows, ["k", "win"]).groupBy(*KEY).agg(F.array_sort(F.collect_set(_packed(F.col("start"), F.col("start") + F.col("k") - 1))).alias("__spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("__items"))
+    return near.join(windows, ["k", "win"]).groupBy(*KEY).agg(F.array_sort(F.collect_set(_packed(F.col("start"), F.col("start") + F.col("k") - 1))).alias("__spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("__items"))
+
 
+def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """doc_id, n_words, n_hit, items, spans, n_items, items_sha256 and contaminated for every row of docs.
+
+    n_hit counts the document's words inside any occurrence of a window of any item, each word once; spans are the windows'
+    first and last words; items are the ids of items with an occurring window, as strings in order. Null and empty texts
+    have no words and no hits. Rows that repeat a doc_id, or have a null one, are each judged by their own text. Items with
+    null ids or equal texts count by id; an item with a null id makes hits but is not listed. Empty tables are allowed on
+    either side. Other columns are ignored.
+    """
+    texts = _keyed(docs)
+    hits = leaks(texts, benchmark, Stash(docs.sparkSession, "decontam"))
     judged = _join(texts.select(*KEY, F.regexp_count(F.translate(F.coalesce("__text", F.lit("")), UPPER, LOWER), F.lit(WORD)).cast("long").alias("n_words")), hits, "left")
     # Each word counts for the span that reaches it first: spans in order, each from where the ones before end.
     covered = F.aggregate(
@@ -182,3 +186,12 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         .withColumn("items_sha256", F.sha2(F.array_join("items", ",").cast("binary"), 256))
         .withColumn("contaminated", F.col("n_hit") > 0)
     )
+
+
+def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows of docs whose text holds no window of an item, in all their columns, whatever their doc_id."""
+    stash = Stash(docs.sparkSession, "decontam")
+    dirty = stash.keep(leaks(_keyed(docs), benchmark, stash).select("__h", "__g").distinct(), "dirty")
+    dirty = F.broadcast(dirty) if dirty.count() <= BROADCAST_FINGERPRINTS else dirty
+    text = F.coalesce(docs["text"], F.lit(""))
+    return docs.join(dirty, (F.xxhash64(text) == F.col("__h")) & (F.xxhash64(F.lit(1), text) == F.col("__g")), "left_anti")

@@ -19,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.grouped import by_group
@@ -35,6 +35,8 @@ STAR = 64
 LIKELY = 0.66
 #: Members of a bucket that meet in a task, and likeliest partners in the first of the two further rounds.
 BLOCK, PARTNERS = 1024, 2
+#: Rows of each class in the last join, so that the copies of one text are the work of as many tasks.
+SALTS = 8
 
 
 def _orders() -> np.ndarray:
@@ -66,7 +68,7 @@ def band_keys(shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, a 128-bit id of the shingle set (h1, h2), its band keys and sketch (null for an empty set)."""
+    """doc_id, text_key, n_shingles, a 128-bit id of the shingle set (h1, h2), its band keys and sketch (null for an empty set)."""
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -79,10 +81,15 @@ def signatures(docs: DataFrame) -> DataFrame:
                     keys, sketch = band_keys(s) if len(s) else (None, None)
                     bands.append(None if keys is None else keys.view(np.int64))
                     sketches.append(None if sketch is None else sketch.tobytes())
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "n_shingles": sizes, "h1": h1, "h2": h2, "bands": bands, "sketch": sketches})
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "text_key": batch["text_key"], "n_shingles": sizes, "h1": h1, "h2": h2, "bands": bands, "sketch": sketches})
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInPandas(sign, f"doc_id {kind}, n_shingles long, h1 long, h2 long, bands array<long>, sketch binary")
+    return docs.select("doc_id", "text", text_key(F.col("text")).alias("text_key")).mapInPandas(sign, f"doc_id {kind}, text_key string, n_shingles long, h1 long, h2 long, bands array<long>, sketch binary")
+
+
+def text_key(text: Column) -> Column:
+    """Tells apart texts of rows that share a doc_id."""
+    return F.md5(F.coalesce(text, F.lit("")).cast("binary"))
 
 
 def shingle_table(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -211,7 +218,7 @@ def likely_pairs(entries: DataFrame, percent: int, partners: int | None) -> Data
 
 
 def near_duplicates(docs: DataFrame, percent: int = SIMILARITY_PERCENT) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept for every row of docs.
+    """doc_id, n_shingles, component_id, kept and text_key for every row of docs.
 
     Texts null, empty or without words have an empty set and are their own component. A row whose doc_id is null
     has the component of its shingle set (null if no other row has that set) and is not kept unless it stands
@@ -224,7 +231,7 @@ def near_duplicates(docs: DataFrame, percent: int = SIMILARITY_PERCENT) -> DataF
         .agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
     )
     reps = stash.keep(reps, "classes")
-    sig = stash.keep(full.select("doc_id", "n_shingles", "h1", "h2"), "sizes")
+    sig = stash.keep(full.select("doc_id", "text_key", "n_shingles", "h1", "h2"), "sizes")
     stash.drop(full)
 
     entries = reps.select("rep", "n", F.posexplode("bands").alias("band", "key"))
@@ -251,6 +258,9 @@ def near_duplicates(docs: DataFrame, percent: int = SIMILARITY_PERCENT) -> DataF
             label = components(links, stash)
 
     classes = reps.join(label, F.col("rep") == F.col("node"), "left").select("h1", "h2", F.coalesce("component", "rep").alias("component"))
-    out = sig.select("doc_id", "n_shingles", "h1", "h2").join(classes, ["h1", "h2"], "left")
-    component = F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    # Empty sets have no class, and equal texts one: copies of a text are dealt by a salt to as many rows of their class.
+    salted = sig.where("n_shingles > 0").withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)))
+    classes = classes.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    found = salted.join(classes, ["h1", "h2", "salt"], "left").select("doc_id", "n_shingles", F.col("component").alias("component_id"), "text_key")
+    out = found.unionByName(sig.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), "text_key"))
+    return out.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "text_key")

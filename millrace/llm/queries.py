@@ -29,7 +29,7 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+    return neardup.near_duplicates(table(spark, sf_dir, "documents")).drop("text_key")
 
 
 def op3_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,9 +65,12 @@ def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents as files ``source/lang/doc_id.txt``."""
+    """Documents as files ``source/lang/dK/doc_id.txt``, ten to a directory, of which the first is its LICENSE."""
     part = lambda c: F.coalesce(F.col(c), F.lit("none"))
-    files = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.concat(part("source"), F.lit("/"), part("lang"), F.lit("/"), F.coalesce(F.col("doc_id").cast("string"), F.lit("none")), F.lit(".txt")).alias("path"), "text")
+    doc_id = F.col("doc_id").cast("long")
+    name = F.when(F.pmod(doc_id, F.lit(10)) == 0, F.lit("LICENSE")).otherwise(F.concat(F.coalesce(doc_id.cast("string"), F.lit("none")), F.lit(".txt")))
+    folder = F.concat(F.lit("d"), F.coalesce(F.floor(doc_id / 10).cast("string"), F.lit("none")))
+    files = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.concat_ws("/", part("source"), part("lang"), folder, name).alias("path"), "text")
     return licenses.scan(files).select(F.col("id").alias("doc_id"), "path", "licence", "score", "unit", "found_in", "depth")
 
 

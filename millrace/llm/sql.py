@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from millrace.llm.licenses import TEMPLATES, THRESHOLD
+from millrace.llm.licenses import BLOCK_COMMENT, BLOCK_END, COMMENT, TEMPLATES, THRESHOLD, WEAK, whole_texts
 
 URL_FILTER = r"""
 WITH u AS (
@@ -85,39 +85,52 @@ def _quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
-#: No document is named like a licence file, so none inherits; every line is compared with every template.
+#: Every unit is compared with every template it may match, and every file with all licence files above it.
 LICENCES = f"""
-WITH templates(template, licence, text) AS (
-  VALUES {", ".join(f"({i}, {_quoted(licence)}, {_quoted(text)})" for i, (licence, text) in enumerate(TEMPLATES))}
+WITH templates(template, licence, whole, text) AS (
+  VALUES {", ".join(f"({i}, {_quoted(licence)}, {i >= len(TEMPLATES)}, {_quoted(text)})" for i, (licence, text) in enumerate([*TEMPLATES, *whole_texts()]))}
 ), tt AS (
-  SELECT template, licence, term, count(*) AS tf FROM (SELECT template, licence, unnest({_terms("text")}) AS term FROM templates) GROUP BY template, licence, term
+  SELECT template, licence, whole, term, count(*) AS tf FROM (SELECT template, licence, whole, unnest({_terms("text")}) AS term FROM templates) GROUP BY template, licence, whole, term
 ), docs AS (
-  SELECT doc_id, coalesce(source, 'none') || '/' || coalesce(lang, 'none') || '/' || doc_id || '.txt' AS path, text FROM documents
+  SELECT doc_id, coalesce(source, 'none') || '/' || coalesce(lang, 'none') || '/d' || (doc_id // 10) AS dir, CASE WHEN doc_id % 10 = 0 THEN 'LICENSE' ELSE doc_id || '.txt' END AS name, text,
+         regexp_split_to_array(coalesce(text, ''), '\\r\\n|\\r|\\n') AS lines FROM documents
 ), frequency AS (
   SELECT term, count(*) AS df FROM (SELECT DISTINCT doc_id, unnest({_terms("text")}) AS term FROM docs) WHERE term IN (SELECT term FROM tt) GROUP BY term
 ), idf AS (
   SELECT t.term, ln((1.0 + (SELECT count(*) FROM docs)) / (1.0 + coalesce(f.df, 0))) + 1 AS idf FROM (SELECT DISTINCT term FROM tt) t LEFT JOIN frequency f ON t.term = f.term
 ), weights AS (
-  SELECT template, licence, tt.term, tf * idf AS w FROM tt JOIN idf ON tt.term = idf.term
+  SELECT template, licence, whole, tt.term, tf * idf AS w FROM tt JOIN idf ON tt.term = idf.term
 ), norms AS (
   SELECT template, sqrt(sum(w * w)) AS norm FROM weights GROUP BY template
-), lines AS (
-  SELECT doc_id, unnest(regexp_split_to_array(coalesce(text, ''), '\\r\\n|\\r|\\n')) AS line, generate_subscripts(regexp_split_to_array(coalesce(text, ''), '\\r\\n|\\r|\\n'), 1) - 1 AS unit FROM docs
+), led AS (
+  SELECT doc_id, lines, coalesce(list_position(list_transform(lines, lambda x: NOT regexp_matches(x, '{COMMENT}')), true) - 1, len(lines)) AS led,
+         CASE WHEN regexp_matches(lines[1], '{BLOCK_COMMENT}') THEN coalesce(list_position(list_transform(lines, lambda x: regexp_matches(x, '{BLOCK_END}')), true), len(lines)) ELSE 0 END AS block FROM docs
+), units AS (
+  SELECT doc_id, unnest(lines) AS text, generate_subscripts(lines, 1) - 1 AS unit FROM docs
+  UNION ALL SELECT doc_id, array_to_string(lines[1:greatest(led, block)], ' '), -1 FROM led WHERE greatest(led, block) > 0
+  UNION ALL SELECT doc_id, array_to_string(lines, ' '), -2 FROM docs WHERE name = 'LICENSE'
 ), counted AS (
-  SELECT doc_id, unit, term, count(*) AS tf FROM (SELECT doc_id, unit, unnest({_terms("line")}) AS term FROM lines) GROUP BY doc_id, unit, term
+  SELECT doc_id, unit, term, count(*) AS tf FROM (SELECT doc_id, unit, unnest({_terms("text")}) AS term FROM units) GROUP BY doc_id, unit, term
 ), weighed AS (
   SELECT doc_id, unit, c.term, tf * coalesce(idf, ln(1.0 + (SELECT count(*) FROM docs)) + 1) AS u FROM counted c LEFT JOIN idf ON c.term = idf.term
 ), lengths AS (
   SELECT doc_id, unit, sqrt(sum(u * u)) AS length FROM weighed GROUP BY doc_id, unit
 ), dots AS (
-  SELECT doc_id, unit, template, licence, sum(u * w) AS dot FROM weighed JOIN weights ON weighed.term = weights.term GROUP BY doc_id, unit, template, licence
+  SELECT doc_id, unit, template, licence, sum(u * w) AS dot FROM weighed JOIN weights ON weighed.term = weights.term WHERE unit < 0 OR NOT whole GROUP BY doc_id, unit, template, licence
 ), scored AS (
   SELECT d.doc_id, d.unit, licence, round(dot / (norm * length), 6) AS score FROM dots d JOIN norms ON d.template = norms.template JOIN lengths l ON l.doc_id = d.doc_id AND l.unit = d.unit
 ), best AS (
-  SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, unit, licence DESC) AS rn FROM scored WHERE score >= {THRESHOLD}
+  SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY licence <> '{WEAK}' DESC, score DESC, unit, licence DESC) AS rn FROM scored WHERE score >= {THRESHOLD}
+), own AS (
+  SELECT d.doc_id, d.dir, d.name, b.licence, b.score, CAST(b.unit AS INTEGER) AS unit FROM docs d LEFT JOIN best b ON b.doc_id = d.doc_id AND b.rn = 1
+), above AS (
+  SELECT o.doc_id, g.licence, g.score, len(string_split(o.dir, '/')) - len(string_split(g.dir, '/')) AS depth,
+         row_number() OVER (PARTITION BY o.doc_id ORDER BY len(g.dir) DESC, g.licence <> '{WEAK}' DESC, g.score DESC, g.licence DESC) AS rn
+  FROM own o JOIN own g ON g.name = 'LICENSE' AND g.licence IS NOT NULL AND (o.dir = g.dir OR starts_with(o.dir, g.dir || '/')) WHERE o.licence IS NULL
 )
-SELECT d.doc_id, d.path, b.licence, b.score, CAST(b.unit AS INTEGER) AS unit, CASE WHEN b.doc_id IS NOT NULL THEN 'file' END AS found_in, CAST(NULL AS INTEGER) AS depth
-FROM docs d LEFT JOIN best b ON b.doc_id = d.doc_id AND b.rn = 1
+SELECT o.doc_id, o.dir || '/' || o.name AS path, coalesce(o.licence, a.licence) AS licence, coalesce(o.score, a.score) AS score, o.unit,
+       CASE WHEN o.licence IS NOT NULL THEN 'file' WHEN a.licence IS NOT NULL THEN 'directory' END AS found_in, CAST(a.depth AS INTEGER) AS depth
+FROM own o LEFT JOIN above a ON a.doc_id = o.doc_id AND a.rn = 1
 """
 
 

@@ -299,6 +299,23 @@ def test_pipeline_stages_against_brute_force(spark, sf, tmp_path):
     assert whole == {(r["doc_id"], r["piece"], r["ids_crc32"]) for r in packed}
 
 
+def test_pipeline_stages_keep_rows_that_ids_do_not_tell_apart(spark, sf):
+    """Null ids, one id for two texts, and repeated rows, in the stages that compare documents."""
+    import corpus_pipeline as cp
+
+    words = lambda a, n=60: " ".join(f"{a}{i}" for i in range(n))
+    leak = next(r["text"] for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect() if len(r["text"].split()) > 12)
+    rows = [(None, words("p")), (None, words("p")), (None, words("p") + " end"), (None, words("q")), (5, words("r")), (5, words("s")), (5, words("s")), (9, words("r")), (7, words("q")), (None, None), (None, ""), (8, None)]
+    docs = spark.createDataFrame([(i, t, None, None, 1) for i, t in rows], DOCS)
+    got = cp.keep_first_copies(spark, docs, sf)
+    assert got.columns == docs.columns
+    kept = sorted(((r["doc_id"], (r["text"] or "")[:1]) for r in got.collect()), key=repr)
+    assert [k for k in kept if k[1] != "p"] == sorted([(5, "r"), (5, "s"), (7, "q"), (8, ""), (None, "")], key=repr) and kept.count((None, "p")) == 1
+    leaking = spark.createDataFrame([(None, f"see {leak}", None, None, 1), (None, words("z"), None, None, 1), (3, leak, None, None, 1), (3, words("y"), None, None, 1), (3, words("y"), None, None, 1)], DOCS)
+    clean = cp.keep_unleaked(spark, leaking, sf)
+    assert clean.columns == docs.columns and sorted((r["doc_id"] or 0, r["text"][0]) for r in clean.collect()) == [(0, "z"), (3, "y"), (3, "y")]
+
+
 def test_pipeline_of_an_empty_table(spark, sf, tmp_path):
     import corpus_pipeline as cp
 
