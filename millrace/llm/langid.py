@@ -4,9 +4,8 @@ Every letter has a fixed random vector of +1 and -1. A trigram's vector binds (m
 rotated by their place; a text's vector bundles (adds) its trigrams; a language's prototype bundles its texts. A text
 belongs to the language whose prototype has the largest cosine to it.
 
-A text's vector is never written out: its dot product with a prototype is the sum of its trigrams' dot products,
-which each worker keeps in a table. The squared length of a bundle of nearly orthogonal vectors is taken as its
-expectation, the dimension times the sum of squared counts; it scales all cosines of a text alike.
+Texts are bundled a few at a time, as a product of their trigram counts with the vectors of the trigrams they have, of
+which each worker keeps a table of bounded size.
 """
 
 from __future__ import annotations
@@ -19,11 +18,11 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-DIMENSION = 4096
+DIMENSION = 2048
 #: Documents a language learns from, about: chosen by a hash of doc_id, at a rate set from the language's count.
 SAMPLE_PER_LANGUAGE = 4000
-#: Texts handled at once, and rows of a worker's trigram table before it starts afresh.
-CHUNK_CHARS, TABLE_ROWS = 1_000_000, 400_000
+#: Characters and texts handled at once, and rows of a worker's tables of trigrams and letters before they start afresh.
+CHUNK_CHARS, TOGETHER, TABLE_ROWS, LETTERS = 1_000_000, 16, 40_000, 20_000
 #: Steepness of the softmax over cosines that gives the score.
 STEEPNESS = 24.0
 UNDETERMINED = "und"
@@ -61,6 +60,8 @@ class Vectors:
 
     def letter(self, code: int) -> np.ndarray:
         if code not in self.known:
+            if len(self.known) >= LETTERS:
+                self.known.clear()
             self.known[code] = (np.random.default_rng([20_240_502, code]).integers(0, 2, self.dimension) * 2 - 1).astype(np.int8)
         return self.known[code]
 
@@ -79,14 +80,15 @@ class Profiles(NamedTuple):
 
 
 class Table:
-    """Dot products of trigrams with the prototypes, computed when first met."""
+    """Vectors of trigrams, computed when first met."""
 
-    def __init__(self, profiles: Profiles):
-        self.profiles, self.vectors = profiles, Vectors(profiles.prototypes.shape[1])
+    def __init__(self, dimension: int):
+        self.vectors = Vectors(dimension)
         self._clear()
 
     def _clear(self):
-        self.ids, self.dots = np.zeros(0, dtype=np.int64), np.zeros((0, len(self.profiles.langs)), dtype=np.float32)
+        self.ids, self.rows = np.zeros(0, dtype=np.int64), np.zeros((0, self.vectors.dimension), dtype=np.int8)
+        self.at: np.ndarray = np.zeros(0, dtype=np.int64)
 
     def __call__(self, ids: np.ndarray) -> np.ndarray:
         """For sorted distinct ids."""
@@ -95,11 +97,28 @@ class Table:
             if len(self.ids) + len(new) > TABLE_ROWS:
                 self._clear()
                 new = ids
-            dots = [self.vectors.grams(new[i : i + 2000]).astype(np.float32) @ self.profiles.prototypes.T for i in range(0, len(new), 2000)]
             merged = np.concatenate([self.ids, new])
             order = np.argsort(merged)
-            self.ids, self.dots = merged[order], np.concatenate([self.dots, *dots])[order]
-        return self.dots[np.searchsorted(self.ids, ids)]
+            self.rows = np.concatenate([self.rows, *(self.vectors.grams(new[i : i + 2000]) for i in range(0, len(new), 2000))])
+            self.ids, self.at = merged[order], np.concatenate([self.at, np.arange(len(self.rows) - len(new), len(self.rows))])[order]
+        return self.rows[self.at[np.searchsorted(self.ids, ids)]]
+
+
+def cosines(ids: np.ndarray, texts: list[tuple[np.ndarray, np.ndarray]], table: Table, prototypes: np.ndarray) -> np.ndarray:
+    """Cosine of each text's bundle with each prototype; 0 for a text without trigrams. ids are the texts' distinct trigrams."""
+    out = np.zeros((len(texts), len(prototypes)))
+    for at in range(0, len(texts), TOGETHER):
+        part = texts[at : at + TOGETHER]
+        used = np.unique(np.concatenate([i for i, _ in part]))
+        counts = np.zeros((len(part), len(used)), dtype=np.float32)
+        for row, (i, n) in zip(counts, part):
+            row[np.searchsorted(used, i)] = n
+        bundles = np.zeros((len(part), prototypes.shape[1]), dtype=np.float64)
+        for a in range(0, len(used), 8000):  # a text of very many different trigrams
+            bundles += counts[:, a : a + 8000] @ table(ids[used[a : a + 8000]]).astype(np.float32)
+        length = np.linalg.norm(bundles, axis=1, keepdims=True)
+        out[at : at + TOGETHER] = np.divide(bundles @ prototypes.T, length, out=np.zeros((len(part), len(prototypes))), where=length > 0)
+    return out
 
 
 def chunks(texts: list[str | None]) -> Iterator[list[str]]:
@@ -136,7 +155,8 @@ def learn(docs: DataFrame, lang: str = "lang", dimension: int = DIMENSION, sampl
         return Profiles([], np.zeros((0, dimension), dtype=np.float32))
     rates = F.create_map(*(F.lit(x) for k, n in counts.items() for x in (k, min(1.0, sample / n))))
     share = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit(4)), F.lit(1_000_003)) / 1_000_003.0
-    chosen = labelled.where(share < rates[F.col("lang")]).repartition(8, "doc_id")
+    tasks = min(64, 4 + 2 * len(counts))  # each returns a vector for each language
+    chosen = labelled.where(share < rates[F.col("lang")]).repartition(tasks, "doc_id")
 
     def bundle(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         letters, vectors, sums = Letters(), Vectors(dimension), {}
@@ -153,7 +173,7 @@ def learn(docs: DataFrame, lang: str = "lang", dimension: int = DIMENSION, sampl
         yield pd.DataFrame({"lang": list(sums), "total": [v.tobytes() for v in sums.values()]}).astype({"lang": "object"})
 
     totals: dict[str, np.ndarray] = {}
-    for r in chosen.mapInPandas(bundle, "lang string, total binary").collect():  # a vector per language and task, of 8 tasks
+    for r in chosen.mapInPandas(bundle, "lang string, total binary").collect():  # a vector for each language and task
         totals[r["lang"]] = totals.get(r["lang"], 0) + np.frombuffer(r["total"])
     totals = {k: v for k, v in sorted(totals.items()) if v.any()}
     rows = [v / np.linalg.norm(v) for v in totals.values()]
@@ -161,32 +181,34 @@ def learn(docs: DataFrame, lang: str = "lang", dimension: int = DIMENSION, sampl
 
 
 def identify(docs: DataFrame, profiles: Profiles) -> DataFrame:
-    """docs with lang_pred and score.
+    """docs with lang_pred, score and cosine.
 
-    Texts that are null or have no letter are ``und`` with score 0, as is every text if no language is known. The
-    score is the softmax share of the best cosine; ties go to the first language in order of name. Repeated rows
-    get equal answers. Columns of docs named lang_pred or score are replaced; others stay.
+    Texts that are null or have no letter are ``und`` with score and cosine 0, as is every text if no language is known.
+    cosine is that of the text's bundle with the best prototype, and score its softmax share; ties go to the first language
+    in order of name. Repeated rows get equal answers. Columns of docs named like these three are replaced; others stay.
     """
     shipped = docs.sparkSession.sparkContext.broadcast(profiles)
     state: dict = {}
 
-    @F.pandas_udf("struct<lang_pred:string,score:double>")
+    @F.pandas_udf("struct<lang_pred:string,score:double,cosine:double>")
     def predict(text: pd.Series) -> pd.DataFrame:
+        langs, prototypes = shipped.value.langs, shipped.value.prototypes.astype(np.float64)
         if not state:
-            state["table"], state["letters"] = Table(shipped.value), Letters()
-        table, langs, out = state["table"], shipped.value.langs, []
+            state["table"], state["letters"] = Table(prototypes.shape[1]), Letters()
+        out = []
         for ids, texts in _bundled(text.tolist(), state["letters"]):
-            dots = table(ids)
-            for at, n in texts:
-                if not len(at) or not langs:
-                    out.append((UNDETERMINED, 0.0))
+            if not langs:
+                out += [(UNDETERMINED, 0.0, 0.0)] * len(texts)
+                continue
+            for (at, _), cosine in zip(texts, cosines(ids, texts, state["table"], prototypes)):
+                if not len(at):
+                    out.append((UNDETERMINED, 0.0, 0.0))
                     continue
-                cosine = (n @ dots[at].astype(np.float64)) / np.sqrt(dimension * np.square(n, dtype=np.float64).sum())
-                share = np.exp(STEEPNESS * (cosine - cosine.max()))
                 best = int(cosine.argmax())
-                out.append((langs[best], float(share[best] / share.sum())))
-        return pd.DataFrame(out, columns=["lang_pred", "score"])
+                share = np.exp(STEEPNESS * (cosine - cosine[best]))
+                out.append((langs[best], float(1.0 / share.sum()), float(cosine[best])))
+        return pd.DataFrame(out, columns=["lang_pred", "score", "cosine"])
 
-    dimension = profiles.prototypes.shape[1]
-    keep = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in ("lang_pred", "score")]
-    return docs.select(*keep, predict(F.col("text")).alias("__p")).select(*keep, F.col("__p.lang_pred").alias("lang_pred"), F.col("__p.score").alias("score"))
+    made = ("lang_pred", "score", "cosine")
+    keep = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in made]
+    return docs.select(*keep, predict(F.col("text")).alias("__p")).select(*keep, *(F.col(f"__p.{c}").alias(c) for c in made))

@@ -4,9 +4,10 @@ For each head (low quality, toxic) two logistic models learn from the same label
 hands the other its most confident unlabelled rows as pseudo-labels, in the proportion of the labelled classes, but
 only rows that the giver's calibrated probability puts beyond the confidence bound. The calibrated views are then
 added as log-odds (less the prior, which both hold) with weights fitted on the calibration rows, and all documents are scored.
+Of the rounds, the one counts that explains the calibration rows best, so an exchange that does harm is taken back.
 
-Fitting uses bounded samples, of ``labelled`` and ``unlabelled`` rows, chosen by a hash of doc_id; scoring covers
-every row and whole texts.
+Fitting uses bounded samples, of ``labelled`` and ``unlabelled`` rows, chosen by a hash of doc_id; a class that is rare
+among the labels is drawn more often, and its odds corrected for that. Scoring covers every row and whole texts.
 """
 
 from __future__ import annotations
@@ -25,7 +26,11 @@ LABELLED, UNLABELLED = 8000, 4000
 WORD_BITS, META_BITS = 18, 10
 #: A slot counts if so many rows of the fitting sample have it.
 LEAST_ROWS = 3
-ROUNDS, CONFIDENT, EXCHANGED = 3, 0.98, 300
+ROUNDS, CONFIDENT = 3, 0.98
+#: Share of the pool that a view may label for the other in a round, times the round's number.
+EXCHANGED = 0.075
+#: Labelled rows of a class that are drawn at least, if there are so many.
+LEAST_OF_CLASS = 400
 HEADS = ("low_quality", "toxic")
 KEEP_AT = 0.5
 #: Rows whose features a worker holds at once, in characters of text.
@@ -167,7 +172,7 @@ def co_train(views: tuple[Sparse, Sparse], y: np.ndarray, pool: tuple[Sparse, Sp
     base = [v.take(fit) for v in views]
     check = [v.take(cal) for v in views]
     extra: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros(0, np.int64), np.zeros(0))] * 2  # what each view has been given
-    weights, scales = [], []
+    best: tuple[float, Head] | None = None
     for turn in range(rounds + 1):
         weights, scales = [], []
         for k in (0, 1):
@@ -175,17 +180,22 @@ def co_train(views: tuple[Sparse, Sparse], y: np.ndarray, pool: tuple[Sparse, Sp
             x = Sparse(np.concatenate([base[k].start, base[k].start[-1] + given.start[1:]]), np.concatenate([base[k].index, given.index]), np.concatenate([base[k].value, given.value]))
             weights.append(fit_logistic(x, np.concatenate([y[fit], extra[k][1]]), sizes[k], l2[k]))
             scales.append(fit_platt(check[k].dot(weights[k]), y[cal]))
+        head = Head(*weights, *scales, prior, (1.0, 0.0))
+        p = np.clip(head.probability(*check), 1e-9, 1 - 1e-9)
+        head = head._replace(final=fit_platt(np.log(p / (1 - p)), y[cal]))
+        p = np.clip(head.probability(*check), 1e-9, 1 - 1e-9)
+        loss = float(-np.mean(np.where(y[cal] > 0, np.log(p), np.log(1 - p)))) if len(cal) else 0.0
+        if best is None or loss < best[0]:
+            best = (loss, head)
         if turn == rounds or not len(pool[0]):
             break
         for k in (0, 1):
             p = _sigmoid(scales[k][0] * pool[k].dot(weights[k]) + scales[k][1])
-            order, most = np.argsort(p, kind="stable"), EXCHANGED * (turn + 1)
+            order, most = np.argsort(p, kind="stable"), int(EXCHANGED * (turn + 1) * len(p))
             yes = [i for i in order[::-1][: max(1, int(most * share))] if p[i] >= CONFIDENT]
             no = [i for i in order[: most - int(most * share)] if p[i] <= 1 - CONFIDENT]
             extra[1 - k] = (np.array(yes + no, dtype=np.int64), np.array([1.0] * len(yes) + [0.0] * len(no)))
-    head = Head(*weights, *scales, prior, (1.0, 0.0))
-    p = np.clip(head.probability(*check), 1e-9, 1 - 1e-9)
-    return head._replace(final=fit_platt(np.log(p / (1 - p)), y[cal]))
+    return best[1]
 
 
 def _features(docs: DataFrame) -> DataFrame:
@@ -219,26 +229,45 @@ def _with_meta(docs: DataFrame) -> DataFrame:
 def train(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, unlabelled: int = UNLABELLED, rounds: int = ROUNDS) -> dict[str, Head]:
     """A head for each target that the sampled labels hold both classes of; labels has doc_id, quality and toxic.
 
-    Labels with a null doc_id, quality and toxic, or without a document, teach nothing; a null target of one head counts
-    as its good class. A doc_id with several labels takes the worst.
+    Labels with a null doc_id, quality and toxic, or without a document, teach nothing; a null target teaches its head
+    nothing. A doc_id with several labels takes the worst.
     """
     marks = labels.where("doc_id IS NOT NULL AND (quality IS NOT NULL OR toxic IS NOT NULL)").groupBy("doc_id").agg(F.max((F.col("quality") == 0).cast("int")).alias("low_quality"), F.max((F.col("toxic") == 1).cast("int")).alias("toxic"))
-    n_docs, n_marks = docs.count(), marks.count()
-    rate = labelled / max(1, n_marks)
+    n_docs = docs.count()
+    kind = F.concat_ws(",", *(F.coalesce(F.col(h).cast("string"), F.lit("-")) for h in HEADS))
+    counts = {r["kind"]: r["n"] for r in marks.groupBy(kind.alias("kind")).agg(F.count("*").alias("n")).collect()}  # at most nine kinds
+    if not counts:
+        return {}
+    rate = labelled / sum(counts.values())
+    rates = F.create_map(*(F.lit(x) for k, n in counts.items() for x in (k, min(1.0, max(rate, LEAST_OF_CLASS / n)))))
 
     def drawn(share) -> DataFrame:
         """Documents of a share of the ids, one for each id; the rest is left before anything is shuffled."""
         return _with_meta(docs).where("doc_id IS NOT NULL").where(share).dropDuplicates(["doc_id"])
 
-    chosen = drawn(_share("doc_id", 7) < rate).join(marks, "doc_id")
-    rows = _features(chosen.fillna(0, ["low_quality", "toxic"])).toPandas().sort_values("doc_id")  # about `labelled` rows
+    if rate >= 1 or all(rate >= LEAST_OF_CLASS / n for n in counts.values()):
+        chosen = drawn(_share("doc_id", 7) < rate).join(marks, "doc_id")
+    else:  # the labels say which documents are of a rare class
+        wanted = marks.where(_share("doc_id", 7) < rates[kind])
+        chosen = _with_meta(docs).where("doc_id IS NOT NULL").join(wanted, "doc_id").dropDuplicates(["doc_id"])
+    rows = _features(chosen).toPandas().sort_values("doc_id")  # about `labelled` rows, and LEAST_OF_CLASS of each rare kind
     if not len(rows):
         return {}
     pool_rate = unlabelled / max(1, n_docs)
     pool = drawn(_share("doc_id", 8) < pool_rate).join(marks.select("doc_id"), "doc_id", "left_anti")
     spare = _features(pool).toPandas().sort_values("doc_id")  # about `unlabelled` rows
-    views, more = [tuple(_unpack(f[c].tolist()) for c in ("tv", "mv")) for f in (rows, spare)]
-    return {h: co_train(views, rows[h].to_numpy(dtype=np.float64), more, rounds) for h in HEADS if 0 < rows[h].sum() < len(rows)}
+    more = tuple(_unpack(spare[c].tolist()) for c in ("tv", "mv"))
+    heads = {}
+    for place, h in enumerate(HEADS):
+        known = rows[rows[h].notna()]
+        y = known[h].to_numpy(dtype=np.float64)
+        if 0 < y.sum() < len(y):
+            head = co_train(tuple(_unpack(known[c].tolist()) for c in ("tv", "mv")), y, more, rounds)
+            # odds among all labels, less the odds in the sample that was fitted
+            all_of = {v: sum(n for k, n in counts.items() if k.split(",")[place] == v) for v in "01"}
+            shift = np.log((all_of["1"] + 0.5) / (all_of["0"] + 0.5)) - np.log((y.sum() + 0.5) / (len(y) - y.sum() + 0.5))
+            heads[h] = head._replace(final=(head.final[0], head.final[1] + float(shift)))
+    return heads
 
 
 def score(docs: DataFrame, heads: dict[str, Head]) -> DataFrame:

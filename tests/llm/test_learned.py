@@ -154,13 +154,62 @@ def test_language_odd_rows(spark, sf):
 
 
 def test_cosines_equal_those_of_whole_vectors():
-    text = "Über den Bergen, übers Meer"
-    grams = langid.trigrams(langid.Letters()(text))
-    vectors = langid.Vectors(512)
-    whole = vectors.grams(grams).astype(float).sum(axis=0)
-    prototype = np.random.default_rng(0).normal(size=(2, 512)).astype(np.float32)
-    ids, n = np.unique(grams, return_counts=True)
-    assert np.allclose(n @ langid.Table(langid.Profiles(["a", "b"], prototype))(ids), prototype @ whole, rtol=1e-3, atol=1e-2)
+    texts = ["Über den Bergen, übers Meer", "the sea", "", "mer et montagne " * 50]
+    letters, vectors = langid.Letters(), langid.Vectors(512)
+    prototypes = np.random.default_rng(0).normal(size=(2, 512))
+    prototypes /= np.linalg.norm(prototypes, axis=1, keepdims=True)
+    ((ids, counted),) = langid._bundled(texts, letters)
+    got = langid.cosines(ids, counted, langid.Table(512), prototypes)
+    for text, cosine in zip(texts, got):
+        grams = langid.trigrams(letters(text))
+        whole = vectors.grams(grams).astype(float).sum(axis=0) if len(grams) else np.zeros(512)
+        want = prototypes @ whole / np.linalg.norm(whole) if len(grams) else np.zeros(2)
+        assert np.allclose(cosine, want, atol=1e-6)
+
+
+def test_language_query_against_brute_force(spark, sf):
+    """The whole query again, a text and a vector at a time: bind, bundle, compare."""
+    import zlib
+
+    docs = spark.read.parquet(f"{sf}/documents.parquet").collect()
+    letter = langid.Vectors(langid.DIMENSION).letter
+
+    def bundle(text):
+        folded = " ".join("".join(c.lower()[0] if c.isalpha() else " " for c in text or "").split())
+        total = np.zeros(langid.DIMENSION)
+        padded = f" {folded} " if folded else ""
+        for a, b, c in zip(padded, padded[1:], padded[2:]):
+            total += np.roll(letter(ord(a)), 2).astype(int) * np.roll(letter(ord(b)), 1) * letter(ord(c))
+        return total
+
+    sums, sketch = {}, {r["doc_id"]: bundle(r["text"]) for r in docs}
+    held = {r["doc_id"]: zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1 for r in docs}
+    for r in docs:
+        folded = "".join(c.lower()[0] if c.isalpha() else " " for c in r["text"] or "").split()
+        if r["lang"] and folded and not held[r["doc_id"]]:
+            grams = defaultdict(int)
+            padded = f" {' '.join(folded)} "
+            for k in range(len(padded) - 2):
+                grams[padded[k : k + 3]] += 1
+            sums[r["lang"]] = sums.get(r["lang"], 0) + sketch[r["doc_id"]] / math.sqrt(sum(n * n for n in grams.values()))
+    langs = sorted(sums)
+    prototypes = np.stack([sums[k] / np.linalg.norm(sums[k]) for k in langs])
+    for r in queries.op4_language_id(spark, sf).collect():
+        v = sketch[r["doc_id"]]
+        assert r["held_out"] == held[r["doc_id"]]
+        if not v.any():
+            assert (r["lang_pred"], r["score"]) == ("und", 0.0)
+            continue
+        cosine = prototypes @ v / np.linalg.norm(v)
+        share = np.exp(langid.STEEPNESS * (cosine - cosine.max()))
+        assert r["score"] == pytest.approx(share.max() / share.sum(), abs=1e-4) and cosine[langs.index(r["lang_pred"])] == pytest.approx(cosine.max(), abs=1e-5)
+
+
+def test_languages_that_tie_go_by_name(spark):
+    rows = [(i, "one and the same text", lang) for i, lang in enumerate(["zz", "aa", "mm"])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    out = langid.identify(docs, langid.learn(docs)).collect()
+    assert {r["lang_pred"] for r in out} == {"aa"} and all(r["score"] == pytest.approx(1 / 3) and r["cosine"] == pytest.approx(1) for r in out)
 
 
 def test_quality_on_held_out_labels(spark):
@@ -172,6 +221,48 @@ def test_quality_on_held_out_labels(spark):
     assert out[bad]["accepted"].mean() < 0.15 and out[~bad]["accepted"].mean() > 0.97
 
 
+def test_exchanges_do_no_harm(spark):
+    """Held-out log loss of both heads with and without rounds of exchange, over two splits."""
+    sf = "/root/testdata/sf0.1"
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    loss = {}
+    for rounds in (0, quality.ROUNDS):
+        for fold in (0, 1):
+            heads = quality.train(docs, labels.where(f"doc_id % 4 <> {fold}"), labelled=1500, rounds=rounds)
+            out = quality.score(docs.join(labels.where(f"doc_id % 4 = {fold}"), "doc_id"), heads).toPandas()
+            for p, y in (("p_low_quality", out["quality"] == 0), ("p_toxic", out["toxic"] == 1)):
+                q = out[p].clip(1e-6, 1 - 1e-6)
+                loss.setdefault((rounds, p), []).append(-np.log(np.where(y, q, 1 - q)).mean())
+    for p in ("p_low_quality", "p_toxic"):
+        assert np.mean(loss[quality.ROUNDS, p]) <= np.mean(loss[0, p]) + 0.005
+
+
+def test_quality_query_equals_scores_of_single_rows(spark, sf):
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    heads, rows = quality.train(docs, labels), {r["doc_id"]: r for r in docs.collect()}
+    for r in queries.op7_quality_classifier(spark, sf).collect():
+        d = rows[r["doc_id"]]
+        words, meta = quality.Sparse.of([quality.text_view(d["text"])]), quality.Sparse.of([quality.meta_view(d["text"], d["lang"], d["source"])])
+        assert r["p_toxic"] == pytest.approx(float(heads["toxic"].probability(words, meta)[0]), abs=1e-6)
+        assert r["p_low_quality"] == pytest.approx(float(heads["low_quality"].probability(words, meta)[0]), abs=1e-6)
+
+
+def test_rare_and_missing_targets(spark, monkeypatch):
+    """A class much rarer than the sample's rate is still learned, and a null target teaches nothing."""
+    rng = np.random.default_rng(3)
+    word = lambda k, n: " ".join(f"{k}{x}" for x in rng.integers(0, 60, n))
+    rows = [(i, word("bad", 30) if i % 150 == 0 else word("fine", 30), "en", "s", 100) for i in range(6000)]
+    docs = spark.createDataFrame(rows, DOCS)
+    labels = spark.createDataFrame([(i, 1, 1 if i % 150 == 0 else 0) for i in range(6000)], "doc_id long, quality int, toxic int")
+    heads = quality.train(docs, labels, labelled=300)
+    out = quality.score(docs, heads).toPandas()
+    bad = out["doc_id"] % 150 == 0
+    assert set(heads) == {"toxic"} and not out[bad]["accepted"].any() and out[~bad]["accepted"].all()
+    unknown = labels.withColumn("toxic", F.when(F.col("doc_id") % 2 == 0, F.col("toxic")))
+    assert set(quality.train(docs, unknown, labelled=300)) == {"toxic"}
+    assert quality.train(docs, labels.withColumn("toxic", F.lit(None).cast("int")), labelled=300) == {}
+
+
 def test_quality_odd_rows(spark, sf):
     docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
     odd_labels = labels.union(spark.createDataFrame([(None, 0, 1), (10**9, 0, 0), (0, None, None)], labels.schema)).union(labels.limit(3))
