@@ -108,10 +108,10 @@ def test_trees_go_deeper_than_their_sample():
 def test_search_stops_when_a_doubled_beam_changes_nothing():
     ids, seen = np.arange(100), np.zeros(100, dtype=bool)
     todo, beam, best = ann.next_visits(ids, seen, 8, b"")
-    assert todo.tolist() == list(range(8)) and beam == 8
+    assert todo.tolist() == list(range(16)) and beam == 8  # and the next beam's along with them
     seen[:8] = True
     todo, beam, best = ann.next_visits(ids, seen, 8, b"")
-    assert todo.tolist() == list(range(8, 16)) and beam == 16 and best
+    assert todo.tolist() == list(range(8, 32)) and beam == 16 and best
     seen[:16] = True
     assert not len(ann.next_visits(ids, seen, 16, best)[0])
     assert len(ann.next_visits(ids[::-1], seen, 16, best)[0])
