@@ -23,7 +23,6 @@ from millrace.llm.storage import Stash
 WINDOW, GRAM = 10, 5
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 NO_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: Tables of up to this many rows are broadcast: fingerprints (24 bytes each), keys of documents that hold one of them (40 bytes
 #: and eight a place) and, up to BROADCAST_CHARS characters, the items' windows. Larger ones meet the documents in a shuffled join.
 BROADCAST_FINGERPRINTS = 400_000
@@ -70,24 +69,29 @@ def kept_places(grams: Column) -> Column:
     return F.when(n >= size, by_run).when(n > 0, all_of_few).otherwise(F.array().cast("array<int>"))
 
 
-def _marks(words: Column, short: list[int], winnow: bool = True) -> Column:
-    """Array of (k, hash, pos): winnowed 5-grams as k = 0, and all k-grams for the lengths of short items."""
+def _marks(words: Column, short: list[int], winnow: bool = True, total: bool = False) -> Column:
+    """Array of (k, hash, pos): winnowed 5-grams as k = 0, and all k-grams for the lengths of short items; with total, also
+    the number of words as the pos of TOTAL."""
 
     def whole(numbers: Column, k: int) -> Column:
         return F.transform(gram_hashes(numbers, k), lambda g, i: F.struct(F.lit(k).alias("k"), g.alias("hash"), i.alias("pos")))
 
     def of(numbers: Column) -> Column:
         parts = [let(gram_hashes(numbers, GRAM), lambda g: F.transform(kept_places(g), lambda i: F.struct(F.lit(0).alias("k"), F.get(g, i).alias("hash"), i.alias("pos"))))] if winnow else []
+        if total:
+            parts.append(F.array(F.struct(F.lit(TOTAL).alias("k"), F.lit(0).cast("long").alias("hash"), F.size(numbers).alias("pos"))))
         return F.concat(*parts, *(whole(numbers, k) for k in short))
 
     return let(word_numbers(words), of)
 
 
-def _exploded(df: DataFrame, keep: list[str], words: Column, short: list[int], winnow: bool = True) -> DataFrame:
-    return df.select(*keep, F.explode(_marks(words, short, winnow)).alias("__x")).select(*keep, "__x.k", "__x.hash", "__x.pos")
+def _exploded(df: DataFrame, keep: list[str], words: Column, short: list[int], winnow: bool = True, total: bool = False) -> DataFrame:
+    return df.select(*keep, F.explode(_marks(words, short, winnow, total)).alias("__x")).select(*keep, "__x.k", "__x.hash", "__x.pos")
 
 
 KEY = ["__id", "__h", "__g"]
+#: Mark that every document has, with its number of words.
+TOTAL = -1
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -127,8 +131,9 @@ def item_windows(items: DataFrame) -> DataFrame:
     return each.groupBy("k", "win").agg(F.array_sort(F.collect_set("item_id")).alias("items"))
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, stash: Stash) -> DataFrame:
-    """Key, packed spans and item ids of the documents with a hit; docs as _keyed() gives them."""
+def leaks(docs: DataFrame, benchmark: DataFrame, stash: Stash, total: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Key, packed spans and item ids of the documents with a hit; and the key, words and rows of those with a fingerprint of an
+    item, with ``total`` of all. docs are as _keyed() gives them."""
     texts = docs
     items = stash.keep(benchmark.select(F.col("item_id").cast("string").alias("item_id"), words_of(F.col("text")).alias("__w")).where("size(__w) > 0").distinct(), "items")
     short = sorted(r[0] for r in items.where(F.size("__w") < WINDOW).select(F.size("__w")).distinct().collect())  # at most nine lengths
@@ -137,6 +142,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, stash: Stash) -> DataFrame:
         few = items.where(F.size("__w") < WINDOW).select(F.size("__w").alias("__n"), "__w")
         marks = marks.union(_exploded(few, ["__n"], F.col("__w"), short, winnow=False).where("k = __n").select("k", "hash"))
     # One row per fingerprint: a gram that many items share then meets each document position once.
+    if total:
+        marks = marks.union(marks.sparkSession.createDataFrame([(TOTAL, 0)], "k int, hash long"))
     known = stash.keep(marks.distinct(), "fingerprints")
     if known.count() <= BROADCAST_FINGERPRINTS:
         known = F.broadcast(known)
@@ -144,8 +151,11 @@ def leaks(docs: DataFrame, benchmark: DataFrame, stash: Stash) -> DataFrame:
     if (windows.agg(F.sum(F.length("win") + F.size("items") * 16)).head()[0] or 0) <= BROADCAST_CHARS and BROADCAST_FINGERPRINTS:
         windows = F.broadcast(windows)
 
-    found = _exploded(texts, KEY, words_of(F.col("__text")), short).join(known, ["k", "hash"], "left_semi")
-    met = stash.keep(found.groupBy(*KEY).agg(F.collect_set(_packed(F.col("k"), F.col("pos"))).alias("__met")), "met")
+    found = _exploded(texts, KEY, words_of(F.col("__text")), short, total=total).join(known, ["k", "hash"], "left_semi")
+    place = F.when(F.col("k") != TOTAL, _packed(F.col("k"), F.col("pos")))
+    judged = found.groupBy(*KEY).agg(F.max(F.when(F.col("k") == TOTAL, F.col("pos"))).alias("n_words"), F.count(F.when(F.col("k") == TOTAL, F.lit(1))).alias("rows"), F.collect_set(place).alias("__met"))
+    judged = stash.keep(judged, "judged")
+    met = judged.where(F.size("__met") > 0).select(*KEY, "__met")
     places = F.broadcast(met) if met.count() <= BROADCAST_FINGERPRINTS // 8 else met
 
     def starts(words: Column) -> Column:
@@ -157,7 +167,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, stash: Stash) -> DataFrame:
 
     one = let(words_of(F.col("__text")), lambda w: F.transform(starts(w), lambda x: F.struct(_high(x).alias("k"), _low(x).alias("start"), window_at(w, _low(x), _high(x)).alias("win"))))
     near = _join(texts, places, "inner").select(*KEY, F.explode(one).alias("__x")).select(*KEY, "__x.*")
-    return near.join(windows, ["k", "win"]).groupBy(*KEY).agg(F.array_sort(F.collect_set(_packed(F.col("start"), F.col("start") + F.col("k") - 1))).alias("__spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("__items"))
+    hits = near.join(windows, ["k", "win"]).groupBy(*KEY).agg(F.array_sort(F.collect_set(_packed(F.col("start"), F.col("start") + F.col("k") - 1))).alias("__spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("__items"))
+    return hits, judged.select(*KEY, "n_words", "rows")
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -169,9 +180,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     null ids or equal texts count by id; an item with a null id makes hits but is not listed. Empty tables are allowed on
     either side. Other columns are ignored.
     """
-    texts = _keyed(docs)
-    hits = leaks(texts, benchmark, Stash(docs.sparkSession, "decontam"))
-    judged = _join(texts.select(*KEY, F.regexp_count(F.translate(F.coalesce("__text", F.lit("")), UPPER, LOWER), F.lit(WORD)).cast("long").alias("n_words")), hits, "left")
+    hits, judged = leaks(_keyed(docs), benchmark, Stash(docs.sparkSession, "decontam"), total=True)
+    judged = _join(judged, hits, "left")
+    judged = judged.withColumn("__row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("rows"))))  # rows that repeat id and text
     # Each word counts for the span that reaches it first: spans in order, each from where the ones before end.
     covered = F.aggregate(
         "__spans",
@@ -181,7 +192,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     )
     return (
         judged.withColumns({"__spans": F.coalesce("__spans", F.array().cast("array<bigint>")), "__items": F.coalesce("__items", F.array().cast("array<string>"))})
-        .select(F.col("__id").alias("doc_id"), "n_words", covered.alias("n_hit"), F.col("__items").alias("items"), F.transform("__spans", lambda s: F.struct(_high(s).alias("first"), _low(s).alias("last"))).alias("spans"))
+        .select(F.col("__id").alias("doc_id"), F.col("n_words").cast("long").alias("n_words"), covered.alias("n_hit"), F.col("__items").alias("items"), F.transform("__spans", lambda s: F.struct(_high(s).alias("first"), _low(s).alias("last"))).alias("spans"))
         .withColumn("n_items", F.size("items").cast("long"))
         .withColumn("items_sha256", F.sha2(F.array_join("items", ",").cast("binary"), 256))
         .withColumn("contaminated", F.col("n_hit") > 0)
@@ -191,7 +202,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of docs whose text holds no window of an item, in all their columns, whatever their doc_id."""
     stash = Stash(docs.sparkSession, "decontam")
-    dirty = stash.keep(leaks(_keyed(docs), benchmark, stash).select("__h", "__g").distinct(), "dirty")
+    dirty = stash.keep(leaks(_keyed(docs), benchmark, stash)[0].select("__h", "__g").distinct(), "dirty")
     dirty = F.broadcast(dirty) if dirty.count() <= BROADCAST_FINGERPRINTS else dirty
     text = F.coalesce(docs["text"], F.lit(""))
     return docs.join(dirty, (F.xxhash64(text) == F.col("__h")) & (F.xxhash64(F.lit(1), text) == F.col("__g")), "left_anti")
