@@ -7,8 +7,11 @@ from __future__ import annotations
 
 import argparse
 import json
+import signal
 import sys
+import time
 
+from millrace.functions.text import parse_duration
 from millrace.plans import preflight
 from millrace.plans.config import ConfigError, parse
 
@@ -17,7 +20,9 @@ def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="millrace")
     p.add_argument("--config", default="millrace.yaml")
     sub = p.add_subparsers(dest="command", required=True)
-    sub.add_parser("run").add_argument("--stream", action="append")
+    run = sub.add_parser("run")
+    run.add_argument("--stream", action="append")
+    run.add_argument("--follow", action="store_true", help="go on until SIGTERM or SIGINT, then drain")
     sub.add_parser("status")
     sub.add_parser("validate")
     schema = sub.add_parser("schema")
@@ -29,7 +34,10 @@ def _parser() -> argparse.ArgumentParser:
     again.add_argument("--confirm", action="store_true")
     check = sub.add_parser("preflight")
     check.add_argument("--facts", required=True, help="JSON file with variables and grants, as the server reports them")
-    sub.add_parser("tail").add_argument("--table", required=True)
+    tail = sub.add_parser("tail")
+    tail.add_argument("--table", required=True)
+    tail.add_argument("--for", dest="time", default="", help="look for new events so long, such as 30s")
+    tail.add_argument("--capture", default="", help="copy the raw events to this folder instead")
     return p
 
 
@@ -61,7 +69,9 @@ def main(args: list[str] | None = None) -> int:
     engine = Engine(SparkSession.builder.appName("millrace").config("spark.sql.session.timeZone", "UTC").getOrCreate(), config)
     try:
         if a.command == "run":
-            engine.run(a.stream)
+            for number in (signal.SIGTERM, signal.SIGINT):
+                signal.signal(number, lambda *_: engine.stop())
+            engine.run(a.stream, a.follow)
         elif a.command == "status":
             engine.status().show(1000, truncate=False)
         elif a.command == "schema":
@@ -71,9 +81,17 @@ def main(args: list[str] | None = None) -> int:
                 print(note, file=sys.stderr)
         elif a.command == "resnapshot":
             engine.resnapshot(a.stream, a.confirm)
+        elif a.capture:
+            print(f"{engine.capture(a.table, a.capture)} events")
         else:
-            for row in engine.tail(a.table).toLocalIterator():
-                print(row["op"], row["seq"], row["line"])
+            last, until = -1, time.monotonic() + (parse_duration(a.time) if a.time else 0)
+            while True:
+                for row in engine.tail(a.table).where(f"seq > {last}").orderBy("seq").toLocalIterator():
+                    print(row["op"], row["seq"], row["line"])
+                    last = max(last, row["seq"])
+                if time.monotonic() >= until:
+                    break
+                time.sleep(1)
     except ValueError as e:
         print(e, file=sys.stderr)
         return 2

@@ -1,39 +1,48 @@
 """The engine's control surface: run, status, schemas, rebuilds, preflight and a diagnostic tail.
 
 Sources are table folders and change-log folders; a stream named in the configuration reads ``<dsn>/<schema>.<table>/scan``
-(Parquet) and ``.../log`` (change events), and writes below ``<checkpoint>/<stream>``.
+(Parquet) and ``.../log`` (change events), and writes below ``<checkpoint>/<stream>`` or delivers to its sink. Beside a log,
+``log.ddl.json`` may hold the statements that came with it, and ``log.purged.json`` how much of it is gone.
 """
 
 from __future__ import annotations
 
+import functools
 import json
 import os
-from collections.abc import Mapping, Sequence
+import threading
+import time
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.functions.kinds import map_column
+from millrace.functions.text import parse_duration, parse_size
 from millrace.operators.batching import dlq_count
-from millrace.operators.changes import describe
+from millrace.operators.changes import describe, readable_images
 from millrace.operators.status import healthy
 from millrace.plans import preflight, schema_gen
-from millrace.plans.config import Config
+from millrace.plans.config import Config, StreamSettings
 from millrace.plans.mapping import Plan, Table, compile_plan
 from millrace.sources import catalog, changelog, snapshot
 from millrace.streaming import pipeline, versions
-from millrace.streaming.metrics import Metrics
-from millrace.streaming.storage import Alias, Files, StreamLock
+from millrace.streaming.metrics import Metrics, serve
+from millrace.streaming.sinks import Delivery, Transport, http
+from millrace.streaming.storage import Files, StreamLock
 
-STATUS = "stream string, position string, snapshot_done boolean, rows_done long, rows_total long, last_event_ms long, last_error string"
+STATUS = "stream string, position string, snapshot_done boolean, rows_done long, rows_total long, progress double, last_event_ms long, lag_seconds double, age_seconds double, last_error string"
+#: Chunks that a scan is cut into at most; a table of more rows has larger ones.
+MOST_CHUNKS = 200
 
 
 class Engine:
-    def __init__(self, spark: SparkSession, config: Config, tables: Mapping[str, Table] | None = None):
+    def __init__(self, spark: SparkSession, config: Config, tables: Mapping[str, Table] | None = None, transport: Transport = http, sleep: Callable[[float], None] = time.sleep):
         self.spark, self.config, self.files = spark, config, Files(spark)
         self.store = versions.FileStore(self.files, f"{config.checkpoint}/_checkpoints")
         self.catalog = catalog.Catalog(self._load)
         self.tables = {k.lower(): v for k, v in (tables or {}).items()}
-        self.metrics = Metrics()
+        self.metrics, self.transport, self.sleep, self.stopping = Metrics(), transport, sleep, threading.Event()
 
     def _folder(self, table: str, what: str) -> str:
         """Scans may come from a replica of their own."""
@@ -43,7 +52,7 @@ class Engine:
     def _load(self, schema: str, name: str) -> Table:
         if known := self.tables.get(f"{schema}.{name}".lower()):
             return known
-        scan = self.spark.read.parquet(self._folder(f"{schema}.{name}", "scan"))
+        scan = self.spark.read.option("mergeSchema", "true").parquet(self._folder(f"{schema}.{name}", "scan"))
         return catalog.from_dataframe(scan, schema, name, scan.columns[:1])
 
     def plan(self, name: str) -> Plan:
@@ -53,57 +62,155 @@ class Engine:
         return compile_plan(self.catalog.get(schema, table), s.mapping.mapping(), self.config.source.time_zone, s.mapping.zero_date, dialect)
 
     def stream(self, name: str) -> pipeline.Stream:
-        return pipeline.Stream(name, self.plan(name), self.config.checkpoint)
+        s, to = self.config.selected([name])[0][1], None
+        if s.sink.type != "table":
+            to = Delivery(s.sink.type, s.sink.target, tuple(s.sink.addresses), s.sink.database, s.sink.user, s.sink.password, s.sink.workers, s.batch.rows, parse_size(s.batch.bytes), self.transport)
+        return pipeline.Stream(name, self.plan(name), self.config.checkpoint, delivery=to)
 
-    def run(self, streams: Sequence[str] | None = None) -> None:
-        """Backfill what has not been scanned yet, then follow the change logs until caught up; one failure stops all."""
+    def _lock(self, name: str) -> StreamLock:
+        return StreamLock(self.files, f"{self.config.checkpoint}/{name}.lock", f"process {os.getpid()}")
+
+    def stop(self) -> None:
+        """Let the running streams finish what has arrived, and end."""
+        self.stopping.set()
+
+    def run(self, streams: Sequence[str] | None = None, follow: bool = False) -> None:
+        """Backfill what has not been scanned yet, then apply the change logs: until caught up, or with ``follow`` until stop().
+
+        One failure stops all. While it runs, /metrics, /healthz, /readyz and /streams answer at the configured address.
+        """
         self.spark.streams.addListener(self.metrics)
+        self.stopping.clear()
+        host, _, port = self.config.runtime.metrics.rpartition(":")
+        server = serve(self.metrics, host or "127.0.0.1", int(port)) if port else None
         chosen, locks, queries = self.config.selected(list(streams) if streams else None), [], []
         try:
             for name, s in chosen:
-                lock = StreamLock(self.files, f"{self.config.checkpoint}/{name}.lock", f"process {os.getpid()}")
-                locks.append(lock.__enter__())
+                locks.append(self._lock(name).__enter__())
                 row = self.store.load(name) or versions.Checkpoint(name)
                 try:
-                    if versions.resume_decision(row, s.snapshot.enabled) in ("scan", "resume_scan"):
-                        row = self._scan(name, s.table, row)
                     log = self._folder(s.table, "log")
+                    row = self._defined(row, s.table, log)
+                    stream = self.stream(name)
+                    self._checked(stream)
+                    if row.position:
+                        changelog.check_purged(self.files, log, int(row.position))
+                    if versions.resume_decision(row, s.snapshot.enabled) in ("scan", "resume_scan"):
+                        row = self._scan(stream, s, row, log)
+                    row = versions.replace(row, position=row.position or "0", last_error="")
+                    self.store.save(row)  # before the query, whose batches save it too
                     if self.files.exists(log):
-                        image = changelog.read_image(self.spark, log)
-                        queries.append(pipeline.run(self.stream(name), changelog.stream_log(self.spark, log, image)))
+                        image, timed = changelog.read_image(self.spark, log), changelog.is_timed(self.spark, log)
+                        events = changelog.stream_log(self.spark, log, image, timed=timed)
+                        queries.append(pipeline.run(stream, events, not follow, f"{int(parse_duration(s.batch.interval) * 1000)} milliseconds", functools.partial(self._applied, name)))
                 except Exception as e:
-                    self.store.save(versions.replace(row, last_error=str(e)[:1000]))
+                    self.store.save(versions.replace(self.store.load(name) or row, last_error=str(e)[:1000]))
                     raise
-            pipeline.run_all(self.spark, queries)
-            for name, _ in chosen:
-                top = pipeline.versions(self.spark, self.stream(name)).agg(F.max("_version")).head()[0]
-                self.store.save(versions.replace(self.store.load(name) or versions.Checkpoint(name), position=str(top or 0), last_error=""))
+            try:
+                pipeline.run_all(self.spark, queries, self.stopping.is_set, parse_duration(self.config.runtime.grace))
+            except Exception as e:
+                for q in queries:
+                    if q.exception():
+                        self.store.save(versions.replace(self.store.load(q.name) or versions.Checkpoint(q.name), last_error=str(e)[:1000]))
+                raise
         finally:
             for lock in locks:
                 lock.__exit__()
             self.spark.streams.removeListener(self.metrics)
+            if server:
+                server.shutdown()
+                server.server_close()
 
-    def _scan(self, name: str, table: str, row: versions.Checkpoint) -> versions.Checkpoint:
-        """Base version and start are stored before a row is read, so any later change beats the scanned copy."""
-        row = versions.replace(row, snapshot_base=row.snapshot_base or 1, snapshot_start=row.snapshot_start or "0", position=row.position or "0")
-        self.store.save(row)
-        folder = self._folder(table, "scan")
+    def _applied(self, name: str, counts: dict) -> None:
+        """After each batch: how far the stream has come. The offset itself is the query's, which commits it next."""
+        self.metrics.counted(name, counts)
+        row = self.store.load(name) or versions.Checkpoint(name)
+        position = max(int(row.position or 0), counts["version"] or 0)
+        self.store.save(versions.replace(row, position=str(position), last_event_ms=max(row.last_event_ms or 0, counts.get("event_ms") or 0) or None, last_error=""))
+
+    def _defined(self, row: versions.Checkpoint, table: str, log: str) -> versions.Checkpoint:
+        """Forget the definitions that statements since the last run may have changed."""
+        for s in changelog.statements(self.files, log):
+            if s["seq"] > row.ddl_seq:
+                self.catalog.saw(s["statement"], s.get("schema", ""))
+                row = versions.replace(row, ddl_seq=s["seq"])
+        return row
+
+    def _checked(self, stream: pipeline.Stream) -> None:
+        """Before anything is written to an index: does its mapping hold what the stream sends? All faults are told at once."""
+        if stream.delivery is None or stream.delivery.type != "index":
+            return
+        have = stream.delivery.sink().fields()
+        if have is None:
+            raise ValueError(f"index {stream.delivery.target} does not exist; create it from the schema command's output")
+        faults = schema_gen.faults(schema_gen.expected_fields(stream.plan), have)
+        if faults:
+            raise ValueError(f"index {stream.delivery.target} does not fit: {'; '.join(faults)}")
+
+    def _scan(self, stream: pipeline.Stream, s: StreamSettings, row: versions.Checkpoint, log: str) -> versions.Checkpoint:
+        """Base version and start are stored before a row is read, so any later change beats the scanned copy; and the scanned copy
+        beats what was stored before. The cursor is stored after each chunk, so a scan that is killed goes on from there."""
+        folder = self._folder(s.table, "scan")
+        if not row.snapshot_start:
+            base = 1
+            if row.scans:  # a new scan: above all that is stored, and all that the log held when it began
+                top = changelog.read_log(self.spark, log, changelog.read_image(self.spark, log)).agg(F.max("seq")).head()[0] if self.files.exists(log) else 0
+                kept = pipeline.versions(self.spark, stream).agg(F.max("_version")).head()[0] if self.files.exists(stream.path("table")) else 0
+                base = max(top or 0, kept or 0, int(row.position or 0)) + 1
+            total = self.spark.read.parquet(folder).count() if self.files.exists(folder) else 0
+            row = versions.replace(row, snapshot_base=base, snapshot_start=row.position or "0", position=row.position or "0", snapshot_rows_total=total, seq_watermark=max(row.seq_watermark, base))
+            self.store.save(row)
         if self.files.exists(folder):
-            counts = pipeline.backfill(self.spark, self.stream(name), snapshot.as_events(self.spark.read.parquet(folder), row.snapshot_base))
-            row = versions.replace(row, snapshot_rows_done=counts["total"], snapshot_rows_total=counts["total"])
-        row = versions.replace(row, snapshot_done=True)
+            sink = stream.delivery.sink() if stream.delivery and stream.delivery.type == "index" and not row.scans else None  # an index that nobody reads yet
+            interval = sink.begin_load() if sink else None
+            try:
+                row = self._chunks(stream, s, row, folder)
+            finally:
+                if sink:
+                    sink.end_load(interval, merge=True)
+        row = versions.replace(row, snapshot_done=True, snapshot_cursor="")
         self.store.save(row)
         return row
 
+    def _chunks(self, stream: pipeline.Stream, s: StreamSettings, row: versions.Checkpoint, folder: str) -> versions.Checkpoint:
+        table = stream.plan.table
+        rows = self.spark.read.option("mergeSchema", "true").parquet(folder)
+        have = {f.name.lower(): f for f in rows.schema.fields}
+        if lost := sorted(c.name for c in stream.plan.key if c.name.lower() not in have):
+            raise ValueError(f"the scan of {s.table} lacks key columns: {', '.join(lost)}")
+        # columns that the scan does not have yet are null, those that the definition no longer has stay behind
+        wanted = [(c.name, have[c.name.lower()].dataType.simpleString() if c.name.lower() in have else map_column(c).spark_type.simpleString()) for c in table.columns if not c.generated]
+        rows = snapshot.normalised(snapshot.align_by_name(rows, wanted), table.columns)
+        key = [c.name for c in stream.plan.key]
+        for part, cursor in snapshot.ranges(rows, key, s.snapshot.chunk_rows, row.snapshot_cursor or None, MOST_CHUNKS):
+            began = time.monotonic()
+            counts = pipeline.backfill(self.spark, stream, snapshot.as_events(part, row.snapshot_base), row.scans * 1_000_000 + row.snapshot_chunks)
+            self.metrics.counted(stream.name, counts)
+            row = versions.replace(row, snapshot_cursor=cursor or row.snapshot_cursor, snapshot_chunks=row.snapshot_chunks + 1, snapshot_rows_done=row.snapshot_rows_done + counts["total"])
+            self.store.save(row)
+            rate = s.snapshot.rows_per_second
+            if cursor and rate and (wait := counts["total"] / rate - (time.monotonic() - began)) > 0:
+                self.sleep(wait)
+        return row
+
     def view(self, name: str) -> DataFrame:
-        """The stream's living documents, to query freely."""
+        """The stream's living documents, to query freely; a stream that goes to a sink is read there."""
+        if self.config.selected([name])[0][1].sink.type != "table":
+            raise ValueError(f"{name} goes to a sink; ask that")
         return pipeline.view(self.spark, self.stream(name))
 
-    def status(self) -> DataFrame:
-        rows = [self.store.load(n) or versions.Checkpoint(n) for n, _ in self.config.selected()]
-        data = [(r.stream, r.position, r.snapshot_done, r.snapshot_rows_done, r.snapshot_rows_total, r.last_event_ms, r.last_error) for r in rows]
+    def status(self, streams: Sequence[str] | None = None) -> DataFrame:
+        """A row for each stream; healthy if it has no error and is not far behind."""
+        now, data = time.time_ns() // 1_000_000, []
+        for name, _ in self.config.selected(list(streams) if streams else None):
+            r = self.store.load(name) or versions.Checkpoint(name)
+            progress = 1.0 if r.snapshot_done else min(1.0, r.snapshot_rows_done / r.snapshot_rows_total) if r.snapshot_rows_total else None
+            data.append((name, r.position, r.snapshot_done, r.snapshot_rows_done, r.snapshot_rows_total, progress, r.last_event_ms, r.lag_seconds(now), (now - r.saved_ms) / 1000 if r.saved_ms else None, r.last_error))
         out = self.spark.createDataFrame(data, STATUS)
-        return out.withColumn("healthy", healthy(F.col("last_error"), F.lit(None).cast("double")))
+        return out.withColumn("healthy", healthy(F.col("last_error"), F.col("lag_seconds")))
+
+    def unhealthy(self) -> DataFrame:
+        return self.status().where("NOT healthy")
 
     def dead_letters(self, name: str) -> DataFrame | None:
         """Dead letters of a stream, read strictly: a corrupt line is an error."""
@@ -123,24 +230,26 @@ class Engine:
         return schema_gen.spark_ddl(plan, s.sink.target.replace("/", "_").strip("_"), pipeline.Stream(name, plan, self.config.checkpoint).path("table")), []
 
     def resnapshot(self, name: str, confirm: bool = False) -> None:
-        """Forget the scan, so that the next run makes it again; the position stays."""
+        """Forget the scan, so that the next run makes it again, under a version above all that is stored; the position stays."""
         if not confirm:
             raise ValueError("a new scan rewrites the whole table; confirm it")
-        with StreamLock(self.files, f"{self.config.checkpoint}/{name}.lock", f"process {os.getpid()}"):
+        with self._lock(name):
             row = self.store.load(name)
             if row is None:
                 raise ValueError(f"{name} has never run")
             self.store.save(row.without_scan())
 
     def rebuild(self, name: str, generation: int) -> DataFrame:
-        alias = Alias(self.files, f"{self.config.checkpoint}/{name}/alias.json")
-        return pipeline.rebuild(self.spark, self.stream(name), alias, generation)
+        """Compact all that is stored and let readers have that, and what comes after it."""
+        with self._lock(name):
+            return pipeline.rebuild(self.spark, self.stream(name), generation=generation)
 
     def tail(self, table: str) -> DataFrame:
         """Readable lines of a table's change log."""
         log = self._folder(table, "log")
         image = changelog.read_image(self.spark, log)
-        return describe(changelog.read_log(self.spark, log, image), image.fieldNames())
+        columns = {c.name.lower(): c for c in self.catalog.get(*table.split(".")).columns}
+        return describe(readable_images(changelog.read_log(self.spark, log, image), columns), image.fieldNames())
 
     def capture(self, table: str, path: str) -> int:
         """Copy a table's raw change events to a folder as JSON lines, with a manifest of what they are; returns their number."""

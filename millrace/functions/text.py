@@ -7,13 +7,13 @@ import re
 from collections.abc import Callable, Mapping
 
 #: Units of sizes and durations.
-SIZE_UNITS = {"": 1, "b": 1, "k": 1 << 10, "kb": 1 << 10, "kib": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "mib": 1 << 20, "g": 1 << 30, "gb": 1 << 30, "gib": 1 << 30}
+SIZE_UNITS = {"": 1, "b": 1, "kb": 10**3, "mb": 10**6, "gb": 10**9, "tb": 10**12, "kib": 1 << 10, "mib": 1 << 20, "gib": 1 << 30, "tib": 1 << 40}
 TIME_UNITS = {"ns": 1e-9, "us": 1e-6, "µs": 1e-6, "ms": 1e-3, "s": 1.0, "m": 60.0, "h": 3600.0}
 REFERENCE = re.compile(r"\$\{([A-Za-z_][A-Za-z0-9_]*)(?::-([^}]*))?\}")
 
 
 def parse_size(text: str | int) -> int:
-    """Bytes of ``5MiB``, ``64k`` or a plain number."""
+    """Bytes of ``5MiB`` (binary units), ``64KB`` (decimal ones) or a plain number."""
     m = re.fullmatch(r"\s*(\d+(?:\.\d+)?)\s*([a-zA-Z]*)\s*", str(text))
     if not m or m[2].lower() not in SIZE_UNITS:
         raise ValueError(f"not a size: {text!r}")
@@ -22,7 +22,7 @@ def parse_size(text: str | int) -> int:
 
 def format_size(n: int) -> str:
     """The largest unit that divides n."""
-    for unit, size in (("GiB", 1 << 30), ("MiB", 1 << 20), ("KiB", 1 << 10)):
+    for unit, size in (("TiB", 1 << 40), ("GiB", 1 << 30), ("MiB", 1 << 20), ("KiB", 1 << 10)):
         if n >= size and n % size == 0:
             return f"{n // size}{unit}"
     return f"{n}B"

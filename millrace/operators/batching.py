@@ -32,7 +32,7 @@ def assign_by_size(docs: DataFrame, stream: str, order: Sequence[str], rows: int
 
     docs has ``bytes``. A batch depends on all before it, so a stream is one sequence: its (order, bytes) pairs are
     walked in one task as a sorted iterator that holds a batch of rows at a time, while streams run in parallel. An
-    oversized document is flushed with what is pending before it.
+    document of at least the byte limit is flushed with what is pending before it.
     """
     schema = docs.schema.add("batch", "long")
 
@@ -43,7 +43,7 @@ def assign_by_size(docs: DataFrame, stream: str, order: Sequence[str], rows: int
             for s, b in zip(frame[stream], frame["bytes"]):
                 if s != name:
                     name, batch, n, held = s, 0, 0, 0
-                if n and held + b > size and b <= size:
+                if n and held + b > size and b < size:
                     batch, n, held = batch + 1, 0, 0
                 out.append(batch)
                 n, held = n + 1, held + b

@@ -5,11 +5,13 @@ An event has ``op`` (insert, update, delete, snapshot), ``before`` and ``after``
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.functions.encode import enum_label, set_members
+from millrace.functions.kinds import Column as SourceColumn
 from millrace.plans.mapping import Plan
 
 DELETE, UPDATE, INSERT, SNAPSHOT = "delete", "update", "insert", "snapshot"
@@ -25,6 +27,16 @@ def classify(event_type: Column) -> Column:
     return out
 
 
+def dispatch(event_type: Column) -> Column:
+    """What becomes of an event of the replication log, by its name: its rows are applied, its position counts, the definitions
+    it may change are dropped, or it says nothing to us."""
+    name = F.upper(event_type)
+    return (
+        F.when(classify(name).isNotNull(), "rows").when(name.rlike("^(GTID|ANONYMOUS_GTID|XID)(_?EVENT|_LOG_EVENT)?$"), "position")
+        .when(name.rlike("^QUERY(_?EVENT)?$"), "statement").otherwise("ignored")
+    )
+
+
 def is_upsert(op: Column | str = "op") -> Column:
     return (F.col(op) if isinstance(op, str) else op) != DELETE
 
@@ -62,6 +74,20 @@ def documents(events: DataFrame, plan: Plan) -> DataFrame:
     )
 
 
+def sink_documents(events: DataFrame, plan: Plan) -> DataFrame:
+    """Documents as a sink sends them: key, JSON body, _version, _is_deleted, and problem if any. A tombstone has no body, or, for a
+    column store, the key's fields alone."""
+    docs = split_key_changes(events, [c.name for c in plan.key])
+    gone = plan.key_body("image") if plan.dialect == "store" else F.lit(None).cast("string")
+    return docs.select(
+        plan.key_of("image").alias("key"),
+        F.when(F.col("deleted"), gone).otherwise(plan.body("image")).alias("body"),
+        F.col("seq").alias("_version"),
+        F.col("deleted").alias("_is_deleted"),
+        F.when(~F.col("deleted"), plan.problem("image")).otherwise(F.when(plan.key_of("image").isNull(), F.lit("null in the key"))).alias("problem"),
+    )
+
+
 def tombstones(events: DataFrame, key: Sequence[str]) -> DataFrame:
     """Key fields, version and delete mark of everything that must go."""
     gone = split_key_changes(events, key).where("deleted")
@@ -86,6 +112,30 @@ def update_diff(before: str, after: str, fields: Sequence[str]) -> Column:
     return F.concat_ws(", ", *parts)
 
 
+def readable(value: Column, column: SourceColumn | None = None, binary: bool = False) -> Column:
+    """A raw value as a person reads it: labels of enums and sets, hexadecimal for bytes that are no UTF-8, NULL."""
+    text = value.cast("string")
+    if binary:
+        text = F.when(F.is_valid_utf8(text), text).otherwise(F.concat(F.lit("0x"), F.lower(F.hex(value))))
+    elif column is not None and column.members and column.data_type.lower() == "enum":
+        number, label = value.cast("int"), enum_label(value, column.members)
+        text = F.when(number == 0, F.lit("''")).otherwise(F.coalesce(label, text))
+    elif column is not None and column.members:
+        text = F.concat(F.lit("{"), F.array_join(set_members(value.cast("long"), column.members), ","), F.lit("}"))
+    return F.coalesce(text, F.lit("NULL"))
+
+
+def readable_images(events: DataFrame, columns: Mapping[str, SourceColumn]) -> DataFrame:
+    """Events whose images hold readable text in every field."""
+    fields = events.schema["after"].dataType.fields
+
+    def image(c: str) -> Column:
+        made = F.struct(*(readable(F.col(f"{c}.`{f.name}`"), columns.get(f.name.lower()), f.dataType.simpleString() == "binary").alias(f.name) for f in fields))
+        return F.when(F.col(c).isNotNull(), made)
+
+    return events.withColumns({c: image(c) for c in ("before", "after")})
+
+
 def describe(events: DataFrame, fields: Sequence[str]) -> DataFrame:
     """Readable lines for a diagnostic tail: whole images of inserts and deletes, differences of updates."""
     whole = lambda c: F.concat_ws(", ", *(F.concat(F.lit(f"{f}: "), F.coalesce(F.col(f"{c}.{f}").cast("string"), F.lit("NULL"))) for f in fields))

@@ -14,8 +14,8 @@ WRITE_SECONDS_BUCKETS = (0.005, 0.01, 0.025, 0.05, 0.1, 0.25, 0.5, 1.0, 2.5, 5.0
 ALERT_RULES = (
     ("lag_high", "warning", "lag_seconds", ">", 300.0),
     ("lag_critical", "critical", "lag_seconds", ">", 1800.0),
-    ("position_stale", "warning", "checkpoint_age_seconds", ">", 600.0),
-    ("dead_letters", "warning", "dead_letters_increase", ">", 0.0),
+    ("position_stale", "critical", "checkpoint_age_seconds", ">", 600.0),
+    ("dead_letters", "critical", "dead_letters_increase", ">", 0.0),
     ("sink_errors", "warning", "sink_errors_per_second", ">", 0.1),
     ("queue_full", "warning", "queue_events", ">", 6000.0),
     ("scan_stalled", "warning", "scan_rows_per_second", "<=", 0.0),

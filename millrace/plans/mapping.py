@@ -141,6 +141,10 @@ class Plan:
     def body(self, image: str) -> Expr:
         return json_document([(f.name, v, f.mapped.kind == Kind.JSON) for f, v, _ in self.encoded(image)])
 
+    def key_body(self, image: str) -> Expr:
+        keys = {c.name for c in self.key}
+        return json_document([(f.name, v, f.mapped.kind == Kind.JSON) for f, v, _ in self.encoded(image) if f.column.name in keys])
+
     def project(self, rows: DataFrame) -> DataFrame:
         """The mapping's columns of a table scan, unencoded and renamed."""
         return rows.select(*(F.col(f"`{f.column.name}`").alias(f.name) for f in self.fields))

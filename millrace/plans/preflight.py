@@ -7,16 +7,15 @@ from typing import NamedTuple
 
 from millrace.functions.text import version_at_least
 
-OLDEST_SERVER, LEAST_RETENTION_S = "8.0.0", 86_400
-# Settings that must have a value, with the reason.
+OLDEST_SERVER, LEAST_RETENTION_S = "8.0.1", 86_400
+# Settings that must have a value, whether a wrong one is fatal, and the reason.
 REQUIRED = (
-    ("log_bin", ("ON", "1"), "the binary log must be on"),
-    ("binlog_format", ("ROW",), "statements cannot be applied"),
-    ("binlog_row_image", ("FULL",), "a partial image cannot fill a document"),
-    ("binlog_row_metadata", ("FULL",), "column names come from the log"),
-    ("gtid_mode", ("ON",), "a position must survive a failover"),
-    ("enforce_gtid_consistency", ("ON", "1"), "needed with gtid_mode"),
-    ("binlog_row_value_options", ("",), "partial JSON is a difference, not a value"),
+    ("log_bin", "ON", True, "the binary log must be on"),
+    ("binlog_format", "ROW", True, "statements cannot be applied"),
+    ("binlog_row_image", "FULL", True, "a partial image cannot fill a document"),
+    ("binlog_row_metadata", "FULL", True, "column names come from the log"),
+    ("gtid_mode", "ON", True, "a position must survive a failover"),
+    ("enforce_gtid_consistency", "ON", False, "unsafe statements make positions that are hard to follow"),
 )
 GRANTS = ("REPLICATION SLAVE", "REPLICATION CLIENT", "SELECT")
 
@@ -29,20 +28,26 @@ class Check(NamedTuple):
 
 
 def evaluate(variables: Mapping[str, str], grants: Sequence[str]) -> list[Check]:
-    """Fourteen checks; warnings are not fatal."""
+    """Fourteen checks; warnings are not fatal. A setting that the server does not report is one it does not know."""
     got = {k.lower(): str(v).strip() for k, v in variables.items()}
-    out = [Check("server_version", version_at_least(got.get("version", "0"), OLDEST_SERVER), True, f"{got.get('version', 'unknown')}, wanted {OLDEST_SERVER} or later")]
-    for name, allowed, why in REQUIRED:
-        value = got.get(name, "")
-        out.append(Check(name, value.upper() in allowed, True, f"{value or 'empty'}: {why}"))
-    number = lambda k: int(got.get(k) or 0)
-    out.append(Check("server_id", number("server_id") > 0, True, "must be set and unique"))
+    version = got.get("version")
+    fits = version is not None and "mariadb" not in version.lower() and version_at_least(version, OLDEST_SERVER)
+    out = [Check("server_version", fits, True, f"{version or 'unknown'}, wanted {OLDEST_SERVER} or later; other forks name positions in another way")]
+    for name, wanted, fatal, why in REQUIRED:
+        value = got.get(name)
+        out.append(Check(name, value is not None and value.upper() == wanted, fatal, f"{'not known to the server' if value is None else value}: {why}"))
+    partial = got.get("binlog_row_value_options", "")
+    out.append(Check("binlog_row_value_options", partial == "", True, f"{partial or 'empty'}: partial JSON is a difference, not a value"))
+    number = lambda k: int(got[k]) if got.get(k, "").isdigit() else None
+    server = number("server_id")
+    out.append(Check("server_id", server is not None and 0 < server < 1 << 32, True, "must be set and unique"))
     kept = number("binlog_expire_logs_seconds")
-    out.append(Check("log_retention", kept == 0 or kept >= LEAST_RETENTION_S, False, f"{kept} s; a scan must end before the log it starts from is purged"))
-    out.append(Check("log_replica_updates", got.get("log_replica_updates", got.get("log_slave_updates", "")).upper() in ("ON", "1"), False, "needed only when the source is itself a replica"))
-    lines = [g.upper().replace("REPLICATION REPLICA", "REPLICATION SLAVE") for g in grants]
+    enough = kept is not None and (kept == 0 or kept >= LEAST_RETENTION_S)
+    out.append(Check("log_retention", enough, False, f"{'unknown' if kept is None else 'for ever' if kept == 0 else f'{kept} s'}; a scan must end before the log it starts from is purged"))
+    out.append(Check("log_replica_updates", got.get("log_replica_updates", "").upper() == "ON", False, "needed only when the source is itself a replica"))
+    lines = [g.upper() for g in grants if g.strip().upper().startswith("GRANT")]
     for grant in GRANTS:
-        held = any(grant in line.split(" ON ")[0] or "ALL PRIVILEGES" in line.split(" ON ")[0] for line in lines)
+        held = any(grant in line or "ALL PRIVILEGES" in line for line in lines)
         out.append(Check(f"grant {grant.lower()}", held, True, "granted" if held else "missing"))
     return out
 

@@ -26,6 +26,12 @@ def compatible(wanted: str, found: str) -> bool:
     return wanted == found or found in WIDER.get(wanted, ())
 
 
+def faults(wanted: dict[str, str], found: dict[str, str]) -> list[str]:
+    """What keeps an existing mapping from holding the wanted fields; fields of its own do no harm."""
+    out = [f"{name} is missing" for name in wanted if name not in found]
+    return out + [f"{name} is {found[name]}, {kind} is wanted" for name, kind in wanted.items() if name in found and not compatible(kind, found[name])]
+
+
 def expected_fields(plan: Plan) -> dict[str, str]:
     return {f.name: f.mapped.index_type for f in plan.fields}
 

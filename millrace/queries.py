@@ -653,13 +653,21 @@ def _replay(spark: SparkSession, sf_dir: str, stops: int, segments: int = 4) ->
     events = change_log(spark, sf_dir)
     stream = pipeline.Stream("orders", compile_plan(log_table(), Mapping(), dialect="store"), root)
     image = events.schema["before"].dataType
+    if not stops:
+        changelog.write_segments(events, f"{root}/log", segments)
+        pipeline.run(stream, changelog.stream_log(spark, f"{root}/log", image)).awaitTermination()
+        return _replayed(spark, stream)
     bounds = [0, 1000, 2_000_000, *[2_000_000 + i * 10_000 for i in range(1, segments - 1)], 1 << 62]
     for i, (low, high) in enumerate(zip(bounds[:-1], bounds[1:])):
         part = events.where((F.col("seq") >= low) & (F.col("seq") < high))
-        part.coalesce(1).write.parquet(f"{root}/log/segment={i:04d}")
-        if stops and i % max(1, len(bounds) // (stops + 1)) == 0 and i + 2 < len(bounds):
+        part.write.parquet(f"{root}/log/segment={i:04d}")
+        if i % max(1, len(bounds) // (stops + 1)) == 0 and i + 2 < len(bounds):
             pipeline.run(stream, changelog.stream_log(spark, f"{root}/log", image)).awaitTermination()
     pipeline.run(stream, changelog.stream_log(spark, f"{root}/log", image)).awaitTermination()
+    return _replayed(spark, stream)
+
+
+def _replayed(spark: SparkSession, stream: pipeline.Stream) -> DataFrame:
     out = pipeline.view(spark, stream)
     return out.select(F.col("k").alias("key"), "status", F.col("amount").cast("decimal(18,2)").alias("amount"), "_version")
 

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.encode import enum_ordinal, set_bitmask, time_of_day_micros
-from millrace.functions.kinds import Kind, Mapped
+from millrace.functions.kinds import Kind, Mapped, map_column
 from millrace.functions.kinds import Column as SourceColumn
 
 CHUNK_ROWS, ROWS_PER_SECOND = 5000, 20_000
@@ -77,6 +77,42 @@ def chunks(table: DataFrame, key: Sequence[str], rows: int = CHUNK_ROWS, start:
             sleep(wait)
 
 
+def boundaries(table: DataFrame, key: Sequence[str], parts: int) -> list[tuple]:
+    """Upper keys of at most so many ranges of about equal size, but for the last, which has none."""
+    if parts < 2:
+        return []
+    tops = table.select(*key).repartitionByRange(parts, *key).groupBy(F.spark_partition_id().alias("p")).agg(F.max(F.struct(*key)).alias("k")).orderBy("p").collect()
+    return [tuple(r["k"]) for r in tops[:-1]]  # a row for each range
+
+
+def ranges(table: DataFrame, key: Sequence[str], rows: int, start: str | None = None, most: int = 200) -> Iterator[tuple[DataFrame, str | None]]:
+    """(rows of the next key range, cursor after it), each of about ``rows`` rows, or more if that were over ``most`` ranges.
+
+    Each range is read in parallel; a scan that stops goes on after the last cursor. The last range has no cursor.
+    """
+    types = [table.schema[k].dataType for k in key]
+    typed = lambda values: [F.lit(v).cast(t) for v, t in zip(values, types)]
+    rest = table if start is None else table.where(after(key, typed(read_cursor(start, len(key)))))
+    n, last = rest.count(), None
+    for top in boundaries(rest, key, -(-n // max(rows, -(-n // most)))):
+        part = rest if last is None else rest.where(after(key, typed(last)))
+        text = table.sparkSession.range(1).select(F.to_json(F.array(*(c.cast("string") for c in typed(top)))).alias("c")).head()["c"]
+        yield part.where(~after(key, typed(top))), text
+        last = top
+    yield rest if last is None else rest.where(after(key, typed(last))), None
+
+
+def normalised(rows: DataFrame, columns: Sequence[SourceColumn]) -> DataFrame:
+    """Scanned rows in the change log's shape: text of enums, sets and times of day as numbers."""
+    have = {f.name.lower(): f for f in rows.schema.fields}
+    out = {}
+    for c in columns:
+        f = have.get(c.name.lower())
+        if f is not None and f.dataType.simpleString() == "string" and c.data_type.lower() in ("enum", "set", "time"):
+            out[f.name] = normalise(c, map_column(c), F.col(f"`{f.name}`"))
+    return rows.withColumns(out) if out else rows
+
+
 def normalise(col: SourceColumn, mapped: Mapped, text: Column) -> Column:
     """A scanned value in the shape that the change log has: labels to numbers, set text to bits, times of day kept."""
     if mapped.kind == Kind.ENUM:

@@ -15,12 +15,13 @@ READY_WITHIN_S = 300
 
 class Metrics(StreamingQueryListener):
     def __init__(self, clock: Callable[[], float] = time.time):
-        self.clock, self.streams = clock, {}
+        self.clock, self.streams, self.names = clock, {}, {}
 
     def _of(self, name: str) -> dict:
         return self.streams.setdefault(name, {"rows": 0, "batches": 0, "rows_per_second": 0.0, "backlog_files": 0, "last_apply": None, "streaming": False, "error": ""})
 
     def onQueryStarted(self, event):
+        self.names[str(event.id)] = event.name or str(event.id)
         self._of(event.name or str(event.id))["streaming"] = True
 
     def onQueryProgress(self, event):
@@ -36,10 +37,18 @@ class Metrics(StreamingQueryListener):
         pass
 
     def onQueryTerminated(self, event):
-        for s in self.streams.values():
-            if event.exception:
-                s["error"] = event.exception[:1000]
-            s["streaming"] = False
+        name = self.names.get(str(event.id), str(event.id))
+        if event.exception:
+            self._of(name)["error"] = event.exception[:1000]
+        self._of(name)["streaming"] = False
+
+    def counted(self, name: str, counts: dict) -> None:
+        """What a batch came to, as its writer tells."""
+        s = self._of(name)
+        for k in ("applied", "stale", "rejected"):
+            s[k] = s.get(k, 0) + counts.get(k, 0)
+        if counts.get("event_ms") is not None:
+            s["last_event_ms"] = max(s.get("last_event_ms") or 0, counts["event_ms"])
 
     def ready(self) -> bool:
         """All streaming, none in error, all applied something lately."""
@@ -50,8 +59,10 @@ class Metrics(StreamingQueryListener):
         """Metrics in the text format of scrapers."""
         out = []
         for name, s in sorted(self.streams.items()):
-            for k in ("rows", "batches", "rows_per_second", "backlog_files"):
-                out.append(f'millrace_{k}{{stream="{name}"}} {s[k]}')
+            for k in ("rows", "batches", "rows_per_second", "backlog_files", "applied", "stale", "rejected"):
+                out.append(f'millrace_{k}{{stream="{name}"}} {s.get(k, 0)}')
+            if s.get("last_event_ms"):
+                out.append(f'millrace_lag_seconds{{stream="{name}"}} {max(0.0, self.clock() - s["last_event_ms"] / 1000)}')
         return "\n".join(out) + "\n"
 
     def snapshot(self) -> str:

@@ -3,6 +3,10 @@
 from __future__ import annotations
 
 import json
+import threading
+import time
+import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,6 +31,11 @@ class Files:
         fs, at = self._at(path)
         fs.delete(at, True)
 
+    def names(self, path: str) -> list[str]:
+        """What a folder holds; nothing if it is not there."""
+        fs, at = self._at(path)
+        return sorted(f.getPath().getName() for f in fs.listStatus(at)) if fs.exists(at) else []
+
     def read_text(self, path: str) -> str | None:
         fs, at = self._at(path)
         if not fs.exists(at):
@@ -64,17 +73,36 @@ class Files:
 
 
 class StreamLock:
-    """One owner for a stream while its process lives."""
+    """One owner for a stream while its process lives.
+
+    The owner renews the lock's time stamp; a lock that has not been renewed for ``ttl`` seconds belonged to a process that
+    died, and is taken over.
+    """
+
+    def __init__(self, files: Files, path: str, owner: str, ttl: float = 60.0, clock: Callable[[], float] = time.time):
+        self.files, self.path, self.ttl, self.clock = files, path, ttl, clock
+        self.owner, self.token, self.done = owner, uuid.uuid4().hex, threading.Event()
 
-    def __init__(self, files: Files, path: str, owner: str):
-        self.files, self.path, self.owner = files, path, owner
+    def _text(self) -> str:
+        return json.dumps({"owner": self.owner, "token": self.token, "at": self.clock()})
 
     def __enter__(self):
-        if not self.files.create(self.path, self.owner):
-            raise Locked(f"{self.path} is held by {self.files.read_text(self.path)}")
+        if not self.files.create(self.path, self._text()):
+            found = json.loads(self.files.read_text(self.path) or "{}")
+            if self.clock() - found.get("at", 0) <= self.ttl:
+                raise Locked(f"{self.path} is held by {found.get('owner')}")
+            self.files.replace(self.path, self._text())
+            if json.loads(self.files.read_text(self.path) or "{}").get("token") != self.token:
+                raise Locked(f"{self.path} was taken over by another process")
+        threading.Thread(target=self._renew, daemon=True).start()
         return self
 
+    def _renew(self) -> None:
+        while not self.done.wait(self.ttl / 4):
+            self.files.replace(self.path, self._text())
+
     def __exit__(self, *exc):
+        self.done.set()
         self.files.delete(self.path)
 
 
@@ -84,17 +112,20 @@ class Alias:
     def __init__(self, files: Files, path: str):
         self.files, self.path = files, path
 
-    def target(self) -> str | None:
+    def info(self) -> dict:
         text = self.files.read_text(self.path)
-        return json.loads(text)["target"] if text else None
+        return json.loads(text) if text else {}
+
+    def target(self) -> str | None:
+        return self.info().get("target")
 
-    def promote(self, target: str) -> bool:
-        """False if the alias points there already."""
+    def promote(self, target: str, **info) -> bool:
+        """False if the alias points there already; info is kept beside the target."""
         if self.target() == target:
             return False
         if not self.files.exists(f"{target}/_SUCCESS"):
             raise RuntimeError(f"{target} is not complete")
-        self.files.replace(self.path, json.dumps({"target": target}))
+        self.files.replace(self.path, json.dumps({"target": target, **info}))
         return True
 
     def read(self) -> DataFrame:

@@ -27,14 +27,18 @@ class Checkpoint:
     seq_watermark: int = 0
     last_event_ms: int | None = None
     last_error: str = ""
+    snapshot_chunks: int = 0
+    scans: int = 0
+    ddl_seq: int = 0
+    saved_ms: int = 0
     schema_version: int = SCHEMA_VERSION
 
     def lag_seconds(self, now_ms: int) -> float | None:
         return None if self.last_event_ms is None else max(0.0, (now_ms - self.last_event_ms) / 1000)
 
     def without_scan(self) -> Checkpoint:
-        """What a new scan starts from: the position stays."""
-        return replace(self, snapshot_done=False, snapshot_start="", snapshot_cursor="", snapshot_base=0, snapshot_rows_done=0, snapshot_rows_total=0)
+        """What a new scan starts from: the position stays, and the next scan writes batches of its own."""
+        return replace(self, snapshot_done=False, snapshot_start="", snapshot_cursor="", snapshot_base=0, snapshot_rows_done=0, snapshot_rows_total=0, snapshot_chunks=0, scans=self.scans + 1)
 
 
 @dataclass
@@ -75,6 +79,7 @@ class FileStore(MemoryStore):
         return row
 
     def save(self, row: Checkpoint) -> None:
+        row = replace(row, saved_ms=time.time_ns() // 1_000_000)
         super().save(row)
         self.files.replace(f"{self.path}/{row.stream}.json", json.dumps(asdict(row)))
 

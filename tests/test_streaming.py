@@ -107,9 +107,12 @@ def test_event_shapes(spark):
 
 
 def test_byte_batches(spark):
-    docs = spark.createDataFrame([("s", i, b) for i, b in enumerate([40, 40, 40, 500, 10])], "stream string, n long, bytes long")
-    got = [r["batch"] for r in batching.assign_by_size(docs, "stream", ["n"], 1000, 100).orderBy("n").collect()]
-    assert got == [0, 0, 1, 1, 2]
+    """A document at the limit or above goes with what is pending; the sinks' batches follow the same rule."""
+    for sizes, want in (([40, 40, 40, 500, 10], [0, 0, 1, 1, 2]), ([40, 100, 10], [0, 0, 1]), ([99, 1, 1], [0, 0, 1]), ([99, 2, 98, 100], [0, 1, 1, 2])):
+        docs = spark.createDataFrame([("s", i, b) for i, b in enumerate(sizes)], "stream string, n long, bytes long")
+        assert [r["batch"] for r in batching.assign_by_size(docs, "stream", ["n"], 1000, 100).orderBy("n").collect()] == want
+        dealt = list(sinks.batches((sinks.Doc("k", "x" * (b - 1), 1) for b in sizes), 1000, 100))
+        assert [i for i, batch in enumerate(dealt) for _ in batch] == want
 
 
 def test_versions_and_resume():
@@ -135,6 +138,12 @@ def test_lock(spark, root):
             StreamLock(files, f"{root}/a.lock", "you").__enter__()
     with StreamLock(files, f"{root}/a.lock", "you"):
         pass
+    dead = StreamLock(files, f"{root}/b.lock", "killed", ttl=60, clock=lambda: 1000.0)
+    files.create(f"{root}/b.lock", dead._text())  # as a killed process leaves it
+    with pytest.raises(Locked, match="killed"):
+        StreamLock(files, f"{root}/b.lock", "early", ttl=60, clock=lambda: 1050.0).__enter__()
+    with StreamLock(files, f"{root}/b.lock", "heir", ttl=60, clock=lambda: 1061.0):
+        assert "heir" in files.read_text(f"{root}/b.lock")
 
 
 class Server:
@@ -182,6 +191,10 @@ def test_store_sink_finds_the_bad_row():
     assert result.applied == 9 and [r.doc.key for r in result.rejected] == ["7"]
     assert "insert_deduplication_token=0-100-109-10" in server.calls[0][1] and "shop.orders" in server.calls[0][1]
     assert server.calls[0][3].splitlines()[0] == '{"id":0,"_version":100,"_is_deleted":0}'
+    with pytest.raises(sinks.SinkError, match="after 12 divisions"):
+        sinks.StoreSink("t", ["a"], lambda *call: (400, b"no such column"), sleep=lambda s: None).write(docs(5000))
+    with pytest.raises(sinks.SinkError, match="alone is larger"):
+        sinks.IndexSink("o", ["a"], lambda *call: (413, b""), sleep=lambda s: None).write(docs(4))
     with pytest.raises(sinks.SinkError, match="key fields"):
         sinks.StoreSink("t", ["a"], server).write([sinks.Doc("1", None, 1, True)])
 
@@ -242,6 +255,31 @@ def test_config():
     assert [n for n, _ in config.parse(text, {}).selected()] == ["a", "b"]
 
 
+def test_sizes_and_alerts():
+    """Fixed values of the engine that this one stands in for."""
+    from millrace.functions.text import format_size, parse_size
+    from millrace.operators.status import ALERT_RULES
+
+    assert [parse_size(x) for x in ("5KB", "5KiB", "5MB", "5MiB", "2GB", "1TB", "1TiB", "7B", "7")] == [5000, 5120, 5_000_000, 5 << 20, 2 * 10**9, 10**12, 1 << 40, 7, 7]
+    assert format_size(1 << 40) == "1TiB"
+    with pytest.raises(ValueError):
+        parse_size("5k")
+    assert {name: severity for name, severity, *_ in ALERT_RULES} == {"lag_high": "warning", "lag_critical": "critical", "position_stale": "critical", "dead_letters": "critical", "sink_errors": "warning", "queue_full": "warning", "scan_stalled": "warning", "stale_writes": "warning"}
+
+
+def test_preflight_refusals():
+    good = {**q.SERVER, "binlog_row_image": "FULL", "binlog_expire_logs_seconds": "604800"}
+    check = lambda **changed: {c.name: c for c in preflight.evaluate({k: v for k, v in {**good, **changed}.items() if v is not None}, q.SERVER_GRANTS)}
+    for version, ok in (("8.0.0", False), ("8.0.1", True), ("8.4.2-log", True), ("5.7.44", False), ("10.6.4-MariaDB", False), ("9", True), (None, False)):
+        assert check(version=version)["server_version"].ok is ok
+    assert not check(log_bin="1")["log_bin"].ok and not check(gtid_mode=None)["gtid_mode"].ok
+    loose = check(enforce_gtid_consistency="OFF")["enforce_gtid_consistency"]
+    assert not loose.ok and not loose.fatal
+    assert [check(binlog_expire_logs_seconds=x)["log_retention"].ok for x in ("0", "86400", "86399", None)] == [True, True, False, False]
+    assert check(binlog_row_value_options=None)["binlog_row_value_options"].ok and not check(binlog_row_value_options="PARTIAL_JSON")["binlog_row_value_options"].ok
+    assert [check(server_id=x)["server_id"].ok for x in ("1", "0", None, str(1 << 32))] == [True, False, False, False]
+
+
 def test_preflight():
     good = {**q.SERVER, "binlog_row_image": "FULL", "binlog_expire_logs_seconds": "604800"}
     assert preflight.passed(preflight.evaluate(good, q.SERVER_GRANTS)) and not preflight.passed(preflight.evaluate(q.SERVER, q.SERVER_GRANTS))
@@ -267,8 +305,15 @@ def test_engine_end_to_end(spark, sf, root, tmp_path):
         engine.resnapshot("orders")
     engine.resnapshot("orders", confirm=True)
     assert not engine.status().head()["snapshot_done"]
+    # the table as it is now, but for a row that was stored wrongly and one that is put right at the source only now
+    now = engine.view("orders").select("k", F.when(F.col("k") == 1, "REPAIRED").otherwise(F.col("status")).alias("status"), "amount")
+    now.write.parquet(f"{root}/now")
+    spark.read.parquet(f"{root}/now").write.mode("overwrite").parquet(f"{root}/src/shop.orders/scan")
+    pipeline.write_batch(engine.stream("orders"), events.where("op = 'snapshot' AND after.k = 2").withColumn("after", F.expr("struct(2L AS k, 'BROKEN' AS status, after.amount AS amount)")).withColumn("seq", F.lit(5_000_000).cast("long")), 99)
+    assert engine.view("orders").where("k = 2").head()["status"] == "BROKEN"
     engine.run()
-    assert engine.view("orders").count() == len(want) and engine.tail("shop.orders").count() > 0
+    got = sorted(tuple(r) for r in engine.view("orders").select("k", "status", F.col("amount").cast("string")).collect())
+    assert got == sorted((k, "REPAIRED" if k == 1 else s, a) for k, s, a in want) and engine.tail("shop.orders").count() > 0
     assert "CREATE TABLE" in engine.generate_schema("orders")[0]
     n = engine.capture("shop.orders", f"{root}/capture")
     assert n == events.where("seq >= 2000000").count() and json.loads(Files(spark).read_text(f"{root}/capture/manifest.json"))["events"] == n
