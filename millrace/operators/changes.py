@@ -23,7 +23,7 @@ def classify(event_type: Column) -> Column:
     """Operation of a row-event name with or without version suffix; null for other events."""
     out = F.lit(None).cast("string")
     for name, op in ROW_EVENTS.items():
-        out = F.when(event_type.rlike(f"^{name}(_?[vV][0-2]|EVENTv[0-2])?$"), F.lit(op)).otherwise(out)
+        out = F.when(event_type.rlike(f"^{name}(_?EVENT)?(_?[vV][0-2])?$"), F.lit(op)).otherwise(out)
     return out
 
 

@@ -6,6 +6,9 @@ changes, deletes and re-inserts, with versions that are unique for each key.
 
 from __future__ import annotations
 
+import gzip
+import itertools
+import json
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -13,14 +16,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.engine import Engine
 from millrace.functions import encode, keys
-from millrace.functions.kinds import Column
+from millrace.functions.kinds import Column, map_column
+from millrace.functions.text import expand, parse_duration, parse_size, version_at_least
 from millrace.operators import batching, changes, merge, status
 from millrace.plans import preflight as checks
+from millrace.plans import schema_gen
+from millrace.plans.config import parse as parse_config
 from millrace.plans.mapping import Mapping, Table, compile_plan
 from millrace.plans.schema_gen import schema_diff as diff_schemas
 from millrace.sources import catalog, changelog, snapshot
-from millrace.streaming import pipeline
+from millrace.streaming import pipeline, sinks, versions
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -474,7 +481,17 @@ def batch_assign_rows(spark, sf_dir):
     return batching.assign_by_rows(docs, ["stream"], ["_version", "key"], 100)
 
 
-@query()
+BYTE_BATCHES = """WITH RECURSIVE d AS (
+  SELECT event_id, user_id % 16 AS stream, CAST(strlen(CAST(event_id AS VARCHAR)) + coalesce(strlen(props), 0) AS BIGINT) AS bytes, row_number() OVER (PARTITION BY user_id % 16 ORDER BY event_id) AS i FROM events
+), w(stream, i, event_id, bytes, batch, n, held) AS (
+  SELECT stream, CAST(0 AS BIGINT), CAST(NULL AS BIGINT), CAST(0 AS BIGINT), CAST(0 AS BIGINT), CAST(0 AS BIGINT), CAST(0 AS BIGINT) FROM (SELECT DISTINCT stream FROM d)
+  UNION ALL
+  SELECT stream, i, event_id, bytes, CASE WHEN full_before OR opens THEN batch + 1 ELSE batch END, CASE WHEN full_before OR opens THEN 1 ELSE n + 1 END, CASE WHEN full_before OR opens THEN bytes ELSE held + bytes END
+  FROM (SELECT d.stream, d.i, d.event_id, d.bytes, w.batch, w.n, w.held, w.n >= 100 OR w.held >= 4096 AS full_before, w.n > 0 AND w.held + d.bytes > 4096 AND d.bytes < 4096 AS opens FROM w JOIN d ON d.stream = w.stream AND d.i = w.i + 1)
+) SELECT event_id, stream, bytes, batch FROM w WHERE i > 0"""
+
+
+@query(BYTE_BATCHES)
 def batch_assign_bytes(spark, sf_dir):
     docs = load(spark, sf_dir, "events").select("event_id", (F.col("user_id") % 16).alias("stream"), batching.doc_size(F.col("event_id").cast("string"), F.col("props")).alias("bytes"))
     return batching.assign_by_size(docs, "stream", ["event_id"], 100, 4096)
@@ -585,17 +602,29 @@ def batch_size_histogram(spark, sf_dir):
     return status.histogram(sizes, "rows", ["stream"], status.BATCH_BUCKETS)
 
 
+# The rules as the reference's operators have them: name, severity, metric, whether above, threshold.
+RULES_SQL = """('lag_high', 'warning', 'lag_seconds', TRUE, 300.0), ('lag_critical', 'critical', 'lag_seconds', TRUE, 1800.0), ('position_stale', 'critical', 'checkpoint_age_seconds', TRUE, 600.0),
+('dead_letters', 'critical', 'dead_letters_increase', TRUE, 0.0), ('sink_errors', 'warning', 'sink_errors_per_second', TRUE, 0.1), ('queue_full', 'warning', 'queue_events', TRUE, 6000.0),
+('scan_stalled', 'warning', 'scan_rows_per_second', FALSE, 0.0), ('stale_writes', 'warning', 'stale_per_second', TRUE, 1.0)"""
+METRICS = {"lag_seconds": ("user_id * 3", 1.0), "scan_rows_per_second": ("user_id % 3", 1.0), "checkpoint_age_seconds": ("user_id * 2 % 1300", 1.0), "dead_letters_increase": ("user_id % 2", 1.0), "sink_errors_per_second": ("user_id % 5", 0.05), "queue_events": ("user_id * 7", 1.0), "stale_per_second": ("user_id % 4", 0.5)}
+
+
 @query(
-    """WITH m AS (SELECT user_id, 'lag_seconds' AS metric, CAST(user_id * 3 AS DOUBLE) AS value FROM (SELECT DISTINCT user_id FROM events)
-  UNION ALL SELECT user_id, 'scan_rows_per_second', CAST(user_id % 3 AS DOUBLE) FROM (SELECT DISTINCT user_id FROM events)),
-r(alert, severity, metric, above, threshold) AS (VALUES ('lag_high', 'warning', 'lag_seconds', TRUE, 300.0), ('lag_critical', 'critical', 'lag_seconds', TRUE, 1800.0), ('scan_stalled', 'warning', 'scan_rows_per_second', FALSE, 0.0))
-SELECT CAST(user_id AS VARCHAR) AS stream, alert, severity, value FROM m JOIN r USING (metric) WHERE CASE WHEN above THEN value > threshold ELSE value <= threshold END"""
+    "WITH u AS (SELECT DISTINCT user_id FROM events), m AS ("
+    + " UNION ALL ".join(f"SELECT user_id, '{name}' AS metric, CAST({e} AS DOUBLE) * {f} AS value FROM u" for name, (e, f) in METRICS.items())
+    + f"), r(alert, severity, metric, above, threshold) AS (VALUES {RULES_SQL}) "
+    "SELECT CAST(user_id AS VARCHAR) AS stream, alert, severity, value FROM m JOIN r USING (metric) WHERE CASE WHEN above THEN value > threshold ELSE value <= threshold END"
 )
 def alerts(spark, sf_dir):
     users = load(spark, sf_dir, "events").select("user_id").distinct()
-    metric = lambda name, v: F.struct(F.lit(name).alias("metric"), v.cast("double").alias("value"))
-    wide = users.select(F.col("user_id").cast("string").alias("stream"), F.explode(F.array(metric("lag_seconds", F.col("user_id") * 3), metric("scan_rows_per_second", F.col("user_id") % 3))).alias("m"))
-    return status.alerts(wide.select("stream", "m.metric", "m.value"))
+    made = F.array(*(F.struct(F.lit(name).alias("metric"), (F.expr(e).cast("double") * F.lit(f)).alias("value")) for name, (e, f) in METRICS.items()))
+    return status.alerts(users.select(F.col("user_id").cast("string").alias("stream"), F.explode(made).alias("m")).select("stream", "m.metric", "m.value"))
+
+
+@query("SELECT user_id, user_id % 2 = 0 AND user_id % 5 <> 0 AND user_id % 700 <= 300 AS ready FROM (SELECT DISTINCT user_id FROM events)")
+def stream_readiness(spark, sf_dir):
+    u = F.col("user_id")
+    return load(spark, sf_dir, "events").select("user_id").distinct().select(u, status.ready(u % 2 == 0, F.when(u % 5 == 0, F.lit("broken")), (u % 700).cast("double")).alias("ready"))
 
 
 @query(
@@ -620,18 +649,21 @@ def schema_diff(spark, sf_dir):
     return diff_schemas(expected, actual)
 
 
-# A server that passes but for its row image and its retention.
+# A server that passes but for its row image and its retention; one that fails every check it can.
 SERVER = {"version": "8.0.36-log", "log_bin": "ON", "binlog_format": "ROW", "binlog_row_image": "MINIMAL", "binlog_row_metadata": "FULL", "gtid_mode": "ON", "enforce_gtid_consistency": "ON", "binlog_row_value_options": "", "server_id": "7", "binlog_expire_logs_seconds": "3600", "log_replica_updates": "ON"}
 SERVER_GRANTS = ("GRANT REPLICATION SLAVE, REPLICATION CLIENT ON *.* TO `cdc`@`%`", "GRANT SELECT ON `shop`.* TO `cdc`@`%`")
+FORK = {"version": "10.6.4-MariaDB", "log_bin": "1", "binlog_format": "MIXED", "gtid_mode": "OFF", "enforce_gtid_consistency": "WARN", "binlog_row_value_options": "PARTIAL_JSON", "server_id": "0"}
 
 
 @query(
-    """SELECT * FROM (VALUES ('server_version', TRUE, TRUE), ('log_bin', TRUE, TRUE), ('binlog_format', TRUE, TRUE), ('binlog_row_image', FALSE, TRUE), ('binlog_row_metadata', TRUE, TRUE), ('gtid_mode', TRUE, TRUE),
-('enforce_gtid_consistency', TRUE, TRUE), ('binlog_row_value_options', TRUE, TRUE), ('server_id', TRUE, TRUE), ('log_retention', FALSE, FALSE), ('log_replica_updates', TRUE, FALSE),
-('grant replication slave', TRUE, TRUE), ('grant replication client', TRUE, TRUE), ('grant select', TRUE, TRUE)) t(name, ok, fatal)"""
+    """WITH t(server, name, ok, fatal) AS (VALUES ('server', 'server_version', TRUE, TRUE), ('server', 'log_bin', TRUE, TRUE), ('server', 'binlog_format', TRUE, TRUE), ('server', 'binlog_row_image', FALSE, TRUE), ('server', 'binlog_row_metadata', TRUE, TRUE),
+('server', 'gtid_mode', TRUE, TRUE), ('server', 'enforce_gtid_consistency', TRUE, FALSE), ('server', 'binlog_row_value_options', TRUE, TRUE), ('server', 'server_id', TRUE, TRUE), ('server', 'log_retention', FALSE, FALSE), ('server', 'log_replica_updates', TRUE, FALSE),
+('server', 'grant replication slave', TRUE, TRUE), ('server', 'grant replication client', TRUE, TRUE), ('server', 'grant select', TRUE, TRUE))
+SELECT * FROM t UNION ALL SELECT 'fork', name, FALSE, fatal FROM t"""
 )
 def preflight(spark, sf_dir):
-    return spark.createDataFrame([c[:3] for c in checks.evaluate(SERVER, SERVER_GRANTS)], "name string, ok boolean, fatal boolean")
+    rows = [("server", *c[:3]) for c in checks.evaluate(SERVER, SERVER_GRANTS)] + [("fork", *c[:3]) for c in checks.evaluate(FORK, ["SELECT"])]
+    return spark.createDataFrame(rows, "server string, name string, ok boolean, fatal boolean")
 
 
 # --- streaming ------------------------------------------------------------------------------------------------------
@@ -639,7 +671,11 @@ def preflight(spark, sf_dir):
 
 def workspace(spark: SparkSession) -> str:
     """A fresh folder that driver and executors share."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="millrace-")
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not base:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        base = "file://" + tempfile.mkdtemp(prefix="millrace-")
     return f"{base.rstrip('/')}/stream-{uuid.uuid4().hex[:12]}"
 
 
@@ -680,3 +716,261 @@ def stream_replay_final(spark, sf_dir):
 @query(FINAL, exact=("amount",))
 def stream_resume_final(spark, sf_dir):
     return _replay(spark, sf_dir, 2)
+
+
+# --- the source's events --------------------------------------------------------------------------------------------
+
+# Names of replication events, and what they mean here.
+EVENT_NAMES = {"WRITE_ROWS_EVENTv2": "rows", "UPDATE_ROWS_EVENTv1": "rows", "DELETE_ROWS": "rows", "GTID_EVENT": "position", "XID_EVENT": "position", "QUERY_EVENT": "statement", "TABLE_MAP_EVENT": "ignored", "ROTATE_EVENT": "ignored"}
+
+
+def _nth(texts, n: str) -> str:
+    return "([" + ", ".join(f"'{t}'" for t in texts) + f"])[1 + {n} % {len(texts)}]"
+
+
+@query(f"SELECT event_id, {_nth(EVENT_NAMES, 'event_id')} AS name, {_nth(EVENT_NAMES.values(), 'event_id')} AS becomes FROM events")
+def event_dispatch(spark, sf_dir):
+    name = F.get(F.array(*map(F.lit, EVENT_NAMES)), (F.col("event_id") % len(EVENT_NAMES)).cast("int"))
+    return load(spark, sf_dir, "events").select("event_id", name.alias("name"), changes.dispatch(name).alias("becomes"))
+
+
+@query("SELECT o_custkey AS tx, o_orderkey AS pair, o_orderstatus AS before, o_orderpriority AS after FROM orders")
+def pair_updates(spark, sf_dir):
+    """Row images as an update event holds them: before, after, before, after."""
+    images = load(spark, sf_dir, "orders").select(F.col("o_custkey").alias("tx"), F.posexplode(F.array("o_orderstatus", "o_orderpriority")).alias("place", "image"), (F.col(K) * 2).alias("at"))
+    paired = changes.pair_updates(images.withColumn("position", F.col("at") + F.col("place")), ["tx"], "position", "image")
+    return paired.select("tx", F.col("pair").cast("long").alias("pair"), "before", "after")
+
+
+READABLE = """SELECT o_orderkey, CASE WHEN o_orderkey % 6 = 0 THEN '''''' WHEN o_orderkey % 6 <= 4 THEN (['draft', 'paid', 'shipped', 'cancelled'])[o_orderkey % 6] ELSE '5' END AS state,
+  '{' || array_to_string(list_filter(['web', 'ios', 'android', 'pos'], lambda x, i: (o_orderkey % 16) & (1 << (i - 1)) <> 0), ',') || '}' AS channels,
+  CASE WHEN o_orderkey % 3 = 0 THEN '0xff' || lower(hex(encode(o_orderstatus))) ELSE o_orderstatus END AS raw, CASE WHEN o_orderkey % 7 = 0 THEN 'NULL' ELSE o_orderpriority END AS note FROM orders"""
+
+
+@query(READABLE)
+def tail_values(spark, sf_dir):
+    raw = F.when(F.col(K) % 3 == 0, F.concat(F.unhex(F.lit("FF")), F.col("o_orderstatus").cast("binary"))).otherwise(F.col("o_orderstatus").cast("binary"))
+    return _orders(
+        spark, sf_dir, state=changes.readable(F.col(K) % 6, Column("state", "enum", members=STATES)), channels=changes.readable(F.col(K) % 16, Column("channels", "set", members=CHANNELS)),
+        raw=changes.readable(raw, binary=True), note=changes.readable(F.when(F.col(K) % 7 != 0, F.col("o_orderpriority"))),
+    )
+
+
+@query("SELECT o_orderkey, CAST(1 + o_orderkey % 4 AS BIGINT) AS state, CAST(o_orderkey % 2 + 2 * (o_orderkey // 2 % 2) AS BIGINT) AS channels, (o_orderkey % 24) * CAST(3600000000 AS BIGINT) AS at FROM orders")
+def scan_normalised(spark, sf_dir):
+    """Scanned text of enums, sets and times of day in the log's numbers."""
+    k = F.col(K)
+    text = _orders(spark, sf_dir, state=F.get(F.array(*map(F.lit, STATES)), (k % 4).cast("int")), channels=F.concat_ws(",", F.when(k % 2 == 1, "web"), F.when(F.floor(k / 2) % 2 == 1, "ios")), at=F.concat(F.lpad((k % 24).cast("string"), 2, "0"), F.lit(":00:00")))
+    columns = [Column(K, "bigint"), Column("state", "enum", members=STATES), Column("channels", "set", members=CHANNELS), Column("at", "time")]
+    return snapshot.normalised(text, columns).select(K, F.col("state").cast("long").alias("state"), F.col("channels").cast("long").alias("channels"), F.col("at").cast("long").alias("at"))
+
+
+@query("SELECT o_orderkey, CASE WHEN o_orderkey % 5 <> 0 THEN o_orderstatus END AS value, CASE WHEN o_orderkey % 5 = 0 THEN 'not UTF-8: FF' || upper(hex(encode(o_orderstatus))) END AS problem FROM orders")
+def utf8_check(spark, sf_dir):
+    raw = F.when(F.col(K) % 5 == 0, F.concat(F.unhex(F.lit("FF")), F.col("o_orderstatus").cast("binary"))).otherwise(F.col("o_orderstatus").cast("binary"))
+    column = Column("s", "varchar", charset="utf8mb4")
+    e = encode.encode_column(column, map_column(column), raw)
+    return _orders(spark, sf_dir, value=e.value, problem=e.problem)
+
+
+@query(r"""SELECT o_orderkey, '{"a\"b\\":"' || o_orderstatus || '\\","t":{"x": 1}}' AS body FROM orders""".replace("\\\\", "\\\\"))
+def json_escapes(spark, sf_dir):
+    return _orders(spark, sf_dir, body=encode.json_document([('a"b\\', F.concat("o_orderstatus", F.lit("\\")), False), ("t", F.lit('{"x": 1}'), True)]))
+
+
+@query("SELECT c_custkey, c_name FROM customer")
+def scan_ranges(spark, sf_dir):
+    """A table scanned in key ranges, of which each goes on after the cursor of the one before."""
+    rows, out, cursor, left = load(spark, sf_dir, "customer").select("c_custkey", "c_name"), None, None, True
+    size = max(1, rows.count() // 3)
+    while left:
+        part, cursor = next(snapshot.ranges(rows, ["c_custkey"], size, cursor))
+        out, left = part if out is None else out.unionByName(part), cursor is not None
+    return out
+
+
+# --- settings and decisions -----------------------------------------------------------------------------------------
+
+# Units of sizes and of durations.
+SIZES = {"B": 1, "KB": 10**3, "MB": 10**6, "GB": 10**9, "TB": 10**12, "KiB": 1 << 10, "MiB": 1 << 20, "GiB": 1 << 30, "TiB": 1 << 40}
+TIMES = {"ms": 1, "s": 1000, "m": 60_000, "h": 3_600_000}
+
+
+@query("SELECT n || u AS text, n * f AS bytes FROM range(1, 51) t(n), (VALUES " + ", ".join(f"('{u}', CAST({f} AS BIGINT))" for u, f in SIZES.items()) + ") s(u, f)")
+def size_units(spark, sf_dir):
+    return spark.createDataFrame([(f"{n}{u}", parse_size(f"{n}{u}")) for n in range(1, 51) for u in SIZES], "text string, bytes long")
+
+
+@query("SELECT n || u AS text, n * f AS ms FROM range(1, 51) t(n), (VALUES " + ", ".join(f"('{u}', CAST({f} AS BIGINT))" for u, f in TIMES.items()) + ") s(u, f) UNION ALL SELECT n || 'h' || n || 'm', n * 3660000 FROM range(1, 51) t(n)")
+def duration_units(spark, sf_dir):
+    texts = [f"{n}{u}" for n in range(1, 51) for u in TIMES] + [f"{n}h{n}m" for n in range(1, 51)]
+    return spark.createDataFrame([(t, round(parse_duration(t) * 1000)) for t in texts], "text string, ms long")
+
+
+@query("SELECT n, 'jdbc:' || CASE WHEN n % 2 = 0 THEN 'host' || n ELSE 'localhost' END || '/shop' AS text FROM range(0, 20) t(n)")
+def environment_references(spark, sf_dir):
+    return spark.createDataFrame([(n, expand("jdbc:${HOST:-localhost}/shop", {"HOST": f"host{n}"} if n % 2 == 0 else {})) for n in range(20)], "n long, text string")
+
+
+@query("SELECT major || '.' || minor || '.' || patch AS version, major * 10000 + minor * 100 + patch >= 80001 AS enough FROM range(5, 10) a(major), range(0, 5) b(minor), range(0, 4) c(patch)")
+def version_floor(spark, sf_dir):
+    return spark.createDataFrame([(f"{a}.{b}.{c}", version_at_least(f"{a}.{b}.{c}", checks.OLDEST_SERVER)) for a in range(5, 10) for b in range(5) for c in range(4)], "version string, enough boolean")
+
+
+@query(
+    """SELECT pos, done, cur, started, enabled, CASE WHEN pos AND (done OR NOT enabled) THEN 'tail' WHEN NOT enabled THEN 'start_here' WHEN cur AND started THEN 'resume_scan' ELSE 'scan' END AS decision
+FROM (VALUES (TRUE), (FALSE)) a(pos), (VALUES (TRUE), (FALSE)) b(done), (VALUES (TRUE), (FALSE)) c(cur), (VALUES (TRUE), (FALSE)) d(started), (VALUES (TRUE), (FALSE)) e(enabled)"""
+)
+def resume_decision(spark, sf_dir):
+    states = itertools.product((True, False), repeat=5)
+    rows = [(p, d, c, s, e, versions.resume_decision(versions.Checkpoint("s", "5" if p else "", d, "5" if s else "", '["9"]' if c else ""), e)) for p, d, c, s, e in states]
+    return spark.createDataFrame(rows, "pos boolean, done boolean, cur boolean, started boolean, enabled boolean, decision string")
+
+
+@query("SELECT n, 1000 * 1024 + n AS version FROM range(0, 25) t(n)")
+def version_blocks(spark, sf_dir):
+    """Versions in blocks of ten; the clock stands still, so each block follows the one before."""
+    allocator = versions.Allocator(versions.MemoryStore(), "s", block=10, clock=lambda: 1000)
+    return spark.createDataFrame([(n, allocator.next()) for n in range(25)], "n long, version long")
+
+
+@query("SELECT * FROM (VALUES ('o_custkey', 'long'), ('o_orderdate', 'keyword'), ('o_orderkey', 'long'), ('o_orderpriority', 'keyword'), ('o_orderstatus', 'keyword'), ('o_totalprice', 'keyword')) t(field, type)")
+def index_fields(spark, sf_dir):
+    plan = compile_plan(orders_table(orders(spark, sf_dir)), Mapping())
+    made = json.loads(schema_gen.index_mapping(plan)[0])["mappings"]["properties"]
+    return spark.createDataFrame([(f, t["type"]) for f, t in made.items()], "field string, type string")
+
+
+# --- delivery and the engine ----------------------------------------------------------------------------------------
+
+
+def _index_answers(address, path, headers, body):
+    """An index that finds every third document stale and refuses every seventh."""
+    lines, items = iter(gzip.decompress(body).decode().splitlines()), []
+    for line in lines:
+        ((action, meta),) = json.loads(line).items()
+        if action == "index":
+            next(lines)
+        code = 400 if int(meta["_id"]) % 7 == 0 else 409 if int(meta["_id"]) % 3 == 0 else 404 if action == "delete" and int(meta["_id"]) % 2 else 200
+        items.append({action: {"status": code, "error": "refused"}})
+    return 200, json.dumps({"items": items}).encode()
+
+
+def _store_answers(address, path, headers, body):
+    rows = [json.loads(line) for line in gzip.decompress(body).decode().splitlines()]
+    return (400, b"bad row") if any(r["k"] % 500 == 7 for r in rows) else (200, b"")
+
+
+def _delivered(spark, sf_dir, kind, transport) -> DataFrame:
+    plan = compile_plan(log_table(), Mapping(), dialect="index" if kind == "index" else "store")
+    last = merge.latest(changes.sink_documents(change_log(spark, sf_dir), plan), ["key"])
+    return sinks.deliver(last, sinks.Delivery(kind, "orders", ("a", "b"), rows=200, transport=transport))
+
+
+LAST = LOG + ", last AS (SELECT * FROM ranked WHERE rn = 1)"
+
+
+@query(
+    LAST
+    + """, o AS (SELECT *, CASE WHEN key % 7 = 0 THEN 'rejected' WHEN key % 3 = 0 OR (_is_deleted AND key % 2 = 1) THEN 'stale' ELSE 'applied' END AS outcome FROM last)
+SELECT CAST(key AS VARCHAR) AS key, _version, _is_deleted, CAST(400 AS INTEGER) AS status, CAST(0 AS BIGINT) AS applied, CAST(0 AS BIGINT) AS stale FROM o WHERE outcome = 'rejected'
+UNION ALL SELECT 'all', NULL, NULL, NULL, count(*) FILTER (outcome = 'applied'), count(*) FILTER (outcome = 'stale') FROM o"""
+)
+def index_delivery(spark, sf_dir):
+    return _outcome_rows(_delivered(spark, sf_dir, "index", _index_answers))
+
+
+@query(
+    LAST
+    + """SELECT CAST(key AS VARCHAR) AS key, _version, _is_deleted, CAST(400 AS INTEGER) AS status, CAST(0 AS BIGINT) AS applied, CAST(0 AS BIGINT) AS stale FROM last WHERE key % 500 = 7
+UNION ALL SELECT 'all', NULL, NULL, NULL, count(*), 0 FROM last WHERE key % 500 <> 7"""
+)
+def store_delivery(spark, sf_dir):
+    """Batches that hold a bad row are halved until it stands alone."""
+    return _outcome_rows(_delivered(spark, sf_dir, "store", _store_answers))
+
+
+def _outcome_rows(outcomes: DataFrame) -> DataFrame:
+    out = spark_table(outcomes)
+    refused = out.where("key IS NOT NULL").select("key", "_version", "_is_deleted", "status", "applied", "stale")
+    none = lambda t: F.lit(None).cast(t)
+    return refused.unionByName(out.agg(F.sum("applied").alias("applied"), F.sum("stale").alias("stale")).select(F.lit("all").alias("key"), none("long").alias("_version"), none("boolean").alias("_is_deleted"), none("int").alias("status"), "applied", "stale"))
+
+
+def spark_table(df: DataFrame) -> DataFrame:
+    """df as written, so that nothing is sent twice."""
+    path = f"{workspace(df.sparkSession)}/written"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _engine(spark: SparkSession, sf_dir: str, more: str = "") -> tuple[Engine, str]:
+    root, events = workspace(spark), change_log(spark, sf_dir)
+    events.where("op = 'snapshot'").select("after.*").write.parquet(f"{root}/src/shop.orders/scan")
+    changelog.write_segments(events.where("seq >= 2000000"), f"{root}/src/shop.orders/log", 3)
+    text = f"source: {{dsn: '{root}/src'}}\ncheckpoint: '{root}/state'\nruntime: {{metrics: ''}}\nstreams: {{orders: {{table: shop.orders, sink: {{type: table, target: /t}}{more}}}}}"
+    return Engine(spark, parse_config(text, {}), {"shop.orders": log_table()}), root
+
+
+def _shown(df: DataFrame) -> DataFrame:
+    return df.select(F.col("k").alias("key"), "status", F.col("amount").cast("decimal(18,2)").alias("amount"))
+
+
+FINAL_ROWS = f"SELECT key, status, amount FROM ({FINAL})"
+
+
+@query(FINAL_ROWS, exact=("amount",))
+def engine_run(spark, sf_dir):
+    """Scan in chunks, then the log, through the engine."""
+    engine, _ = _engine(spark, sf_dir, f", snapshot: {{chunk_rows: {max(1, load(spark, sf_dir, 'orders').count() // 3)}, rows_per_second: 0}}")
+    engine.run()
+    return _shown(engine.view("orders"))
+
+
+@query(FINAL_ROWS, exact=("amount",))
+def engine_rebuild(spark, sf_dir):
+    """Half of the log, a compacted copy that readers move to, then the other half."""
+    engine, root = _engine(spark, sf_dir)
+    log = f"{root}/src/shop.orders/log"
+    held = spark.read.parquet(log).where("seq % 2 = 1")
+    held.write.parquet(f"{root}/late")
+    spark.read.parquet(log).where("seq % 2 = 0").write.parquet(f"{root}/early")
+    spark.read.parquet(f"{root}/early").write.mode("overwrite").parquet(log)
+    engine.run()
+    engine.rebuild("orders", 1)
+    spark.read.parquet(f"{root}/late").write.mode("append").parquet(log)
+    engine.run()
+    return _shown(engine.view("orders"))
+
+
+@query(f"SELECT key, CASE WHEN key % 10 = 1 THEN 'REPAIRED' ELSE status END AS status, amount FROM ({FINAL_ROWS})", exact=("amount",))
+def engine_resnapshot(spark, sf_dir):
+    """Rows that were stored wrongly are put right by a new scan of the table as it is now."""
+    engine, root = _engine(spark, sf_dir)
+    engine.run()
+    status_now = F.when(F.col("k") % 10 == 1, "REPAIRED").otherwise(F.col("status"))
+    engine.view("orders").select("k", status_now.alias("status"), "amount").write.parquet(f"{root}/now")
+    spark.read.parquet(f"{root}/now").write.mode("overwrite").parquet(f"{root}/src/shop.orders/scan")
+    engine.resnapshot("orders", confirm=True)
+    engine.run()
+    return _shown(engine.view("orders"))
+
+
+@query(LOG + "SELECT 'orders' AS stream, CAST(max(seq) AS VARCHAR) AS position, TRUE AS snapshot_done, count(*) FILTER (op = 'snapshot') AS rows_done, count(*) FILTER (op = 'snapshot') AS rows_total, 1.0 AS progress, '' AS last_error, TRUE AS healthy FROM log")
+def engine_status(spark, sf_dir):
+    engine, _ = _engine(spark, sf_dir)
+    engine.run()
+    return engine.status().select("stream", "position", "snapshot_done", "rows_done", "rows_total", "progress", "last_error", "healthy")
+
+
+@query("SELECT CAST(o_orderkey AS VARCHAR) AS key, o_orderkey % 9 > 4 AS refused, CASE WHEN o_orderkey % 9 > 4 THEN 'state: no enum member ' || o_orderkey % 9 END AS reason FROM orders")
+def stream_dead_letters(spark, sf_dir):
+    """Events whose values cannot be written go to the dead-letter log, the others to the table."""
+    root = workspace(spark)
+    table = Table("shop", "t", (Column("id", "bigint"), Column("state", "enum", nullable=True, members=STATES)), ("id",))
+    image = F.struct(F.col(K).cast("bigint").alias("id"), (F.col(K) % 9).cast("int").alias("state"))
+    events = load(spark, sf_dir, "orders").select(F.lit("insert").alias("op"), F.lit(None).cast("struct<id:bigint,state:int>").alias("before"), image.alias("after"), F.col(K).cast("long").alias("seq"))
+    stream = pipeline.Stream("t", compile_plan(table, Mapping(), dialect="store"), root)
+    pipeline.write_batch(stream, events, 0)
+    good = pipeline.versions(spark, stream).select("key", F.lit(False).alias("refused"), F.lit(None).cast("string").alias("reason"))
+    return good.union(spark.read.json(stream.path("dlq")).select("key", F.lit(True), "reason"))
