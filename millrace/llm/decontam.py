@@ -180,8 +180,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     null ids or equal texts count by id; an item with a null id makes hits but is not listed. Empty tables are allowed on
     either side. Other columns are ignored.
     """
-    hits, judged = leaks(_keyed(docs), benchmark, Stash(docs.sparkSession, "decontam"), total=True)
-    judged = _join(judged, hits, "left")
+    stash = Stash(docs.sparkSession, "decontam")
+    hits, judged = leaks(_keyed(docs), benchmark, stash, total=True)
+    judged = stash.keep(_join(judged, hits, "left"), "hits")
+    stash.drop_others(judged)
     judged = judged.withColumn("__row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("rows"))))  # rows that repeat id and text
     # Each word counts for the span that reaches it first: spans in order, each from where the ones before end.
     covered = F.aggregate(
@@ -203,6 +205,7 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of docs whose text holds no window of an item, in all their columns, whatever their doc_id."""
     stash = Stash(docs.sparkSession, "decontam")
     dirty = stash.keep(leaks(_keyed(docs), benchmark, stash)[0].select("__h", "__g").distinct(), "dirty")
+    stash.drop_others(dirty)
     dirty = F.broadcast(dirty) if dirty.count() <= BROADCAST_FINGERPRINTS else dirty
     text = F.coalesce(docs["text"], F.lit(""))
     return docs.join(dirty, (F.xxhash64(text) == F.col("__h")) & (F.xxhash64(F.lit(1), text) == F.col("__g")), "left_anti")

@@ -168,6 +168,7 @@ def scan(files: DataFrame, templates: list[tuple[str, str]] = TEMPLATES) -> Data
     stash = Stash(files.sparkSession, "licences")
     files = files.select("id", "path", "text")
     own = stash.keep(own_matches(files, templates, stash), "own")
+    stash.drop_others(own)
     granted = own.where(F.col("path").rlike(LICENCE_FILE)).groupBy(directory(F.col("path")).alias("dir")).agg(F.max(F.struct(F.col("licence") != WEAK, "score", "licence")).alias("g")).select("dir", F.col("g.licence").alias("d_licence"), F.col("g.score").alias("d_score"))
     # one row for each directory and each of its ancestors, however many files it holds
     dirs = files.where("path IS NOT NULL").select(directory(F.col("path")).alias("at")).distinct()

@@ -257,7 +257,8 @@ def near_duplicates(docs: DataFrame, percent: int = SIMILARITY_PERCENT) -> DataF
             links = links.union(found)
             label = components(links, stash)
 
-    classes = reps.join(label, F.col("rep") == F.col("node"), "left").select("h1", "h2", F.coalesce("component", "rep").alias("component"))
+    classes = stash.keep(reps.join(label, F.col("rep") == F.col("node"), "left").select("h1", "h2", F.coalesce("component", "rep").alias("component")), "named")
+    stash.drop_others(sig, classes)
     # Empty sets have no class, and equal texts one: copies of a text are dealt by a salt to as many rows of their class.
     salted = sig.where("n_shingles > 0").withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)))
     classes = classes.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))

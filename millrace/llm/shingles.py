@@ -86,13 +86,10 @@ def shingle_sets(texts: Sequence[str | None], k: int = WORDS) -> Iterator[np.nda
             at = to
 
 
-#: Sets travel between tasks as the low six bytes of each hash: two different shingles of one pair of documents with
-#: 100,000 shingles each then collide with a chance below one in ten thousand.
+#: Sets travel between tasks as their whole hashes.
 def to_bytes(shingles: np.ndarray) -> bytes:
-    return np.ascontiguousarray(shingles.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]).tobytes()
+    return shingles.astype("<u8").tobytes()
 
 
 def from_bytes(raw: bytes) -> np.ndarray:
-    out = np.zeros((len(raw) // 6, 8), dtype=np.uint8)
-    out[:, :6] = np.frombuffer(raw, dtype=np.uint8).reshape(-1, 6)
-    return out.reshape(-1).view("<u8")
+    return np.frombuffer(raw, dtype="<u8")

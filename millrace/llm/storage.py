@@ -57,6 +57,7 @@ class Stash:
         self.base = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
         self.made = 0
         self.paths: set[str] = set()
+        atexit.register(_delete, spark, self.base)  # what a lazy result still reads stays as long as the session
 
     def keep(self, df: DataFrame, name: str, batch: str | None = None) -> DataFrame:
         """Write df and return the written table; ``batch`` bounds the bytes that Python workers get at once."""
