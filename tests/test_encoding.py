@@ -148,7 +148,7 @@ def test_mapping_rules():
 
 
 def test_settings_text():
-    assert text.parse_size("5MiB") == 5 << 20 and text.parse_size("64k") == 65536 and text.format_size(1536) == "1536B"
+    assert text.parse_size("5MiB") == 5 << 20 and text.parse_size("64KiB") == 65536 and text.format_size(1536) == "1536B"
     assert text.parse_duration("1h30m") == 5400 and text.parse_duration("500ms") == 0.5
     assert text.expand("${A}-${B:-x}", {"A": "1"}) == "1-x"
     with pytest.raises(ValueError, match="A, C"):
