@@ -84,7 +84,9 @@ def signatures(docs: DataFrame) -> DataFrame:
             yield pd.DataFrame({"doc_id": batch["doc_id"], "text_key": batch["text_key"], "n_shingles": sizes, "h1": h1, "h2": h2, "bands": bands, "sketch": sketches})
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text", text_key(F.col("text")).alias("text_key")).mapInPandas(sign, f"doc_id {kind}, text_key string, n_shingles long, h1 long, h2 long, bands array<long>, sketch binary")
+    # ids travel as text: beside a null, pandas would hold whole numbers as floating ones
+    named = docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text", text_key(F.col("text")).alias("text_key"))
+    return named.mapInPandas(sign, f"doc_id string, text_key string, n_shingles long, h1 long, h2 long, bands array<long>, sketch binary").withColumn("doc_id", F.col("doc_id").cast(kind))
 
 
 def text_key(text: Column) -> Column:

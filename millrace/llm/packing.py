@@ -163,11 +163,11 @@ def tokenize_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, e
                 raw = memoryview(ids).cast("B")
                 for k, (start, length) in enumerate(pieces_of(len(ids), capacity)):
                     rows.append((doc_id, k, start, length, zlib.crc32(raw[4 * start : 4 * (start + length)])))
-            out = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
-            yield out.astype({"doc_id": batch["doc_id"].dtype})
+            yield pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInPandas(cut, f"doc_id {kind}, {PIECES}")
+    # ids travel as text: beside a null, pandas would hold whole numbers as floating ones
+    cut_docs = docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text").mapInPandas(cut, f"doc_id string, {PIECES}")
+    return cut_docs.withColumn("doc_id", F.col("doc_id").cast(docs.schema["doc_id"].dataType))
 
 
 def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, eos: int = EOS) -> DataFrame:
@@ -204,5 +204,5 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, eos: int = E
             batch["sequence_id"], batch["offset"] = place(table.value, batch["length"].to_numpy(), batch.pop("__rank").to_numpy())
             yield batch
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return ranked.mapInPandas(deal, f"doc_id {kind}, {PIECES}, sequence_id long, offset long")
+    dealt = ranked.withColumn("doc_id", F.col("doc_id").cast("string")).mapInPandas(deal, f"doc_id string, {PIECES}, sequence_id long, offset long")
+    return dealt.withColumn("doc_id", F.col("doc_id").cast(docs.schema["doc_id"].dataType))

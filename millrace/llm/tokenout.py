@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.tokenize import encoder, pieces_of
 
+#: Padding is told by a row's n_tokens, not by its id.
 WIDTH, EOS, PAD = 2048, 50256, 50256
 #: Tokens that a task packs at once.
 STRETCH = 3_000_000
@@ -109,7 +110,7 @@ def packed_rows(docs: DataFrame, tokenizer: str, width: int = WIDTH, eos: int =
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encode, task, part, size, stretch = encoder(tokenizer), TaskContext.get().partitionId(), [], 0, 0
         for batch in batches:
-            doc_ids = [None if pd.isna(d) else d if kind == "string" else int(d) for d in batch["doc_id"]]
+            doc_ids = [d if d is None or kind == "string" else int(d) for d in batch["doc_id"]]
             for doc_id, text in zip(doc_ids, batch["text"]):
                 ids = encode(text or "")
                 ids.append(eos)
@@ -122,7 +123,8 @@ def packed_rows(docs: DataFrame, tokenizer: str, width: int = WIDTH, eos: int =
         if part:
             yield pack(part, f"{task:06d}-{stretch:04d}")
 
-    return docs.select("doc_id", "text").mapInPandas(run, ROWS.format(kind=kind))
+    # ids travel as text: beside a null, pandas would hold whole numbers as floating ones
+    return docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text").mapInPandas(run, ROWS.format(kind=kind))
 
 
 def write(rows: DataFrame, path: str) -> DataFrame:
@@ -146,7 +148,8 @@ def unpack(rows: DataFrame, dtype: str = "<u2") -> DataFrame:
                 for k, (a, b) in enumerate(zip(r.cu_seqlens[:-1], r.cu_seqlens[1:])):
                     if places[a] != 0 or places[b - 1] != b - a - 1:
                         raise ValueError(f"positions of row {r.row} of shard {r.shard} do not start again at {a}")
-                    out.append((r.doc_ids[k], int(r.pieces[k]), int(r.starts[k]), int(b - a), zlib.crc32(ids[a:b].tobytes()), r.shard, int(r.row), int(a)))
+                    out.append((None if r.doc_ids[k] is None or r.doc_ids[k] != r.doc_ids[k] else str(r.doc_ids[k]), int(r.pieces[k]), int(r.starts[k]), int(b - a), zlib.crc32(ids[a:b].tobytes()), r.shard, int(r.row), int(a)))
             yield pd.DataFrame(out, columns=["doc_id", "piece", "start", "length", "ids_crc32", "shard", "row", "offset"])
 
-    return rows.mapInPandas(cut, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, shard string, row int, offset long")
+    texts = rows.withColumn("doc_ids", F.col("doc_ids").cast("array<string>"))
+    return texts.mapInPandas(cut, f"doc_id string, piece int, start long, length long, ids_crc32 long, shard string, row int, offset long").withColumn("doc_id", F.col("doc_id").cast(kind))

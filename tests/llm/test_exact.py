@@ -100,6 +100,10 @@ def test_token_rows_round_trip(spark, sf, tmp_path):
     made = tokenout.write(tokenout.packed_rows(docs, tokenize.default_path(), width=512), f"file://{tmp_path}/rows")
     rows = tokenout.unpack(made).collect()
     check_pieces(rows, texts, 512, tokenout.EOS, lambda r: (r["shard"], r["row"]), lambda r: r["offset"])
+    huge = [(1 << 62) + 1, None, (1 << 62) + 3, (1 << 62) + 3]
+    odd = clashing(frame(spark, ["big id", "no id", "twice", "twice"], huge), ["row", "shard", "ids", "piece"])
+    back = tokenout.unpack(tokenout.write(tokenout.packed_rows(odd, tokenize.default_path()), f"file://{tmp_path}/odd")).collect()
+    assert Counter(r["doc_id"] for r in back) == Counter(huge) and Counter(r["doc_id"] for r in packing.pack(odd, tokenize.default_path()).collect()) == Counter(huge)
     one = made.head()
     assert len(one["input_ids"]) == 2 * 512 and one["cu_seqlens"][0] == 0 and one["cu_seqlens"][-1] == one["n_tokens"]
     assert tokenout.packed_rows(empty(spark), tokenize.default_path()).count() == 0
@@ -216,6 +220,9 @@ def test_near_duplicates_odd_rows(spark):
     assert neardup.near_duplicates(empty(spark)).count() == 0
     rows = neardup.near_duplicates(frame(spark, ["a b c d e f", "a b c d e f", "a b c d e f", None, "alone here"], [None, 3, 3, None, None])).collect()
     got = Counter((r["doc_id"], r["n_shingles"], r["component_id"], r["kept"]) for r in rows)
+    big = (1 << 62) + 1
+    near = neardup.near_duplicates(frame(spark, ["a b c d e f", "x y z", None], [big, big + 2, None])).collect()
+    assert {(r["doc_id"], r["component_id"]) for r in near} == {(big, big), (big + 2, big + 2), (None, None)}
     assert got == Counter({(3, 2, 3, True): 2, (None, 2, 3, False): 1, (None, 0, None, True): 1, (None, 1, None, True): 1})
 
 
