@@ -43,6 +43,7 @@ class Engine:
         self.catalog = catalog.Catalog(self._load)
         self.tables = {k.lower(): v for k, v in (tables or {}).items()}
         self.metrics, self.transport, self.sleep, self.stopping = Metrics(), transport, sleep, threading.Event()
+        self.address: str | None = None  # where the health endpoints answer, while it runs
 
     def _folder(self, table: str, what: str) -> str:
         """Scans may come from a replica of their own."""
@@ -83,6 +84,7 @@ class Engine:
         self.stopping.clear()
         host, _, port = self.config.runtime.metrics.rpartition(":")
         server = serve(self.metrics, host or "127.0.0.1", int(port)) if port else None
+        self.address = "{}:{}".format(*server.server_address) if server else None
         chosen, locks, queries = self.config.selected(list(streams) if streams else None), [], []
         try:
             for name, s in chosen:

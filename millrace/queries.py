@@ -452,15 +452,10 @@ def scan_cursor(spark, sf_dir):
 
 @query("SELECT c_custkey, c_name FROM customer")
 def snapshot_all_chunks(spark, sf_dir):
-    rows = load(spark, sf_dir, "customer").select("c_custkey", "c_name")
-    size = max(1, rows.count() // 4)
-    out = None
-    last = None
-    for _, cursor, n in snapshot.chunks(rows, ["c_custkey"], size):
-        top = [int(x) for x in snapshot.read_cursor(cursor, 1)]
-        part = snapshot.chunk(rows, ["c_custkey"], last, n)
-        out, last = part if out is None else out.unionByName(part), top
-    return rows if out is None else out
+    rows, out = load(spark, sf_dir, "customer").select("c_custkey", "c_name"), None
+    for part, _ in snapshot.ranges(rows, ["c_custkey"], max(1, rows.count() // 4)):
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 @query(

@@ -23,8 +23,8 @@ def root(spark):
     return q.workspace(spark)
 
 
-def configured(root, sink="{type: table, target: /t}", more=""):
-    text = f"source: {{dsn: '{root}/src'}}\ncheckpoint: '{root}/state'\nruntime: {{metrics: ''}}\nstreams:\n  orders: {{table: shop.orders, sink: {sink}{more}}}\n"
+def configured(root, sink="{type: table, target: /t}", more="", metrics=""):
+    text = f"source: {{dsn: '{root}/src'}}\ncheckpoint: '{root}/state'\nruntime: {{metrics: '{metrics}'}}\nstreams:\n  orders: {{table: shop.orders, sink: {sink}{more}}}\n"
     return config.parse(text, {})
 
 
@@ -209,7 +209,7 @@ def test_following_until_stopped(spark, sf, root):
     now = int(time.time() * 1000)
     events = q.change_log(spark, sf)
     events.where("seq >= 2000000").withColumn("ts_ms", F.lit(now - 5000).cast("long")).write.mode("overwrite").parquet(f"{root}/src/shop.orders/log")
-    engine = Engine(spark, configured(root, more=", batch: {interval: 200ms}"), {"shop.orders": q.log_table()})
+    engine = Engine(spark, configured(root, more=", batch: {interval: 200ms}", metrics="127.0.0.1:0"), {"shop.orders": q.log_table()})
     failures = []
 
     def go():
@@ -233,6 +233,10 @@ def test_following_until_stopped(spark, sf, root):
     added = events.where("op = 'snapshot' AND after.k = 1").withColumn("seq", F.lit(9_000_000).cast("long")).withColumn("ts_ms", F.lit(now).cast("long"))
     added.withColumn("after", F.expr("struct(after.k AS k, 'NEW' AS status, after.amount AS amount)")).write.mode("append").parquet(f"{root}/src/shop.orders/log")
     wait_for(lambda: engine.status().head()["position"] == "9000000")
+    from urllib.request import urlopen
+
+    assert urlopen(f"http://{engine.address}/readyz").status == 200 and b"millrace_lag_seconds" in urlopen(f"http://{engine.address}/metrics").read()
+    assert "orders" in json.loads(urlopen(f"http://{engine.address}/streams").read())
     engine.stop()
     thread.join(60)
     assert not thread.is_alive() and not failures
