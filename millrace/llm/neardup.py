@@ -8,7 +8,7 @@ permutations keep that true for short texts, whose bins repeat few values.
 Equal shingle sets are collapsed first. In each bucket every set is compared with the bucket's smallest id only.
 Buckets whose members then lie in more than one component are taken up twice more, to compare members of different
 components: first each with its two likeliest partners, by the share of the 384 signature values that agree, then
-with all whose share is not four standard deviations below that of a link. A pair is taken up in the first band it
+with all whose share is not nearly six standard deviations below that of a link. A pair is taken up in the first band it
 shares. So a bucket of copies costs its size, and no pair of a bucket is left that is neither connected nor compared
 nor ruled out by its signature.
 """
@@ -31,8 +31,9 @@ BANDS, ROWS = 64, 6
 BIN_BITS = 6  # 64 bins, one for each band
 #: Members that meet one copy of a centre's set in a task.
 STAR = 64
-#: Share of agreeing signature values below which a pair is not compared: a link's is 0.75 give or take 0.022.
-LIKELY = 0.66
+#: Share of agreeing signature values below which a pair is not compared: a link's is 0.75 give or take 0.022, so one in a
+#: billion is lost.
+LIKELY = 0.62
 #: Members of a bucket that meet in a task, and likeliest partners in the first of the two further rounds.
 BLOCK, PARTNERS = 1024, 2
 #: Rows of each class in the last join, so that the copies of one text are the work of as many tasks.
