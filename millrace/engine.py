@@ -21,7 +21,7 @@ from millrace.functions.kinds import map_column
 from millrace.functions.text import parse_duration, parse_size
 from millrace.operators.batching import dlq_count
 from millrace.operators.changes import describe, readable_images
-from millrace.operators.status import healthy
+from millrace.operators.status import alerts, healthy
 from millrace.plans import preflight, schema_gen
 from millrace.plans.config import Config, StreamSettings
 from millrace.plans.mapping import Plan, Table, compile_plan
@@ -214,6 +214,15 @@ class Engine:
     def unhealthy(self) -> DataFrame:
         return self.status().where("NOT healthy")
 
+    def alerts(self) -> DataFrame:
+        """Alert rules that fire now, by what the streams' state and this process's batches show."""
+        rows = []
+        for r in self.status().collect():  # a row for each stream
+            seen = self.metrics.streams.get(r["stream"], {})
+            found = {"lag_seconds": r["lag_seconds"], "checkpoint_age_seconds": r["age_seconds"], "dead_letters_increase": seen.get("rejected")}
+            rows += [(r["stream"], metric, float(value)) for metric, value in found.items() if value is not None]
+        return alerts(self.spark.createDataFrame(rows, "stream string, metric string, value double"))
+
     def dead_letters(self, name: str) -> DataFrame | None:
         """Dead letters of a stream, read strictly: a corrupt line is an error."""
         path = f"{self.config.checkpoint}/{name}/dlq"

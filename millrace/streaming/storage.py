@@ -94,7 +94,8 @@ class StreamLock:
             self.files.replace(self.path, self._text())
             if json.loads(self.files.read_text(self.path) or "{}").get("token") != self.token:
                 raise Locked(f"{self.path} was taken over by another process")
-        threading.Thread(target=self._renew, daemon=True).start()
+        self.renewer = threading.Thread(target=self._renew, daemon=True)
+        self.renewer.start()
         return self
 
     def _renew(self) -> None:
@@ -103,6 +104,7 @@ class StreamLock:
 
     def __exit__(self, *exc):
         self.done.set()
+        self.renewer.join(30)  # a renewal under way would write the file anew
         self.files.delete(self.path)
 
 

@@ -115,6 +115,7 @@ def test_index_sink_end_to_end(spark, sf, root):
     assert ("GET", "/orders/_mapping") in server.calls and "/orders/_refresh" in paths and any("_forcemerge" in p for p in paths) and server.settings == {"refresh_interval": "5s"}
     letters = engine.dead_letters("orders").collect()
     assert letters and {(r["key"], r["status"]) for r in letters} == {("2", 400)} and engine.dead_letter_count("orders") == len(letters)
+    assert [(r["alert"], r["severity"]) for r in engine.alerts().collect()] == [("dead_letters", "critical")]
     before = dict(server.docs)
     pipeline.write_batch(engine.stream("orders"), q.change_log(spark, sf).where("seq >= 2000000"), 500)  # a replay is stale everywhere
     assert server.docs == before
@@ -246,6 +247,29 @@ def test_following_until_stopped(spark, sf, root):
     assert engine.metrics.streams["orders"]["applied"] > 0 and "millrace_lag_seconds" in engine.metrics.exposition()
 
 
+def test_command_line(spark, sf, root, tmp_path, capsys):
+    want = source(spark, sf, root)
+    path = tmp_path / "c.yaml"
+    path.write_text(f"source: {{dsn: '{root}/src'}}\ncheckpoint: '{root}/state'\nruntime: {{metrics: ''}}\nstreams:\n  orders: {{table: shop.orders, sink: {{type: table, target: /t}}, snapshot: {{rows_per_second: 0}}}}\n")
+    import signal
+
+    from millrace.cli import main
+
+    held = {n: signal.getsignal(n) for n in (signal.SIGTERM, signal.SIGINT)}
+    try:
+        assert main(["--config", str(path), "run", "--stream", "orders"]) == 0
+    finally:
+        for n, handler in held.items():
+            signal.signal(n, handler)
+    assert main(["--config", str(path), "status"]) == 0 and main(["--config", str(path), "tail", "--table", "shop.orders"]) == 0
+    printed = capsys.readouterr().out
+    assert "|true" in printed and "status: " in printed
+    assert main(["--config", str(path), "tail", "--table", "shop.orders", "--capture", f"{root}/copy"]) == 0 and " events" in capsys.readouterr().out
+    assert main(["--config", str(path), "resnapshot", "--stream", "orders"]) == 2 and main(["--config", str(path), "resnapshot", "--stream", "orders", "--confirm"]) == 0
+    assert main(["--config", str(path), "run", "--stream", "nobody"]) == 2
+    assert len(shown(Engine(spark, configured(root)))) == len(want)
+
+
 def test_first_failure_of_any_stream_ends_all(spark, sf, root):
     events = q.change_log(spark, sf)
     changelog.write_segments(events, f"{root}/log", 2)
