@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 
 from millrace.engine import Engine
 from millrace.functions import encode, keys
-from millrace.functions.kinds import Column, map_column
-from millrace.functions.text import expand, parse_duration, parse_size, version_at_least
+from millrace.functions.kinds import Column, map_column, parse_members
+from millrace.functions.text import backoff, expand, parse_duration, parse_size, shorten, version_at_least
 from millrace.operators import batching, changes, merge, status
 from millrace.plans import preflight as checks
 from millrace.plans import schema_gen
@@ -969,3 +969,135 @@ def stream_dead_letters(spark, sf_dir):
     pipeline.write_batch(stream, events, 0)
     good = pipeline.versions(spark, stream).select("key", F.lit(False).alias("refused"), F.lit(None).cast("string").alias("reason"))
     return good.union(spark.read.json(stream.path("dlq")).select("key", F.lit(True), "reason"))
+
+
+# --- definitions, schemas and requests ------------------------------------------------------------------------------
+
+
+@query("SELECT n, string_agg('m' || i || CASE WHEN i % 3 = 0 THEN '''' ELSE '' END, '|' ORDER BY i) AS members FROM range(1, 21) t(n), range(1, 21) s(i) WHERE i <= n GROUP BY n")
+def declared_members(spark, sf_dir):
+    """Members of enum and set declarations, with quotes in some labels."""
+    labels = lambda n: [f"m{i}" + ("'" if i % 3 == 0 else "") for i in range(1, n + 1)]
+    declared = lambda n: ("enum" if n % 2 else "set") + "(" + ",".join("'" + x.replace("'", "''") + "'" for x in labels(n)) + ")"
+    return spark.createDataFrame([(n, "|".join(parse_members(declared(n)))) for n in range(1, 21)], "n long, members string")
+
+
+@query("SELECT * FROM (VALUES (1, 'id', 'bigint', FALSE, 0), (2, 'state', 'enum', TRUE, 2), (3, 'total', 'decimal', TRUE, 0), (4, 'gross', 'decimal', TRUE, 0)) t(place, name, type, nullable, members)")
+def catalog_columns(spark, sf_dir):
+    """A definition from catalogue rows that come in any order."""
+    rows = [
+        {"name": "total", "data_type": "decimal", "column_type": "decimal(18,2)", "nullable": True, "precision": 18, "scale": 2, "ordinal": 3}, {"name": "id", "data_type": "bigint", "ordinal": 1},
+        {"name": "gross", "data_type": "decimal", "nullable": True, "generated": True, "precision": 18, "scale": 2, "ordinal": 4}, {"name": "state", "data_type": "enum", "column_type": "enum('a','b')", "nullable": True, "ordinal": 2},
+    ]
+    table = catalog.from_rows("shop", "orders", rows, ["id"])
+    return spark.createDataFrame([(i + 1, c.name, c.data_type, c.nullable, len(c.members)) for i, c in enumerate(table.columns)], "place int, name string, type string, nullable boolean, members int")
+
+
+@query(
+    """SELECT n, s AS statement, d AS dropped FROM (VALUES (0, 'ALTER TABLE orders ADD x int', TRUE), (1, 'insert into orders values (1)', FALSE), (2, ' create table t (a int)', TRUE), (3, 'DROP TABLE t', TRUE),
+(4, 'update orders set a = 1', FALSE), (5, 'rename table a to b', TRUE), (6, 'TRUNCATE orders', TRUE), (7, 'BEGIN', FALSE), (8, 'select alter from t', FALSE)) t(n, s, d)"""
+)
+def statements_that_define(spark, sf_dir):
+    """Statements after which definitions are loaded again."""
+    texts = ["ALTER TABLE orders ADD x int", "insert into orders values (1)", " create table t (a int)", "DROP TABLE t", "update orders set a = 1", "rename table a to b", "TRUNCATE orders", "BEGIN", "select alter from t"]
+    out = []
+    for n, text in enumerate(texts):
+        loads: list[str] = []
+        known = catalog.Catalog(lambda s, t, loads=loads: loads.append(t) or Table(s, t, ()))
+        known.get("shop", "orders")
+        known.saw(text, "shop")
+        known.get("shop", "orders")
+        out.append((n, text, len(loads) == 2))
+    return spark.createDataFrame(out, "n int, statement string, dropped boolean")
+
+
+WIDE = Table(
+    "shop", "things",
+    (Column("id", "bigint", "bigint unsigned"), Column("state", "enum", nullable=True, members=("a", "b")), Column("tags", "set", nullable=True, members=("x",)), Column("total", "decimal", "decimal(18,2)", True, precision=18, scale=2), Column("seen", "timestamp", nullable=True), Column("meta", "json", nullable=True), Column("raw", "varbinary", nullable=True), Column("flag", "tinyint", "tinyint(1)")),
+    ("id",),
+)
+
+
+@query("SELECT * FROM (VALUES ('flag', 'boolean'), ('id', 'unsigned_long'), ('meta', 'object'), ('raw', 'binary'), ('seen', 'date'), ('state', 'keyword'), ('tags', 'keyword'), ('total', 'keyword')) t(field, type)")
+def index_schema(spark, sf_dir):
+    made = json.loads(schema_gen.index_mapping(compile_plan(WIDE, Mapping()))[0])["mappings"]["properties"]
+    return spark.createDataFrame([(f, t["type"]) for f, t in made.items()], "field string, type string")
+
+
+@query(
+    """SELECT * FROM (VALUES ('ENGINE', 'ReplacingMergeTree(_version, _is_deleted)'), ('ORDER BY', '(`thing``s id`)'), ('_is_deleted', 'UInt8'), ('_version', 'UInt64'), ('flag', 'Bool'), ('thing``s id', 'UInt64'), ('meta', 'Nullable(String)'), ('raw', 'Nullable(String)'),
+('state', 'LowCardinality(Nullable(String))'), ('tags', 'Array(String)'), ('total', 'Nullable(Decimal(18, 2))')) t(name, type)"""
+)
+def store_schema(spark, sf_dir):
+    """Lines of a column store's table, but for its instant; a name with a quote in it stays one name."""
+    ddl, _ = schema_gen.store_ddl(compile_plan(WIDE, Mapping(rename={"id": "thing`s id"}, exclude=("seen",)), dialect="store"), "shop")
+    rows = [tuple(line.strip().rstrip(",")[1:].rsplit("` ", 1)) for line in ddl.splitlines() if line.startswith("  `")]
+    tail = ddl[ddl.index(") ENGINE = ") + len(") ENGINE = ") :].split("\nORDER BY ")
+    return spark.createDataFrame([*rows, ("ENGINE", tail[0]), ("ORDER BY", tail[1])], "name string, type string")
+
+
+@query("SELECT n, least(30.0, 0.2 * pow(2, n)) AS least, least(30.0, 0.2 * pow(2, n)) * 1.5 AS most FROM range(0, 12) t(n)")
+def backoff_bounds(spark, sf_dir):
+    return spark.createDataFrame([(n, float(backoff(n, jitter=lambda: 0.0)), float(backoff(n, jitter=lambda: 1.0))) for n in range(12)], "n long, least double, most double")
+
+
+@query("SELECT n, CASE WHEN n <= 10 THEN repeat('x', n) ELSE repeat('x', 10) || '…' END AS text FROM range(0, 25) t(n)")
+def shortened_text(spark, sf_dir):
+    return spark.createDataFrame([(n, shorten("x" * n, 10)) for n in range(25)], "n long, text string")
+
+
+@query(
+    """SELECT * FROM (VALUES (0, 'a', 8, 413), (1, 'b', 4, 200), (2, 'a', 4, 503), (3, 'b', 4, 200), (4, 'a', 1, 200)) t(n, address, docs, status)"""
+)
+def index_requests(spark, sf_dir):
+    """What a bulk of eight documents sends: halves when it is too large, all again when the server is down, one again that it put off."""
+    calls, put_off = [], set()
+
+    def transport(address, path, headers, body):
+        keys = [json.loads(line)["index"]["_id"] for line in gzip.decompress(body).decode().splitlines()[::2]]
+        n = len(calls)
+        status = 413 if n == 0 else 503 if n == 2 else 200
+        calls.append((n, address, len(keys), status))
+        code = lambda k: 429 if status == 200 and k == "7" and k not in put_off and not put_off.add(k) else 200
+        return status, json.dumps({"items": [{"index": {"status": code(k)}} for k in keys]}).encode()
+
+    sink = sinks.IndexSink("orders", ["a", "b"], transport, sleep=lambda s: None)
+    assert sink.write([sinks.Doc(str(i), "{}", i + 1) for i in range(8)]).applied == 8
+    return spark.createDataFrame(calls, "n int, address string, docs int, status int")
+
+
+@query("""SELECT * FROM (VALUES (0, 'GET', '/orders/_settings', ''), (1, 'PUT', '/orders/_settings', '-1'), (2, 'PUT', '/orders/_settings', '5s'), (3, 'POST', '/orders/_refresh', ''), (4, 'POST', '/orders/_forcemerge?max_num_segments=1', '')) t(n, method, path, "interval")""")
+def index_load_mode(spark, sf_dir):
+    """A scan turns refreshing off, then puts back what was there, shows the rows and merges."""
+    calls, settings = [], {"refresh_interval": "5s"}
+
+    def transport(address, path, headers, body):
+        method, sent = headers[":method"], json.loads(body)["index"]["refresh_interval"] if body else ""
+        calls.append((len(calls), method, path, sent))
+        return 200, json.dumps({"orders": {"settings": {"index": settings}}}).encode()
+
+    sink = sinks.IndexSink("orders", ["a"], transport)
+    sink.end_load(sink.begin_load(), merge=True)
+    return spark.createDataFrame(calls, "n int, method string, path string, interval string")
+
+
+@query("SELECT 's' || n AS stream, CAST(n * 10 AS VARCHAR) AS position, n % 2 = 0 AS snapshot_done, n * 7 AS rows_done, CASE WHEN n % 3 = 0 THEN 'failed ' || n ELSE '' END AS last_error FROM range(0, 10) t(n)")
+def stored_checkpoints(spark, sf_dir):
+    """Checkpoints as a new process finds them."""
+    from millrace.streaming.storage import Files
+
+    path = f"{workspace(spark)}/checkpoints"
+    for n in range(10):
+        versions.FileStore(Files(spark), path).save(versions.Checkpoint(f"s{n}", "0"))
+        versions.FileStore(Files(spark), path).save(versions.Checkpoint(f"s{n}", str(n * 10), n % 2 == 0, snapshot_rows_done=n * 7, last_error=f"failed {n}" if n % 3 == 0 else ""))
+    found = [versions.FileStore(Files(spark), path).load(f"s{n}") for n in range(10)]
+    return spark.createDataFrame([(c.stream, c.position, c.snapshot_done, c.snapshot_rows_done, c.last_error) for c in found], "stream string, position string, snapshot_done boolean, rows_done long, last_error string")
+
+
+@query(LOG + "SELECT op, seq, coalesce(old_k, new_k) AS k FROM log WHERE seq >= 2000000")
+def captured_events(spark, sf_dir):
+    """A log copied by the diagnostic tail, as its reader finds it."""
+    engine, root = _engine(spark, sf_dir)
+    engine.capture("shop.orders", f"{root}/copy")
+    schema = changelog.event_schema(change_log(spark, sf_dir).schema["after"].dataType)
+    return spark.read.schema(schema).json(f"{root}/copy/events").select("op", "seq", F.coalesce("before.k", "after.k").alias("k"))
