@@ -23,8 +23,8 @@ from millrace.llm.storage import Stash
 WINDOW, GRAM = 10, 5
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 NO_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-#: Tables of up to this many rows are broadcast: fingerprints (24 bytes each), keys of documents that hold one of them (40 bytes
-#: and eight a place) and, up to BROADCAST_CHARS characters, the items' windows. Larger ones meet the documents in a shuffled join.
+#: What is broadcast: up to so many fingerprints (24 bytes each), up to four times as many longs in all of the documents' keys and
+#: places that hold one, and up to so many characters of the items' windows. Larger tables meet the documents in a shuffled join.
 BROADCAST_FINGERPRINTS = 400_000
 BROADCAST_CHARS = 32_000_000
 #: Word hashes stay below this prime and factors below 2**28, so a sum of nine products fits in a long.
@@ -156,7 +156,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, stash: Stash, total: bool = Fal
     judged = found.groupBy(*KEY).agg(F.max(F.when(F.col("k") == TOTAL, F.col("pos"))).alias("n_words"), F.count(F.when(F.col("k") == TOTAL, F.lit(1))).alias("rows"), F.collect_set(place).alias("__met"))
     judged = stash.keep(judged, "judged")
     met = judged.where(F.size("__met") > 0).select(*KEY, "__met")
-    places = F.broadcast(met) if met.count() <= BROADCAST_FINGERPRINTS // 8 else met
+    longs = met.agg(F.sum(F.size("__met") + 5)).head()[0] or 0
+    places = F.broadcast(met) if longs <= 4 * BROADCAST_FINGERPRINTS else met
 
     def starts(words: Column) -> Column:
         """Packed (k, start) of all windows that hold a met fingerprint."""
