@@ -23,11 +23,13 @@ from millrace.functions.text import backoff, expand, parse_duration, parse_size,
 from millrace.operators import batching, changes, merge, status
 from millrace.plans import preflight as checks
 from millrace.plans import schema_gen
+from millrace.plans.config import ConfigBuilder
 from millrace.plans.config import parse as parse_config
 from millrace.plans.mapping import Mapping, Table, compile_plan
 from millrace.plans.schema_gen import schema_diff as diff_schemas
 from millrace.sources import catalog, changelog, snapshot
-from millrace.streaming import pipeline, sinks, versions
+from millrace.streaming import metrics, pipeline, sinks, versions
+from millrace.streaming.storage import Files, Locked, StreamLock
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -1084,8 +1086,6 @@ def index_load_mode(spark, sf_dir):
 @query("SELECT 's' || n AS stream, CAST(n * 10 AS VARCHAR) AS position, n % 2 = 0 AS snapshot_done, n * 7 AS rows_done, CASE WHEN n % 3 = 0 THEN 'failed ' || n ELSE '' END AS last_error FROM range(0, 10) t(n)")
 def stored_checkpoints(spark, sf_dir):
     """Checkpoints as a new process finds them."""
-    from millrace.streaming.storage import Files
-
     path = f"{workspace(spark)}/checkpoints"
     for n in range(10):
         versions.FileStore(Files(spark), path).save(versions.Checkpoint(f"s{n}", "0"))
@@ -1101,3 +1101,60 @@ def captured_events(spark, sf_dir):
     engine.capture("shop.orders", f"{root}/copy")
     schema = changelog.event_schema(change_log(spark, sf_dir).schema["after"].dataType)
     return spark.read.schema(schema).json(f"{root}/copy/events").select("op", "seq", F.coalesce("before.k", "after.k").alias("k"))
+
+
+@query("SELECT 'r' || lpad(CAST(n AS VARCHAR), 2, '0') AS stream, CAST(n - 1 AS BIGINT) AS place, 12 * (8192 * CAST(1024 AS BIGINT) + 4 * CAST(5242880 AS BIGINT)) AS bytes FROM range(1, 13) t(n)")
+def configured_streams(spark, sf_dir):
+    """Streams in order of name, whatever their order in the file, and what queues and batches of all may hold."""
+    builder = ConfigBuilder().source("x").checkpoint("c")
+    for n in range(12, 0, -1):
+        builder.table_stream(f"r{n:02d}", "shop.orders", "/t")
+    config = parse_config(builder.to_yaml(), {})
+    return spark.createDataFrame([(name, i, config.memory_bound()) for i, (name, _) in enumerate(config.selected())], "stream string, place long, bytes long")
+
+
+@query("SELECT * FROM (VALUES (0, 'first', 'held'), (1, 'second', 'refused'), (2, 'after 59 s', 'refused'), (3, 'after 61 s', 'held'), (4, 'after release', 'held')) t(n, who, outcome)")
+def stream_locks(spark, sf_dir):
+    """One owner at a time; one that no longer renews its lock is followed by the next."""
+    files, path, now = Files(spark), f"{workspace(spark)}/s.lock", [1000.0]
+    lock = lambda who: StreamLock(files, path, who, ttl=60, clock=lambda: now[0])
+    out = []
+
+    def attempt(who: str) -> StreamLock | None:
+        try:
+            held = lock(who).__enter__()
+        except Locked:
+            held = None
+        out.append((len(out), who, "held" if held else "refused"))
+        return held
+
+    attempt("first").done.set()  # as if its process had died
+    attempt("second")
+    now[0] += 59
+    attempt("after 59 s")
+    now[0] += 2
+    attempt("after 61 s").__exit__()
+    attempt("after release").__exit__()
+    return spark.createDataFrame(out, "n int, who string, outcome string")
+
+
+@query("SELECT * FROM (VALUES ('starting', '/healthz', 200), ('starting', '/readyz', 503), ('running', '/healthz', 200), ('running', '/readyz', 200), ('late', '/healthz', 200), ('late', '/readyz', 503), ('failed', '/healthz', 200), ('failed', '/readyz', 503)) t(state, path, code)")
+def health_answers(spark, sf_dir):
+    from urllib.error import HTTPError
+    from urllib.request import urlopen
+
+    states = {"starting": {}, "running": {"streaming": True, "last_apply": 900.0}, "late": {"streaming": True, "last_apply": 600.0}, "failed": {"streaming": True, "last_apply": 900.0, "error": "broken"}}
+    out = []
+    for state, fields in states.items():
+        seen = metrics.Metrics(clock=lambda: 1000.0)
+        seen._of("s").update(fields)
+        server = metrics.serve(seen, port=0)
+        for path in ("/healthz", "/readyz"):
+            try:
+                code = urlopen(f"http://127.0.0.1:{server.server_address[1]}{path}").status
+            except HTTPError as e:
+                code = e.code
+            out.append((state, path, code))
+        server.shutdown()
+        server.server_close()
+    return spark.createDataFrame(out, "state string, path string, code int")

@@ -73,13 +73,14 @@ class Metrics(StreamingQueryListener):
 
 
 def serve(metrics: Metrics, host: str = "127.0.0.1", port: int = 9187) -> ThreadingHTTPServer:
-    """``/metrics`` as text, ``/healthz`` and ``/readyz`` as 200 or 503, ``/streams`` as JSON; stop with shutdown()."""
+    """``/metrics`` as text, ``/healthz`` as long as the process answers, ``/readyz`` as 200 or 503, ``/streams`` as JSON; stop with
+    shutdown()."""
 
     class Handler(BaseHTTPRequestHandler):
         def do_GET(self):
             answers = {
                 "/metrics": lambda: (200, metrics.exposition()), "/streams": lambda: (200, metrics.snapshot()),
-                "/healthz": lambda: (200, "ok") if metrics.healthy() else (503, "error"), "/readyz": lambda: (200, "ready") if metrics.ready() else (503, "not ready"),
+                "/healthz": lambda: (200, "ok"), "/readyz": lambda: (200, "ready") if metrics.ready() else (503, "not ready"),
             }
             code, text = answers.get(self.path, lambda: (404, "not found"))()
             body = text.encode()
