@@ -80,18 +80,18 @@ class Profiles(NamedTuple):
 
 
 class Table:
-    """Vectors of trigrams, computed when first met."""
+    """Vectors of trigrams, computed when first met and kept as a bit a component: set for +1."""
 
     def __init__(self, dimension: int):
         self.vectors = Vectors(dimension)
         self._clear()
 
     def _clear(self):
-        self.ids, self.rows = np.zeros(0, dtype=np.int64), np.zeros((0, self.vectors.dimension), dtype=np.int8)
+        self.ids, self.rows = np.zeros(0, dtype=np.int64), np.zeros((0, -(-self.vectors.dimension // 8)), dtype=np.uint8)
         self.at: np.ndarray = np.zeros(0, dtype=np.int64)
 
     def __call__(self, ids: np.ndarray) -> np.ndarray:
-        """For sorted distinct ids."""
+        """Bits of sorted distinct ids."""
         new = np.setdiff1d(ids, self.ids, assume_unique=True)
         if len(new):
             if len(self.ids) + len(new) > TABLE_ROWS:
@@ -99,9 +99,9 @@ class Table:
                 new = ids
             merged = np.concatenate([self.ids, new])
             order = np.argsort(merged)
-            self.rows = np.concatenate([self.rows, *(self.vectors.grams(new[i : i + 2000]) for i in range(0, len(new), 2000))])
+            self.rows = np.concatenate([self.rows, *(np.packbits(self.vectors.grams(new[i : i + 2000]) > 0, axis=1) for i in range(0, len(new), 2000))])
             self.ids, self.at = merged[order], np.concatenate([self.at, np.arange(len(self.rows) - len(new), len(self.rows))])[order]
-        return self.rows[self.at[np.searchsorted(self.ids, ids)]]
+        return np.unpackbits(self.rows[self.at[np.searchsorted(self.ids, ids)]], axis=1, count=self.vectors.dimension)
 
 
 def cosines(ids: np.ndarray, texts: list[tuple[np.ndarray, np.ndarray]], table: Table, prototypes: np.ndarray) -> np.ndarray:
@@ -114,8 +114,8 @@ def cosines(ids: np.ndarray, texts: list[tuple[np.ndarray, np.ndarray]], table:
         for row, (i, n) in zip(counts, part):
             row[np.searchsorted(used, i)] = n
         bundles = np.zeros((len(part), prototypes.shape[1]), dtype=np.float64)
-        for a in range(0, len(used), 8000):  # a text of very many different trigrams
-            bundles += counts[:, a : a + 8000] @ table(ids[used[a : a + 8000]]).astype(np.float32)
+        for a in range(0, len(used), 4000):  # a text of very many different trigrams
+            bundles += 2 * (counts[:, a : a + 4000] @ table(ids[used[a : a + 4000]]).astype(np.float32)) - counts[:, a : a + 4000].sum(axis=1, keepdims=True)
         length = np.linalg.norm(bundles, axis=1, keepdims=True)
         out[at : at + TOGETHER] = np.divide(bundles @ prototypes.T, length, out=np.zeros((len(part), len(prototypes))), where=length > 0)
     return out

@@ -36,6 +36,8 @@ STAR = 64
 LIKELY = 0.62
 #: Members of a bucket that meet in a task, and likeliest partners in the first of the two further rounds.
 BLOCK, PARTNERS = 1024, 2
+#: Bytes of texts or sets that a Python worker gets at once.
+BATCH = "8m"
 #: Rows of each class in the last join, so that the copies of one text are the work of as many tasks.
 SALTS = 8
 
@@ -228,7 +230,7 @@ def near_duplicates(docs: DataFrame, percent: int = SIMILARITY_PERCENT) -> DataF
     alone: kept is then true. Rows that repeat a doc_id are one document to the links. Other columns are ignored.
     """
     stash = Stash(docs.sparkSession, "neardup")
-    full = stash.keep(signatures(docs), "signatures")
+    full = stash.keep(signatures(docs), "signatures", BATCH)
     reps = (
         full.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("h1", "h2")
         .agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
@@ -241,9 +243,9 @@ def near_duplicates(docs: DataFrame, percent: int = SIMILARITY_PERCENT) -> DataF
     buckets = entries.groupBy("key").agg(F.min(F.struct("rep", "n")).alias("centre"), F.count("*").alias("size")).where("size > 1").select("key", "centre")
     entries = stash.keep(entries.join(buckets, "key").select("key", "band", "rep", "n", F.col("centre.rep").alias("a"), F.col("centre.n").alias("a_n")), "entries")
 
-    sets = stash.keep(shingle_table(docs, entries.select(F.col("rep").alias("doc_id")).distinct()), "sets")
+    sets = stash.keep(shingle_table(docs, entries.select(F.col("rep").alias("doc_id")).distinct()), "sets", BATCH)
     pairs = stash.keep(entries.where(F.col("rep") != F.col("a")).where(_similar("n", "a_n", percent)).select("a", F.col("rep").alias("b")).distinct(), "pairs")
-    done, links = pairs, stash.keep(confirm(pairs, sets, percent), "links")
+    done, links = pairs, stash.keep(confirm(pairs, sets, percent), "links", BATCH)
     label = components(links, stash)
 
     left = entries.select("key", "band", "rep", "n")
@@ -255,7 +257,7 @@ def near_duplicates(docs: DataFrame, percent: int = SIMILARITY_PERCENT) -> DataF
         new = likely_pairs(met.join(reps.select("rep", "sketch", bands), "rep"), percent, partners)
         new = stash.keep(new.join(done, ["a", "b"], "left_anti"), "pairs")
         done, left = done.union(new), met.select("key", "band", "rep", "n")
-        found = stash.keep(confirm(new, sets, percent), "links")
+        found = stash.keep(confirm(new, sets, percent), "links", BATCH)
         if not found.isEmpty():
             links = links.union(found)
             label = components(links, stash)

@@ -34,7 +34,7 @@ LEAST_OF_CLASS = 400
 HEADS = ("low_quality", "toxic")
 KEEP_AT = 0.5
 #: Rows whose features a worker holds at once, in characters of text.
-CHUNK_CHARS = 4_000_000
+CHUNK_CHARS = 1_000_000
 WORD = re.compile(r"[^\W_]+")
 
 

@@ -11,7 +11,7 @@ U = np.uint64
 #: Odd multipliers; any odd 64-bit constants do, but they must never change between the two sides of a comparison.
 BASE = 0x9E3779B97F4A7C15
 WORD_MULT = np.array([0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB], dtype=U)
-CHUNK_BYTES = 4_000_000
+CHUNK_BYTES = 1_000_000
 
 
 def mix(x: np.ndarray) -> np.ndarray:
