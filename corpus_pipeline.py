@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm import decontam, langid, neardup, packing, quality, tokenize
-from millrace.llm.storage import Stash
+from millrace.llm.storage import BATCH, Stash
 
 #: Softmax share of the best language below which a text counts as undetermined.
 LEAST_LANGUAGE_SCORE = 0.5
@@ -70,5 +70,5 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, stash = _table(spark, sf_dir, "documents"), Stash(spark, "pipeline")
     for name, stage in STAGES:
-        docs = stash.keep(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        docs = stash.keep(stage(spark, docs, sf_dir), name.replace(" ", "-"), BATCH)
     return docs

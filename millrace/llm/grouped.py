@@ -8,6 +8,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
+from millrace.llm.storage import give_back
+
 #: Rows, and bytes of their binary fields, that go back to Spark at once.
 ROWS, BYTES = 20_000, 4 << 20
 
@@ -54,5 +56,6 @@ def by_group(df: DataFrame, keys: list[str], work: Callable[[pd.DataFrame], Iter
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield from flushed((row for group in groups(batches, keys) for row in work(group)), names)
+        give_back()
 
     return df.repartition(*keys).sortWithinPartitions(*keys, *(order or [])).mapInPandas(run, schema)

@@ -18,6 +18,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.llm.storage import give_back
+
 DIMENSION = 2048
 #: Documents a language learns from, about: chosen by a hash of doc_id, at a rate set from the language's count.
 SAMPLE_PER_LANGUAGE = 4000
@@ -207,6 +209,7 @@ def identify(docs: DataFrame, profiles: Profiles) -> DataFrame:
                 best = int(cosine.argmax())
                 share = np.exp(STEEPNESS * (cosine - cosine[best]))
                 out.append((langs[best], float(1.0 / share.sum()), float(cosine[best])))
+        give_back()
         return pd.DataFrame(out, columns=["lang_pred", "score", "cosine"])
 
     made = ("lang_pred", "score", "cosine")

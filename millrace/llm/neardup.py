@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.grouped import by_group
 from millrace.llm.shingles import U, from_bytes, mix, shingle_sets, to_bytes
-from millrace.llm.storage import Stash
+from millrace.llm.storage import BATCH, Stash, give_back
 
 SIMILARITY_PERCENT = 75
 BANDS, ROWS = 64, 6
@@ -36,8 +36,6 @@ STAR = 64
 LIKELY = 0.62
 #: Members of a bucket that meet in a task, and likeliest partners in the first of the two further rounds.
 BLOCK, PARTNERS = 1024, 2
-#: Bytes of texts or sets that a Python worker gets at once.
-BATCH = "8m"
 #: Rows of each class in the last join, so that the copies of one text are the work of as many tasks.
 SALTS = 8
 
@@ -85,6 +83,7 @@ def signatures(docs: DataFrame) -> DataFrame:
                     bands.append(None if keys is None else keys.view(np.int64))
                     sketches.append(None if sketch is None else sketch.tobytes())
             yield pd.DataFrame({"doc_id": batch["doc_id"], "text_key": batch["text_key"], "n_shingles": sizes, "h1": h1, "h2": h2, "bands": bands, "sketch": sketches})
+        give_back()
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     # ids travel as text: beside a null, pandas would hold whole numbers as floating ones
@@ -103,6 +102,7 @@ def shingle_table(docs: DataFrame, ids: DataFrame) -> DataFrame:
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             yield pd.DataFrame({"doc_id": batch["doc_id"], "set": [to_bytes(s) for s in shingle_sets(batch["text"].tolist())]})
+        give_back()
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").join(ids.select("doc_id"), "doc_id", "left_semi").mapInPandas(cut, f"doc_id {kind}, set binary")
@@ -128,6 +128,7 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 common = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(100 * common >= percent * (len(x) + len(y) - common))
             yield batch.loc[np.array(keep, dtype=bool), ["a", "b"]]
+        give_back()
 
     kind = pairs.schema["a"].dataType.simpleString()
     return members.join(centres, ["a", "part"]).select("a", "b", "set_a", "set_b").mapInPandas(check, f"a {kind}, b {kind}").distinct()

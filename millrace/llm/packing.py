@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.storage import Stash
+from millrace.llm.storage import BATCH, Stash, give_back
 from millrace.llm.tokenize import encoder, pieces_of
 
 CAPACITY, EOS = 1024, 2
@@ -164,6 +164,7 @@ def tokenize_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, e
                 for k, (start, length) in enumerate(pieces_of(len(ids), capacity)):
                     rows.append((doc_id, k, start, length, zlib.crc32(raw[4 * start : 4 * (start + length)])))
             yield pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
+        give_back()
 
     # ids travel as text: beside a null, pandas would hold whole numbers as floating ones
     cut_docs = docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text").mapInPandas(cut, f"doc_id string, {PIECES}")
@@ -179,7 +180,7 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, eos: int = E
     """
     spark = docs.sparkSession
     stash = Stash(spark, "pack")
-    pieces = stash.keep(tokenize_pieces(docs, tokenizer, capacity, eos), "pieces")
+    pieces = stash.keep(tokenize_pieces(docs, tokenizer, capacity, eos), "pieces", BATCH)
     counts = {int(r["length"]): int(r["n"]) for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}  # at most `capacity` rows
     table = spark.sparkContext.broadcast(slot_table(solve(counts, capacity)))
 

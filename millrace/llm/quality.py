@@ -22,6 +22,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.llm.storage import give_back
+
 LABELLED, UNLABELLED = 8000, 4000
 WORD_BITS, META_BITS = 18, 10
 #: A slot counts if so many rows of the fitting sample have it.
@@ -35,6 +37,8 @@ HEADS = ("low_quality", "toxic")
 KEEP_AT = 0.5
 #: Rows whose features a worker holds at once, in characters of text.
 CHUNK_CHARS = 1_000_000
+#: Words whose hash a worker remembers, some 200 bytes each, for as long as it lives.
+REMEMBERED = 100_000
 WORD = re.compile(r"[^\W_]+")
 
 
@@ -71,7 +75,7 @@ _CRC: dict[str, int] = {}
 def _slot(word: str, bits: int) -> int:
     found = _CRC.get(word)
     if found is None:
-        if len(_CRC) > 500_000:
+        if len(_CRC) > REMEMBERED:
             _CRC.clear()
         found = _CRC[word] = zlib.crc32(word.encode("utf-8", "surrogatepass"))
     return found >> (32 - bits)
@@ -207,6 +211,7 @@ def _features(docs: DataFrame) -> DataFrame:
             for name, made in (("tv", [text_view(t) for t, _, _ in rows]), ("mv", [meta_view(*r) for r in rows])):
                 batch[name] = [np.concatenate([i.astype("<f4"), v.astype("<f4")]).tobytes() for i, v in made]
             yield batch.drop(columns=["text", "lang", "source"])
+        give_back()
 
     others = [f for f in docs.schema.fields if f.name not in ("text", "lang", "source")]
     return docs.mapInPandas(view, ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in others] + ["tv binary", "mv binary"]))
@@ -290,6 +295,7 @@ def score(docs: DataFrame, heads: dict[str, Head]) -> DataFrame:
             words, meta = Sparse.of([text_view(t) for t, _, _ in rows[at:to]]), Sparse.of([meta_view(*r) for r in rows[at:to]])
             parts.append(np.stack([shipped.value[h].probability(words, meta) if h in shipped.value else np.zeros(to - at) for h in HEADS], axis=1))
             at = to
+        give_back()
         return pd.DataFrame(np.concatenate(parts) if parts else np.zeros((0, 2)), columns=["p_low_quality", "p_toxic"])
 
     made = ("p_low_quality", "p_toxic", "quality_score", "accepted")

@@ -8,13 +8,26 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Bytes of texts or sets that a Python worker gets at once.
+BATCH = "8m"
+
+
+def give_back() -> None:
+    """Hand what this process has freed back to the system: a Python worker lives on after its task, beside the executor's heap."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # another C library than glibc
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The session's checkpoint folder; a temporary one where none is set, and only if the executors are in this process."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")

@@ -168,6 +168,23 @@ def test_fast_encoder_equals_the_files_own(sf):
     assert tokenize.pieces_of(1, 4) == [(0, 1)] and tokenize.pieces_of(8, 4) == [(0, 4), (4, 4)] and tokenize.pieces_of(9, 4) == [(0, 1), (1, 4), (5, 4)]
 
 
+def test_python_workers_take_bounded_batches_and_give_memory_back(spark, monkeypatch):
+    """Texts go to tokenizers some megabytes at once, and what a worker has freed does not stay with it."""
+    from pathlib import Path
+
+    from millrace.llm import storage
+
+    kept, keep = {}, storage.Stash.keep
+    monkeypatch.setattr(storage.Stash, "keep", lambda self, df, name, batch=None: kept.update({name: batch}) or keep(self, df, name, batch))
+    assert packing.pack(frame(spark, ["one", None]), tokenize.default_path()).count() == 2 and kept == {"pieces": storage.BATCH}
+    held = lambda: int(re.search(r"VmRSS:\s+(\d+)", Path("/proc/self/status").read_text())[1])
+    some = [bytes(2000) for _ in range(60_000)]
+    last, some[:-1] = some[-1], []  # what lies above keeps the C library from shrinking its heap by itself
+    before = held()
+    storage.give_back()
+    assert len(last) == 2000 and before - held() > 50_000
+
+
 # --- near-duplicates ------------------------------------------------------------------------------------------------
 
 
