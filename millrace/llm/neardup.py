@@ -9,8 +9,9 @@ Equal shingle sets are collapsed first. In each bucket every set is compared wit
 Buckets whose members then lie in more than one component are taken up twice more, to compare members of different
 components: first each with its two likeliest partners, by the share of the 384 signature values that agree, then
 with all whose share is not nearly six standard deviations below that of a link. A pair is taken up in the first band it
-shares. So a bucket of copies costs its size, and no pair of a bucket is left that is neither connected nor compared
-nor ruled out by its signature.
+shares. The last comparisons are made where the members meet, on full sets that travel with them, and only links that
+join two components come out; pairs with a very long set go on to be confirmed one by one. So a bucket of copies costs
+its size, and no pair of a bucket is left that is neither connected nor compared nor ruled out by its signature.
 """
 
 from __future__ import annotations
@@ -36,6 +37,8 @@ STAR = 64
 LIKELY = 0.62
 #: Members of a bucket that meet in a task, and likeliest partners in the first of the two further rounds.
 BLOCK, PARTNERS = 1024, 2
+#: Shingles of the largest set that travels with its member in the last round, and sets that one is compared with at once.
+CARRIED, AT_ONCE = 1024, 128
 #: Rows of each class in the last join, so that the copies of one text are the work of as many tasks.
 SALTS = 8
 
@@ -183,44 +186,111 @@ def _tasks(entries: DataFrame) -> DataFrame:
         F.transform(all_of("bs"), lambda j: role(F.col("bm") + F.least(j, own), F.greatest(j, own), F.when(j >= own, F.lit("x")).otherwise(F.lit("y")))),
     )
     task = F.explode(F.when(F.col("component") == F.col("most"), largest).otherwise(others)).alias("t")
-    return met.select("key", "band", "rep", "n", "component", "sketch", "bands", task).select("key", "t.i", "t.j", "t.role", "band", "rep", "n", "component", "sketch", "bands")
+    columns = [c for c in entries.columns if c != "key"]
+    return met.select("key", *columns, task).select("key", "t.i", "t.j", "t.role", *columns)
+
+
+class Groups:
+    """Which nodes have been linked so far: each points to another of its group, the last to itself."""
+
+    def __init__(self, nodes: np.ndarray):
+        self.to = {x: x for x in nodes.tolist()}
+
+    def top(self, x):
+        while self.to[x] != x:
+            self.to[x] = x = self.to[self.to[x]]
+        return x
+
+    def join(self, x, y) -> bool:
+        """False if they are in one group already."""
+        x, y = self.top(x), self.top(y)
+        self.to[max(x, y)] = min(x, y)
+        return x != y
+
+
+def similar_sets(one: np.ndarray, others: list[np.ndarray], percent: int) -> np.ndarray:
+    """Which of the sorted, non-empty sets have that similarity to one."""
+    every = np.concatenate(others)
+    at = np.minimum(np.searchsorted(one, every), len(one) - 1)
+    sizes = np.fromiter(map(len, others), dtype=np.int64, count=len(others))
+    common = np.add.reduceat((one[at] == every).astype(np.int64), np.cumsum(sizes) - sizes)
+    return 100 * common >= percent * (len(one) + sizes - common)
+
+
+def _sides(group: pd.DataFrame) -> tuple[pd.DataFrame, pd.DataFrame, bool]:
+    """The members of a task that meet, and whether they are one side that meets itself."""
+    role = group["role"].to_numpy()
+    first = group[(role == "s") | (role == "x")]
+    second = group[(role == "m") | (role == "y")]
+    alone = not len(second) and bool((role == "x").any())
+    return first, first if alone else second, alone
+
+
+def _likely(first: pd.DataFrame, second: pd.DataFrame, alone: bool, percent: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """For each row of the first side, the rows of the second whose size, component and signature allow a link, and the
+    shares of their signatures that agree."""
+    (ra, na, ca, xa), (rb, nb, cb, xb) = ((f["rep"].to_numpy(), f["n"].to_numpy(), f["component"].to_numpy(), np.frombuffer(b"".join(f["sketch"]), dtype=np.uint8).reshape(-1, ROWS * BANDS)) for f in (first, second))
+    for at in range(len(ra)):
+        fits = (cb != ca[at]) & (100 * np.minimum(nb, na[at]) >= percent * np.maximum(nb, na[at]))
+        fits = np.flatnonzero(fits & (rb > ra[at]) if alone else fits)
+        if len(fits):
+            share = (xb[fits] == xa[at]).mean(axis=1)
+            good = share >= LIKELY
+            if good.any():
+                yield at, fits[good], share[good]
 
 
-def likely_pairs(entries: DataFrame, percent: int, partners: int | None) -> DataFrame:
+def likely_pairs(entries: DataFrame, percent: int, partners: int | None, signs: DataFrame | None = None) -> DataFrame:
     """Pairs (a, b) of different components in the open buckets whose signatures allow a link, in the first band whose
-    key they share; with partners, only the likeliest so many of each member. bands is read without partners only."""
-
-    def pair(group: pd.DataFrame) -> list[tuple]:
-        role = group["role"].to_numpy()
-        first = group[(role == "s") | (role == "x")]
-        second = group[(role == "m") | (role == "y")]
-        alone = not len(second) and (role == "x").any()
-        second = first if alone else second
+    key they share; with partners, only the likeliest so many of each member. bands is read without partners only. sketch and bands
+    are in entries, or by rep in signs: large columns join when the members have been dealt, and travel to their task only."""
+
+    def pair(group: pd.DataFrame) -> Iterator[tuple]:
+        first, second, alone = _sides(group)
         if not len(first) or not len(second):
-            return []
-        band = int(group["band"].iloc[0])
-        sides = [(f["rep"].to_numpy(), f["n"].to_numpy(), f["component"].to_numpy(), np.frombuffer(b"".join(f["sketch"]), dtype=np.uint8).reshape(-1, ROWS * BANDS)) for f in (first, second)]
-        (ra, na, ca, xa), (rb, nb, cb, xb) = sides
+            return
+        ra, rb, band = first["rep"].to_numpy(), second["rep"].to_numpy(), int(group["band"].iloc[0])
         # the keys themselves: bytes of a signature can agree in a band whose bucket the two do not share
         ka, kb = (None, None) if partners else (np.stack(f["bands"].to_list()) for f in (first, second))
-        out = []
-        for at in range(len(ra)):
-            fits = (cb != ca[at]) & (100 * np.minimum(nb, na[at]) >= percent * np.maximum(nb, na[at]))
-            fits = np.flatnonzero(fits & (rb > ra[at]) if alone and not partners else fits)
-            if not len(fits):
-                continue
-            share = (xb[fits] == xa[at]).mean(axis=1)
-            good = share >= LIKELY
-            fits, share = fits[good], share[good]
-            if partners:
-                keep = np.argsort(-share, kind="stable")[:partners]
-            else:
-                keep = np.flatnonzero((kb[fits] == ka[at]).argmax(axis=1) == band)
-            out += [(min(ra[at], r), max(ra[at], r)) for r in rb[fits[keep]]]
-        return out
+        for at, fits, share in _likely(first, second, alone and not partners, percent):
+            keep = np.argsort(-share, kind="stable")[:partners] if partners else np.flatnonzero((kb[fits] == ka[at]).argmax(axis=1) == band)
+            yield from ((min(ra[at], r), max(ra[at], r)) for r in rb[fits[keep]])
+
+    kind = entries.schema["rep"].dataType.simpleString()
+    dealt = _tasks(entries) if signs is None else _tasks(entries).join(signs, "rep")
+    return by_group(dealt, ["key", "i", "j"], pair, f"a {kind}, b {kind}").distinct()
+
+
+def settled_links(entries: DataFrame, percent: int, signs: DataFrame, carried: DataFrame) -> DataFrame:
+    """Links (a, b, sure) that join different components of the open buckets, from all pairs that likely_pairs gives.
+
+    carried has the sets, by rep and size, that travel with their members: those of at most CARRIED shingles. Pairs of two
+    such members are compared here, and those that earlier links of the task connect already are left out, so a task returns
+    fewer sure links than it has members. Pairs with another are returned to be confirmed (sure is false).
+    """
+
+    def settle(group: pd.DataFrame) -> Iterator[tuple]:
+        first, second, alone = _sides(group)
+        if not len(first) or not len(second):
+            return
+        ra, rb, band = first["rep"].to_numpy(), second["rep"].to_numpy(), int(group["band"].iloc[0])
+        ka, kb = (np.stack(f["bands"].to_list()) for f in (first, second))
+        ca, cb = first["component"].to_numpy(), second["component"].to_numpy()
+        sa, sb = ([None if raw is None else from_bytes(raw) for raw in f["set"]] for f in (first, second))
+        met = Groups(np.unique(np.concatenate([ca, cb])))
+        for at, fits, _ in _likely(first, second, alone, percent):
+            fits = fits[(kb[fits] == ka[at]).argmax(axis=1) == band]
+            here = [b for b in fits.tolist() if sa[at] is not None and sb[b] is not None and met.top(ca[at]) != met.top(cb[b])]
+            for k in range(0, len(here), AT_ONCE):
+                some = here[k : k + AT_ONCE]
+                for b in np.array(some)[similar_sets(sa[at], [sb[b] for b in some], percent)]:
+                    if met.join(ca[at], cb[b]):
+                        yield min(ra[at], rb[b]), max(ra[at], rb[b]), True
+            yield from ((min(ra[at], rb[b]), max(ra[at], rb[b]), False) for b in fits.tolist() if sa[at] is None or sb[b] is None)
 
     kind = entries.schema["rep"].dataType.simpleString()
-    return by_group(_tasks(entries), ["key", "i", "j"], pair, f"a {kind}, b {kind}").distinct()
+    dealt = _tasks(entries).join(signs, "rep").join(carried, ["rep", "n"], "left")
+    return by_group(dealt, ["key", "i", "j"], settle, f"a {kind}, b {kind}, sure boolean").distinct()
 
 
 def near_duplicates(docs: DataFrame, percent: int = SIMILARITY_PERCENT) -> DataFrame:
@@ -254,11 +324,21 @@ def near_duplicates(docs: DataFrame, percent: int = SIMILARITY_PERCENT) -> DataF
         named = left.join(label, F.col("rep") == F.col("node"), "left").select("key", "band", "rep", "n", F.coalesce("component", "rep").alias("component"))
         mixed = named.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("key")
         met = stash.keep(named.join(mixed, "key", "left_semi"), "open")
-        bands = F.lit(None).cast("array<long>").alias("bands") if partners else "bands"
-        new = likely_pairs(met.join(reps.select("rep", "sketch", bands), "rep"), percent, partners)
-        new = stash.keep(new.join(done, ["a", "b"], "left_anti"), "pairs")
-        done, left = done.union(new), met.select("key", "band", "rep", "n")
-        found = stash.keep(confirm(new, sets, percent), "links", BATCH)
+        left = met.select("key", "band", "rep", "n")
+        if partners:
+            new = likely_pairs(met, percent, partners, reps.select("rep", "sketch"))
+            new = stash.keep(new.join(done, ["a", "b"], "left_anti"), "pairs")
+            done = done.union(new)
+            found = confirm(new, sets, percent)
+        else:
+            # by size as well: rows that share an id can have sets of different sizes
+            carried = sets.where(F.octet_length("set") <= 8 * CARRIED).select(F.col("doc_id").alias("rep"), (F.octet_length("set") / 8).cast("long").alias("n"), "set")
+            new = stash.keep(settled_links(met, percent, reps.select("rep", "sketch", "bands"), carried), "pairs", BATCH)
+            found, unsure = new.where("sure").select("a", "b"), new.where("NOT sure").select("a", "b").join(done, ["a", "b"], "left_anti")
+            if not unsure.isEmpty():
+                large = unsure.select("a").union(unsure.select(F.col("b").alias("a"))).distinct()
+                found = found.union(confirm(unsure, sets.join(large.withColumnRenamed("a", "doc_id"), "doc_id", "left_semi"), percent))
+        found = stash.keep(found, "links", BATCH)
         if not found.isEmpty():
             links = links.union(found)
             label = components(links, stash)

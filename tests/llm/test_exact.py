@@ -254,6 +254,26 @@ def test_first_shared_band_is_that_of_the_keys(spark):
     assert sorted(tuple(r) for r in neardup.likely_pairs(entries, 75, None).collect()) == [(1, 2), (2, 3)]
 
 
+def test_last_comparisons_return_links_and_not_pairs(spark):
+    """Of n sets of one bucket whose signatures all agree, only links come out, fewer than sets; a very long set's pairs go on."""
+    common, small, sketch = np.arange(100, dtype="<u8"), 40, bytes(neardup.ROWS * neardup.BANDS)
+    sets = {r: np.concatenate([common, np.arange(1000 * r, 1000 * r + 30, dtype="<u8")]) for r in range(1, small + 1)}  # 100 of 160 are shared
+    like = {51: 1, 52: 2, 53: 3, 60: 1, 61: 1}  # with one shingle of their own
+    sets |= {r: np.concatenate([sets[x][:-1], [10**6 + r]]).astype("<u8") for r, x in like.items()}
+    keys = lambda r: [1000 * r + j for j in range(neardup.BANDS - 1)] + [7]
+    rows = [(7, neardup.BANDS - 1, r, len(s), r) for r, s in sets.items()]
+    signs = spark.createDataFrame([(r, sketch, keys(r)) for r in (*sets, 99)], "rep long, sketch binary, bands array<long>")
+    carried = spark.createDataFrame([(r, len(s), s.tobytes()) for r, s in sets.items()], "rep long, n long, set binary")
+    settled = lambda rows: [tuple(r) for r in neardup.settled_links(spark.createDataFrame(rows, "key long, band int, rep long, n long, component long"), 75, signs, carried).collect()]
+    got = settled(rows)
+    assert len(got) < len(sets) and all(sure for *_, sure in got)
+    groups = neardup.Groups(np.array(list(sets)))
+    for a, b, _ in got:
+        groups.join(a, b)
+    assert {r: groups.top(r) for r in sets if groups.top(r) != r} == like
+    assert sorted(settled([*rows[:3], (7, neardup.BANDS - 1, 99, 140, 99)])) == [(1, 99, False), (2, 99, False), (3, 99, False)]
+
+
 def test_components_of_a_path_and_a_star(spark):
     from millrace.llm.storage import Stash
 
