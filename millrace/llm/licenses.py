@@ -20,7 +20,8 @@ from millrace.llm.storage import Stash
 
 THRESHOLD = 0.6
 LICENCE_FILE = r"(?i)(^|/)(licen[cs]e|copying|notice|unlicense)[^/]*$"
-NO_TERM = r"[^a-z0-9.]+"
+#: Possessive, so that a long text costs no depth of recursion.
+TERM = r"[a-z0-9]++(?:\.++[a-z0-9]++)*+"
 #: How a comment line, and a comment that goes on until its end mark, begin; and that mark.
 COMMENT, BLOCK_COMMENT, BLOCK_END = r"^[ \t]*(#|//|/\*|\*|--|;|%|<!--)", r"^[ \t]*(/\*|<!--)", r"\*/|-->"
 #: Units that are no line.
@@ -64,9 +65,8 @@ def any_of(words: list[str]) -> Column:
 
 
 def terms_of(text: Column) -> Column:
-    """Lower-case runs of letters, digits and inner dots."""
-    parts = F.split(F.lower(F.coalesce(text, F.lit(""))), NO_TERM)
-    return F.filter(F.transform(parts, lambda w: F.trim(w, F.lit("."))), lambda w: w != "")
+    """Lower-case runs of letters, digits and inner dots; by one expression, as a function of each word is interpreted."""
+    return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(TERM), F.lit(0))
 
 
 def lines_of(text: Column) -> Column:

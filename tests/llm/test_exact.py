@@ -396,6 +396,15 @@ FILES = [
 ]
 
 
+def test_terms_are_cut_by_one_expression(spark):
+    """Without a function that is interpreted for each word; and none is lost, however the dots lie."""
+    odd = [*ODD_TEXTS, ".", "...", ". .", ".a.", "a.b..c", "..a . .b.", "x\n.y", "1.2.3. ", "a-.b", "a.-b", "a.-.b", "a" * 5000 + "." * 3000 + "b", "a." * 20_000, ". " * 20_000 + "z", "Naïve.É i.K"]
+    df = spark.createDataFrame(list(enumerate(odd)), "id long, text string").select("id", licenses.terms_of(F.col("text")).alias("terms"))
+    want = [[x.strip(".") for x in re.split(r"[^a-z0-9.]+", (t or "").lower()) if x.strip(".")] for t in odd]
+    assert [r["terms"] for r in df.orderBy("id").collect()] == want
+    assert "lambdafunction" not in df._jdf.queryExecution().executedPlan().toString()
+
+
 def test_licences_and_inheritance(spark):
     df = spark.createDataFrame(FILES, "id long, path string, text string")
     got = {(r["id"], r["path"]): (r["licence"], r["found_in"], r["depth"]) for r in licenses.scan(clashing(df, ["unit", "term", "dir", "licence"])).collect()}
