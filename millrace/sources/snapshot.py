@@ -77,12 +77,13 @@ def chunks(table: DataFrame, key: Sequence[str], rows: int = CHUNK_ROWS, start:
             sleep(wait)
 
 
-def boundaries(table: DataFrame, key: Sequence[str], parts: int) -> list[tuple]:
-    """Upper keys of at most so many ranges of about equal size, but for the last, which has none."""
+def boundaries(table: DataFrame, key: Sequence[str], parts: int) -> list[tuple[tuple, str]]:
+    """Upper keys, with their cursors, of at most so many ranges of about equal size, but for the last, which has none."""
     if parts < 2:
         return []
-    tops = table.select(*key).repartitionByRange(parts, *key).groupBy(F.spark_partition_id().alias("p")).agg(F.max(F.struct(*key)).alias("k")).orderBy("p").collect()
-    return [tuple(r["k"]) for r in tops[:-1]]  # a row for each range
+    tops = table.select(*key).repartitionByRange(parts, *key).groupBy(F.spark_partition_id().alias("p")).agg(F.max(F.struct(*key)).alias("k"))
+    found = tops.select("p", "k", F.to_json(F.array(*(F.col(f"k.`{k}`").cast("string") for k in key))).alias("c")).orderBy("p").collect()
+    return [(tuple(r["k"]), r["c"]) for r in found[:-1]]  # a row for each range
 
 
 def ranges(table: DataFrame, key: Sequence[str], rows: int, start: str | None = None, most: int = 200) -> Iterator[tuple[DataFrame, str | None]]:
@@ -94,9 +95,8 @@ def ranges(table: DataFrame, key: Sequence[str], rows: int, start: str | None =
     typed = lambda values: [F.lit(v).cast(t) for v, t in zip(values, types)]
     rest = table if start is None else table.where(after(key, typed(read_cursor(start, len(key)))))
     n, last = rest.count(), None
-    for top in boundaries(rest, key, -(-n // max(rows, -(-n // most)))):
+    for top, text in boundaries(rest, key, -(-n // max(rows, -(-n // most)))):
         part = rest if last is None else rest.where(after(key, typed(last)))
-        text = table.sparkSession.range(1).select(F.to_json(F.array(*(c.cast("string") for c in typed(top)))).alias("c")).head()["c"]
         yield part.where(~after(key, typed(top))), text
         last = top
     yield rest if last is None else rest.where(after(key, typed(last))), None
