@@ -21,6 +21,7 @@ sampled by the sender first; parts that very many queries ask are copied, so non
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
@@ -262,9 +263,9 @@ def merged(state: DataFrame, news: DataFrame) -> DataFrame:
     return by_group(rows, ["part"], merge, STATE)
 
 
-def member_lists(state: DataFrame) -> DataFrame:
-    """(part, n, members, fresh): for each node its neighbours and up to as many of those that list it, fresh ones first;
-    -1 where there is none."""
+def member_lists(state: DataFrame, *more: str) -> DataFrame:
+    """(part, n, members, fresh, and more binary columns of the state): for each node its neighbours and up to as many of
+    those that list it, fresh ones first; -1 where there is none."""
 
     def tell(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         def rows() -> Iterator[tuple]:
@@ -278,7 +279,7 @@ def member_lists(state: DataFrame) -> DataFrame:
 
         yield from flushed(rows(), ["part", "a", "b", "d"])
 
-    rows = state.select("part", "n", "ids", "fresh").unionByName(state.select("part", "n", "ids", "fresh").mapInPandas(tell, NEWS), allowMissingColumns=True)
+    rows = state.select("part", "n", "ids", "fresh", *more).unionByName(state.select("part", "n", "ids", "fresh").mapInPandas(tell, NEWS), allowMissingColumns=True)
 
     def collect(group: pd.DataFrame) -> list[tuple]:
         own = group[group["n"].notna()].iloc[0]
@@ -294,9 +295,9 @@ def member_lists(state: DataFrame) -> DataFrame:
             _, first, number = np.unique(at, return_index=True, return_counts=True)
             place = DEGREE + np.arange(len(at)) - np.repeat(first, number)
             members[at, place], fresh[at, place] = who[keep], new[keep]
-        return [(int(own["part"]), n, members.tobytes(), fresh.tobytes())]
+        return [(int(own["part"]), n, members.tobytes(), fresh.tobytes(), *(own[x] for x in more))]
 
-    return by_group(rows, ["part"], collect, "part long, n int, members binary, fresh binary")
+    return by_group(rows, ["part"], collect, ", ".join(["part long, n int, members binary, fresh binary", *(f"{x} binary" for x in more)]))
 
 
 def _chosen(to: np.ndarray, who: np.ndarray, new: np.ndarray) -> np.ndarray:
@@ -411,7 +412,7 @@ def build_graph(parts: DataFrame, total: int, dim: int, trees: Trees, stash: Sta
     return state
 
 
-WALK = "home long, q long, qvec binary, ids binary, dist binary, seen binary, todo binary, beam int, best binary"
+WALK = "home long, q long, qvec binary, ids binary, dist binary, seen binary, lists binary, todo binary, reach double, beam int, best binary"
 
 
 def next_visits(ids: np.ndarray, seen: np.ndarray, beam: int, best: bytes) -> tuple[np.ndarray, int, bytes]:
@@ -428,9 +429,29 @@ def next_visits(ids: np.ndarray, seen: np.ndarray, beam: int, best: bytes) -> tu
         beam, best = 2 * beam, now
 
 
+def next_questions(ids: np.ndarray, seen: np.ndarray, lists: np.ndarray, beam: int, best: bytes) -> tuple[np.ndarray, bool, np.ndarray, int, bytes]:
+    """What to ask for, and whether some of it was met before but without its list; then seen, beam and best of ``next_visits``.
+
+    lists has a row for each node whose members are known: its code, then theirs. A node of those to visit is visited if
+    its list is here, else asked for. Visits go on while they meet nothing new.
+    """
+    while True:
+        todo, beam, best = next_visits(ids, seen, beam, best)
+        here = np.isin(todo, lists[:, 0])
+        seen = seen | np.isin(ids, todo[here])
+        members = lists[np.isin(lists[:, 0], todo[here]), 1:]
+        wanted = np.concatenate([np.setdiff1d(members[members >= 0], ids), todo[~here]])
+        if len(wanted) or not len(todo):
+            return wanted, not here.all(), seen, beam, best
+
+
 def search(state: DataFrame, queries: DataFrame, dim: int, stash: Stash, first_beam: int = FIRST_BEAM) -> DataFrame:
-    """(q, c, visited): candidates for each query code (q), from a greedy walk that starts at its own node."""
-    adjacency = stash.keep(member_lists(state).select("part", "n", "members"), "adjacency", BATCH)
+    """(q, c, visited): candidates for each query code (q), from a greedy walk that starts at its own node.
+
+    A round asks parts for the distances of nodes, and settles the answers at the query. A node that may come to be visited
+    (it is among the four beams nearest) answers with its member list too, so that a visit needs no question of its own.
+    """
+    static = stash.keep(member_lists(state, "vecs").select("part", "n", "vecs", "members"), "adjacency", BATCH)
     places = queries.select(F.shiftright("code", PLACE).alias("part"), F.col("code").alias("q"))
 
     def begin(own, question) -> Iterator[tuple]:
@@ -438,59 +459,42 @@ def search(state: DataFrame, queries: DataFrame, dim: int, stash: Stash, first_b
         ids, dist = ints(own.ids).reshape(n, DEGREE)[at], floats(own.dist).reshape(n, DEGREE)[at]
         ids, dist = np.concatenate([[question.q], ids[ids >= 0]]).astype(np.int64), np.concatenate([[0.0], dist[ids >= 0]])
         todo = ids[:first_beam]
-        yield int(own.part), int(question.q), matrix(own.vecs, dim, n)[at].tobytes(), ids.tobytes(), dist.tobytes(), np.zeros(len(ids), dtype=bool).tobytes(), todo.tobytes(), first_beam, b""
+        yield int(own.part), int(question.q), matrix(own.vecs, dim, n)[at].tobytes(), ids.tobytes(), dist.tobytes(), np.zeros(len(ids), dtype=bool).tobytes(), b"", todo.tobytes(), np.inf, first_beam, b""
 
     walk = stash.keep(asked(state.select("part", "n", "vecs", "ids", "dist"), places.withColumn("home", F.lit(0).cast("long")), begin, WALK, most=PART), "walk", BATCH)
 
-    def to_parts(column: str, more: list[str]) -> Callable:
-        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            def rows() -> Iterator[tuple]:
-                for batch in batches:
-                    for row in batch.itertuples(index=False):
-                        for part, codes in by_part(ints(getattr(row, column))):
-                            yield (part, codes, *(getattr(row, c) for c in more))
-
-            yield from flushed(rows(), ["part", "codes", *more])
-
-        return run
+    def to_parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def rows() -> Iterator[tuple]:
+            for batch in batches:
+                for row in batch.itertuples(index=False):
+                    for part, codes in by_part(ints(row.todo)):
+                        yield part, codes, row.home, row.q, row.qvec, row.reach
 
-    def neighbours(own, question) -> Iterator[tuple]:
-        m = ints(own.members).reshape(int(own.n), -1)[ints(question.codes) & ((1 << PLACE) - 1)]
-        yield int(question.home), int(question.q), np.unique(m[m >= 0]).tobytes()
+        yield from flushed(rows(), ["part", "codes", "home", "q", "qvec", "reach"])
 
     def compare(own, question) -> Iterator[tuple]:
-        x = matrix(own.vecs, dim, int(own.n))[ints(question.codes) & ((1 << PLACE) - 1)].astype(np.float64)
-        gap = x - matrix(question.qvec, dim, 1).astype(np.float64)
-        yield int(question.home), int(question.q), question.codes, (gap * gap).sum(1).tobytes()
-
-    def unmet(group: pd.DataFrame) -> list[tuple]:
-        """The walk with the ids it has not met yet."""
-        own = group[group["qvec"].notna()].iloc[0]
-        ids, seen, todo = ints(own["ids"]), flags(own["seen"]) | np.isin(ints(own["ids"]), ints(own["todo"])), np.unique(gathered(group["found"], ints))
-        new = np.setdiff1d(todo, ids, assume_unique=True)
-        return [(int(own["home"]), int(own["q"]), own["qvec"], own["ids"], own["dist"], seen.tobytes(), new.tobytes(), int(own["beam"]), own["best"])]
+        n, codes = int(own.n), ints(question.codes)
+        at = codes & ((1 << PLACE) - 1)
+        gap = matrix(own.vecs, dim, n)[at].astype(np.float64) - matrix(question.qvec, dim, 1).astype(np.float64)
+        far = (gap * gap).sum(1)
+        near = far <= question.reach
+        lists = np.column_stack([codes[near], ints(own.members).reshape(n, -1)[at[near]]])
+        yield int(question.home), int(question.q), question.codes, far.tobytes(), lists.tobytes()
 
     def settle(group: pd.DataFrame) -> list[tuple]:
         own = group[group["qvec"].notna()].iloc[0]
-        found = gathered(group["found"], ints)
-        ids, dist = np.concatenate([ints(own["ids"]), found]), np.concatenate([floats(own["dist"]), gathered(group["far"], floats)])
-        seen = np.concatenate([flags(own["seen"]), np.zeros(len(found), dtype=bool)])
+        found, ids = gathered(group["found"], ints), ints(own["ids"])
+        other = ~np.isin(ids, found)  # a node asked for its list comes with its distance again
+        ids, dist = np.concatenate([ids[other], found]), np.concatenate([floats(own["dist"])[other], gathered(group["far"], floats)])
+        seen = np.concatenate([flags(own["seen"])[other], np.zeros(len(found), dtype=bool)])
         order = np.lexsort((ids, dist))
         ids, dist, seen = ids[order], dist[order], seen[order]
-        todo, beam, best = next_visits(ids, seen, int(own["beam"]), own["best"])
-        return [(int(own["home"]), int(own["q"]), own["qvec"], ids.tobytes(), dist.tobytes(), seen.tobytes(), todo.tobytes(), beam, best)]
-
-    done = []
-    while active := walk.where(F.octet_length("todo") > 0).count():
-        done.append(walk.where(F.octet_length("todo") == 0))
-        going = walk.where(F.octet_length("todo") > 0)
-        visits = going.select("todo", "home", "q").mapInPandas(to_parts("todo", ["home", "q"]), "part long, codes binary, home long, q long")
-        met = asked(adjacency, visits, neighbours, "home long, q long, found binary", most=active)
-        walk = stash.keep(by_group(going.unionByName(met, allowMissingColumns=True), ["home", "q"], unmet, WALK), "unmet", BATCH)
-        news = walk.select("todo", "home", "q", "qvec").mapInPandas(to_parts("todo", ["home", "q", "qvec"]), "part long, codes binary, home long, q long, qvec binary")
-        far = asked(state.select("part", "n", "vecs"), news, compare, "home long, q long, found binary, far binary", most=active)
-        old, walk = walk, stash.keep(by_group(walk.unionByName(far, allowMissingColumns=True), ["home", "q"], settle, WALK), "walk", BATCH)
-        stash.drop(old)
+        lists = gathered(group["lists"], ints).reshape(-1, 1 + 2 * DEGREE)
+        todo, again, seen, beam, best = next_questions(ids, seen, lists, int(own["beam"]), own["best"])
+        most = 4 * beam
+        reach = np.inf if again or len(ids) <= most else dist[most]
+        lists = lists[np.isin(lists[:, 0], ids[:most][~seen[:most]])] if len(todo) else lists[:0]
+        return [(int(own["home"]), int(own["q"]), own["qvec"], ids.tobytes(), dist.tobytes(), seen.tobytes(), lists.tobytes(), todo.tobytes(), reach, beam, best)]
 
     def pool(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -499,9 +503,19 @@ def search(state: DataFrame, queries: DataFrame, dim: int, stash: Stash, first_b
                 ids = ids[: max(RESCORED, within(d))]
                 yield pd.DataFrame({"q": q, "c": ids, "visited": int(flags(seen).sum())})
 
-    for part in done:
-        walk = walk.unionByName(part)
-    return walk.select("q", "ids", "dist", "seen").mapInPandas(pool, "q long, c long, visited long")
+    schema, open_walk = "q long, c long, visited long", F.octet_length("todo") > 0
+    done = []
+    while True:
+        active, over = walk.agg(F.count(F.when(open_walk, 1)), F.count(F.when(~open_walk, 1))).head()
+        if over or not active:
+            done.append(stash.keep(walk.where(~open_walk).select("q", "ids", "dist", "seen").mapInPandas(pool, schema), "pool"))
+        if not active:
+            return functools.reduce(DataFrame.unionByName, done)
+        going = walk.where(open_walk)
+        questions = going.select("todo", "home", "q", "qvec", "reach").mapInPandas(to_parts, "part long, codes binary, home long, q long, qvec binary, reach double")
+        answers = asked(static, questions, compare, "home long, q long, found binary, far binary, lists binary", most=active)
+        old, walk = walk, stash.keep(by_group(going.unionByName(answers, allowMissingColumns=True), ["home", "q"], settle, WALK), "walk", BATCH)
+        stash.drop(old)
 
 
 def within(dist: np.ndarray) -> int:

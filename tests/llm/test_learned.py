@@ -117,6 +117,33 @@ def test_search_stops_when_a_doubled_beam_changes_nothing():
     assert len(ann.next_visits(ids[::-1], seen, 16, best)[0])
 
 
+def test_a_round_of_the_walk_takes_two_shuffles(spark, monkeypatch):
+    """Each costs as many Python tasks as the session has shuffle partitions, empty ones too."""
+    monkeypatch.setattr(ann, "PART", 256)
+    frame, keep, deals, tables = type(spark.range(0)), ann.Stash.keep, [], []
+    deal = frame.repartition
+    monkeypatch.setattr(frame, "repartition", lambda self, *a: (deals.append(a), deal(self, *a))[1])
+    monkeypatch.setattr(ann.Stash, "keep", lambda self, df, name, *a: (tables.append((name, len(deals))), keep(self, df, name, *a))[1])
+    x = np.random.default_rng(10).normal(size=(3000, 16))
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    want, got = brute_nearest(rows, lambda i: i % 100 == 0), defaultdict(set)
+    for r in ann.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 100 == 0).collect():
+        got[r["query_id"]].add(r["vec_id"])
+    assert sum(len(got[q] & {j for _, j in near}) for q, near in want.items()) >= 0.95 * 10 * len(want)
+    walks = [n for name, n in tables if name == "walk"]
+    assert len(walks) > 2 and all(b - a <= 2 for a, b in zip(walks, walks[1:])), walks
+
+
+def test_a_visit_needs_the_list_of_its_node():
+    ids, seen = np.arange(5), np.zeros(5, dtype=bool)
+    lists = np.array([[0, 1, 7, -1], [1, 0, 9, 7]])
+    wanted, again, now, beam, _ = ann.next_questions(ids, seen, lists, 2, b"")
+    assert wanted.tolist() == [7, 9, 2, 3] and again and now.tolist() == [True, True, False, False, False] and beam == 2
+    met_before = np.array([[i, 0, 1, -1] for i in range(5)])
+    wanted, again, now, *_ = ann.next_questions(ids, seen, met_before, 2, b"")  # goes on as long as it meets nothing new
+    assert not len(wanted) and not again and now.tolist() == [True, True, True, True, False]  # the doubled beam changed nothing
+
+
 def test_hot_parts_are_answered_in_copies(spark, monkeypatch):
     monkeypatch.setattr(ann, "ASKED", 7)
     static = spark.createDataFrame([(p, p * 10) for p in range(3)], "part long, x int")
